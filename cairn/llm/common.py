@@ -80,7 +80,7 @@ def id_filter(ids: DataFrame, column: str, bits: int = BITS) -> Callable[[Column
     """
     spot = F.pmod(F.xxhash64(F.col(column)), F.lit(bits))
     rows = (
-        ids.select(spot.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("k"))
+        ids.select((spot + 1).alias("s")).groupBy(F.bitmap_bucket_number("s").alias("k"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("m")).collect()
     )
     if not rows:
