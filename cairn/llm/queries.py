@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import bpe, embedding_dedup, minhash_dedup, secret_scan, toxicity
+from cairn.llm import bpe, embedding_dedup, minhash_dedup, quality_rules, secret_scan, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,5 +52,32 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_toxicity, op4_minhash_dedup, op5_secret_scan)}
-ORACLE: dict[str, str] = {}
+# fixed values: the rules
+RULES = (("com", "/en/", "block"), ("example.com", "/en/7", "allow"), ("net", "/de/", "allow"), ("example.net", "/de/8", "block"), ("org", "/es/", "block"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.sql("SELECT * FROM VALUES " + ", ".join(map(str, RULES)) + " AS rules(host, path, verdict)")
+    return url_filter.judge(table(spark, sf_dir, "pages"), rules)
+
+
+OP6_SQL = """
+WITH rules(host, path, verdict) AS (VALUES """ + ", ".join(map(str, RULES)) + """),
+cut AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut),
+best AS (SELECT p.page_id, p.host, p.path, max(struct_pack(n := length(r.host || r.path), rule := r.host || r.path, verdict := r.verdict)) AS b
+         FROM parts p LEFT JOIN rules r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+         GROUP BY p.page_id, p.host, p.path)
+SELECT page_id, host, path, b.rule AS rule, coalesce(b.verdict, 'allow') AS verdict FROM best
+"""
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    field = quality_rules.train(docs, table(spark, sf_dir, "labels"))
+    return quality_rules.judge(docs, field).drop("text")
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_toxicity, op4_minhash_dedup, op5_secret_scan, op6_url_filter, op7_quality_rules)}
+ORACLE: dict[str, str] = {"op6_url_filter": OP6_SQL}
