@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import bpe, embedding_dedup, minhash_dedup, quality_rules, secret_scan, toxicity, url_filter
+from cairn.llm import bpe, embedding_dedup, minhash_dedup, packing, quality_rules, secret_scan, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,5 +79,13 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, field).drop("text")
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_toxicity, op4_minhash_dedup, op5_secret_scan, op6_url_filter, op7_quality_rules)}
+def tokenizer_json(spark: SparkSession) -> str:
+    return "\n".join(r.value for r in spark.read.text("file://" + public_tokenizers.path("word_bpe_49k.json"), wholetext=True).collect())
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer_json(spark)))
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_toxicity, op4_minhash_dedup, op5_secret_scan, op6_url_filter, op7_quality_rules, op8_packing)}
 ORACLE: dict[str, str] = {"op6_url_filter": OP6_SQL}
