@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import bpe, embedding_dedup, minhash_dedup, packing, quality_rules, secret_scan, toxicity, url_filter
+from cairn.llm import bpe, embedding_dedup, minhash_dedup, packing, quality_rules, secret_scan, substring_dedup, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -87,5 +87,9 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer_json(spark)))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_toxicity, op4_minhash_dedup, op5_secret_scan, op6_url_filter, op7_quality_rules, op8_packing)}
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.judge(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_toxicity, op4_minhash_dedup, op5_secret_scan, op6_url_filter, op7_quality_rules, op8_packing, op9_substring_dedup)}
 ORACLE: dict[str, str] = {"op6_url_filter": OP6_SQL}
