@@ -2,30 +2,16 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-WORD = re.compile(r"\w+")
+from cairn.session import cut, shared_folder
 
-
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` with ``checkpoint()`` in the shared folder, so that later reads survive lost executors.
-
-    The folder is the session's ``spark.checkpoint.dir``. Only a local master may fall back to a temporary one.
-    """
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not where and not sc.master.startswith("local[") and sc.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        sc.setCheckpointDir(where or tempfile.mkdtemp(prefix="spark-"))
-    return df.checkpoint()
+__all__ = ["cut", "shared_folder"]
 
 
 def partitions(spark: SparkSession) -> int:
@@ -42,7 +28,7 @@ def components(edges: DataFrame, first: str = "a", second: str = "b") -> DataFra
     """
     e = cut(
         edges.select(F.col(first).cast("long").alias("a"), F.col(second).cast("long").alias("b"))
-        .where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        .where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     )
     hops: list[DataFrame] = []
     while not e.isEmpty():
@@ -55,7 +41,7 @@ def components(edges: DataFrame, first: str = "a", second: str = "b") -> DataFra
         left, right = (hop.select(F.col("node").alias(c), F.col("to").alias(t)) for c, t in (("a", "x"), ("b", "y")))
         e = cut(
             e.join(left, "a").join(right, "b").where("x <> y")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         )
     if not hops:
         return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
@@ -72,30 +58,21 @@ def components(edges: DataFrame, first: str = "a", second: str = "b") -> DataFra
 BITS = 1 << 22
 
 
-def id_filter(ids: DataFrame, column: str, bits: int = BITS) -> Callable[[Column], Column] | None:
-    """A test that is true for every id in ``ids`` and for few others, to spare rows a shuffle; None if ids is empty.
+def mark(df: DataFrame, column: str, ids: DataFrame, out: str = "__hit", bits: int = BITS) -> DataFrame:
+    """``df`` with the boolean ``out``: true for every row whose ``column`` is in ``ids``, and for few others.
 
-    It is a bit map of fixed size (512 KB) over hashed ids, gathered as at most ``bits / 32768`` rows whatever the
-    input; when it fills up at scale it lets more rows through and the exact join that follows decides alike.
+    To spare rows a shuffle before an exact join. ``ids`` (one column of integers) become a bit map of fixed size
+    over hashed ids, at most ``bits / 32768`` rows of 4 KB (512 KB in all) whatever the input, which is broadcast;
+    when it fills up at scale it lets more rows through and the join that follows decides alike.
     """
-    spot = F.pmod(F.xxhash64(F.col(column)), F.lit(bits))
-    rows = (
-        ids.select((spot + 1).alias("s")).groupBy(F.bitmap_bucket_number("s").alias("k"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("m")).collect()
-    )
-    if not rows:
-        return None
-    all_bits = np.zeros(bits // 8, np.uint8)
-    for r in rows:
-        all_bits[(r.k - 1) * 4096 : r.k * 4096] |= np.frombuffer(bytes(r.m), np.uint8)
-    words = F.lit(all_bits.tobytes())
-
-    def test(c: Column) -> Column:
-        at = F.pmod(F.xxhash64(c), F.lit(bits))
-        byte = F.conv(F.hex(F.substring(words, (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-        return F.call_function("getbit", byte, (at % 8).cast("int")) == 1
-
-    return test
+    spot = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(bits)) + 1
+    own = spot(F.col(ids.columns[0]))
+    maps = ids.select(own.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("__map"))
+    at = F.bitmap_bit_position(spot(F.col(column)))
+    byte = F.conv(F.hex(F.substring("__map", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.call_function("getbit", byte, (at % 8).cast("int")) == 1
+    marked = df.withColumn("__bucket", F.bitmap_bucket_number(spot(F.col(column)))).join(F.broadcast(maps), "__bucket", "left")
+    return marked.select(*df.columns, F.coalesce(bit, F.lit(False)).alias(out))
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -133,9 +110,6 @@ def _same(one: pa.RecordBatch, two: pa.RecordBatch, keys: list[str]) -> bool:
     return all(one.column(k)[one.num_rows - 1].as_py() == two.column(k)[0].as_py() for k in keys)
 
 
-MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """The finishing steps of splitmix64 on unsigned 64-bit integers."""
     with np.errstate(over="ignore"):
@@ -144,30 +118,82 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-class WordHashes:
-    """64-bit hashes of words, kept in a dictionary of bounded size."""
+_BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_IN_WORD = np.array([i >= 128 or chr(i).isalnum() or i == 95 for i in range(256)])
+_powers = np.ones(1, np.uint64)
+
 
-    def __init__(self, most: int = 400_000):
-        self.most, self.known = most, {}
+def _power(n: int) -> np.ndarray:
+    global _powers
+    if len(_powers) < n:
+        with np.errstate(over="ignore"):
+            _powers = np.cumprod(np.append(np.uint64(1), np.full(max(n, 2 * len(_powers)), 0xD1342543DE82EF95, np.uint64)), dtype=np.uint64)
+    return _powers
 
-    def __call__(self, words: list[str]) -> np.ndarray:
-        import xxhash
 
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+def lower(text: str) -> str:
+    return text.replace("\u0130", "i").lower()  # the one letter that gets longer
 
 
-def shingles(words: np.ndarray, size: int = 5) -> np.ndarray:
-    """Hashes of all runs of ``size`` words; of the whole if there are fewer; none if there is no word."""
-    if not len(words):
-        return words
-    size, n = min(size, len(words)), max(1, len(words) - size + 1)
+class Words:
+    """The words of some texts side by side: 64-bit hashes, and where they stand.
+
+    A word is a run of ASCII letters, digits, underscores and characters beyond ASCII, in lower case.
+    """
+
+    def __init__(self, texts: list[str | None]):
+        self.n_texts = len(texts)
+        raw = [lower(t).encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        self.bytes = np.frombuffer(b"\n".join(raw) + b"\n", np.uint8)
+        ends = np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)
+        self.text_start = np.append(np.int64(0), ends[:-1]) if raw else ends
+        word = _IN_WORD[self.bytes]
+        edges = np.flatnonzero(np.diff(word, prepend=False))  # the last byte is a line feed: edges come in pairs
+        self.start, self.end = edges[::2], edges[1::2]
+        size = self.end - self.start
+        at = np.flatnonzero(word)
+        first = np.cumsum(size) - size
+        place = np.arange(len(at)) - np.repeat(first, size)
+        with np.errstate(over="ignore"):
+            letters = _BYTE[self.bytes[at]] * _power(int(size.max(initial=0)) + 1)[place]
+            self.hash = mix(np.add.reduceat(letters, first) + size.astype(np.uint64)) if len(first) else np.zeros(0, np.uint64)
+        self.text = np.searchsorted(ends, self.start, "right")
+        self.count = np.bincount(self.text, minlength=self.n_texts)
+        self.first = np.cumsum(self.count) - self.count
+
+    def lines(self) -> np.ndarray:
+        """The number of the line of each word; texts are lines of their own."""
+        return np.searchsorted(np.flatnonzero(self.bytes == 10), self.start)
+
+    def points(self) -> np.ndarray:
+        """Code points before each byte."""
+        return np.cumsum((self.bytes & 0xC0) != 0x80) - 1
+
+    def shingles(self, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the runs of ``size`` words of each text, and how many each has: one of all words if fewer."""
+        n = len(self.hash)
+        count = np.where(self.count >= size, self.count - size + 1, np.minimum(self.count, 1))
+        if not n:
+            return self.hash, count
+        whole = run_hashes(self.hash, size)
+        keep = np.repeat(self.first + count, self.count) > np.arange(n)
+        short = (self.count > 0) & (self.count < size)
+        for i in np.flatnonzero(short):
+            whole[self.first[i]] = run_hashes(self.hash[self.first[i] : self.first[i] + self.count[i]], int(self.count[i]))[0]
+        return whole[keep], count
+
+
+def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash of the ``size`` words from each place on; at the end, of the words that are left and zeros."""
     with np.errstate(over="ignore"):
-        h = np.zeros(n, np.uint64)
+        h = np.zeros(len(words), np.uint64)
         for i in range(size):
-            h = h * np.uint64(0x9E3779B97F4A7C15) + words[i : i + n]
+            h = h * np.uint64(0x9E3779B97F4A7C15) + np.append(words[i:], np.zeros(min(i, len(words)), np.uint64))
     return mix(h)
+
+
+def parts(batches: Iterator[pa.RecordBatch], size: int = 300) -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``size`` rows."""
+    for b in batches:
+        for lo in range(0, b.num_rows, size):
+            yield b.slice(lo, size)

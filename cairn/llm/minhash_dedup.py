@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import WORD, WordHashes, components, cut, id_filter, mix, partitions, runs, shingles
+from cairn.llm.common import Words, components, cut, mark, mix, partitions, parts, runs
 
 #: Width of the table of hashed document frequencies. A bucket's count is at most (shingles in all) / WIDTH over the
 #: true one on average, 0.2 % of the documents at 500 shingles each, at every size of the corpus.
@@ -43,14 +43,17 @@ class Sampler:
         """One hash for each sample, of the element chosen and its quantised weight."""
         ln_w = np.log(weights).astype(np.float32)
         best, chosen = np.full(len(self.seeds), np.inf, np.float32), np.zeros(len(self.seeds), np.uint64)
-        for lo in range(0, len(keys), 2048):
-            k = keys[lo : lo + 2048]
-            h = mix(k[None, :] ^ self.seeds)
-            r = self.r[(h & np.uint64(0xFFFF)).astype(np.intp)]
-            t = np.floor(ln_w[None, lo : lo + 2048] / r + self.beta[((h >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.intp)])
-            ln_a = self.ln_c[((h >> np.uint64(32)) & np.uint64(0xFFFF)).astype(np.intp)] - r * (t - self.beta[((h >> np.uint64(16)) & np.uint64(0xFFFF)).astype(np.intp)]) - r
+        row = np.arange(len(self.seeds))
+        for lo in range(0, len(keys), 1024):
+            k = keys[lo : lo + 1024]
+            with np.errstate(over="ignore"):
+                h = (k[None, :] ^ self.seeds) * np.uint64(0xD6E8FEB86659FD93)
+                h ^= h >> np.uint64(32)
+            lanes = h.view(np.uint16).reshape(*h.shape, 4)
+            r, beta = self.r[lanes[..., 0]], self.beta[lanes[..., 1]]
+            t = np.floor(ln_w[None, lo : lo + 1024] / r + beta)
+            ln_a = self.ln_c[lanes[..., 2]] - r * (t - beta) - r
             at = ln_a.argmin(1)
-            row = np.arange(len(at))
             low = ln_a[row, at]
             better = low < best
             best = np.where(better, low, best)
@@ -60,19 +63,6 @@ class Sampler:
         return chosen
 
 
-def _bags(texts: list[str | None], hashes: WordHashes, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Word hashes and shingle hashes of each text."""
-    for t in texts:
-        words = hashes(WORD.findall(t.lower())) if t else np.zeros(0, np.uint64)
-        yield words, shingles(words, size)
-
-
-def _parts(batches: Iterator[pa.RecordBatch], size: int = 1000) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for lo in range(0, b.num_rows, size):
-            yield b.slice(lo, size)
-
-
 def document_frequencies(docs: DataFrame, size: int = 5, width: int = WIDTH) -> np.ndarray:
     """Documents that hold a shingle of each hash bucket: each task counts all its texts, Spark adds the counts.
 
@@ -81,11 +71,11 @@ def document_frequencies(docs: DataFrame, size: int = 5, width: int = WIDTH) ->
     piece = 1 << 12
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, hashes = np.zeros(width, np.int64), WordHashes()
-        for b in _parts(batches):
-            for _, s in _bags(b.column("text").to_pylist(), hashes, size):
-                at = (s & np.uint64(width - 1)).astype(np.int64)
-                total[np.unique(at) if len(at) < 1 << 16 else np.flatnonzero(np.bincount(at, minlength=width))] += 1
+        total = np.zeros(width, np.int64)
+        for b in parts(batches):
+            hashes, count = Words(b.column("text").to_pylist()).shingles(size)
+            own = np.repeat(np.arange(len(count)), count)
+            total += np.bincount(np.unique(own * width + (hashes & np.uint64(width - 1)).astype(np.int64)) % width, minlength=width)
         if total.any():
             rows = total.astype(np.int32).reshape(-1, piece)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows), dtype=np.int32)), pa.array([r.tobytes() for r in rows], pa.binary())], ["k", "counts"])
@@ -100,7 +90,7 @@ def document_frequencies(docs: DataFrame, size: int = 5, width: int = WIDTH) ->
     return out.ravel()
 
 
-def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99, rows: int = 3, size: int = 5, rounds: int = 2, chunk: int = 512) -> DataFrame:
+def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99, rows: int = 3, size: int = 5, rounds: int = 1, chunk: int = 512) -> DataFrame:
     """Rows ``(doc_id, class_id, component_id, n_copies, kept)``, one for each distinct doc_id.
 
     Texts are lower-case words; equal word sequences are one class (``class_id`` = its smallest doc_id, ``n_copies``
@@ -123,24 +113,32 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
         return keys, counts * weigh.value[(keys & np.uint64(WIDTH - 1)).astype(np.intp)]
 
     def sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, sample, seen = WordHashes(), Sampler(bands * rows), {}
-        for b in _parts(batches):
-            k1, k2, keys = [], [], []
-            for words, s in _bags(b.column("text").to_pylist(), hashes, size):
-                with np.errstate(over="ignore"):
-                    place = np.arange(1, len(words) + 1, dtype=np.uint64)
-                    one, two = (int(mix(words ^ (place * np.uint64(m))).sum(dtype=np.uint64)) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F))
-                k1.append(one)
-                k2.append(two)
+        sample, seen = Sampler(bands * rows), {}
+        for b in parts(batches):
+            w = Words(b.column("text").to_pylist())
+            hashes, count = w.shingles(size)
+            ends = np.cumsum(count)
+            place = (np.arange(len(w.hash)) - np.repeat(w.first, w.count) + 1).astype(np.uint64)
+            whole = np.flatnonzero(w.count)
+            k1, k2 = np.zeros(w.n_texts, np.uint64), np.zeros(w.n_texts, np.uint64)
+            with np.errstate(over="ignore"):
+                for k, m in ((k1, 0x9E3779B97F4A7C15), (k2, 0xC2B2AE3D27D4EB4F)):
+                    if len(whole):
+                        k[whole] = np.add.reduceat(mix(w.hash ^ (place * np.uint64(m))), w.first[whole])
+            keys = []
+            for i, own in enumerate(zip(k1.tolist(), k2.tolist(), strict=True)):
                 if len(seen) > 20_000:
                     seen.clear()
-                if (one, two) not in seen:
-                    chosen = sample(*bag(s)).reshape(bands, rows) if len(s) else np.zeros((0, rows), np.uint64)
+                if not count[i]:
+                    keys.append([])
+                    continue
+                if own not in seen:
+                    chosen = sample(*bag(hashes[ends[i] - count[i] : ends[i]])).reshape(bands, rows)
                     with np.errstate(over="ignore"):
-                        folded = mix((chosen * np.array([3, 5, 7, 11, 13, 17, 19, 23][:rows], np.uint64)).sum(1, dtype=np.uint64) + np.arange(1, len(chosen) + 1, dtype=np.uint64))
-                    seen[one, two] = folded.astype(np.int64).tolist()
-                keys.append(seen[one, two])
-            as_long = lambda x: pa.array(np.array(x, np.uint64).astype(np.int64))
+                        folded = mix((chosen * (2 * np.arange(1, rows + 1, dtype=np.uint64) + np.uint64(1))).sum(1, dtype=np.uint64) + np.arange(1, bands + 1, dtype=np.uint64))
+                    seen[own] = folded.astype(np.int64).tolist()
+                keys.append(seen[own])
+            as_long = lambda x: pa.array(x.astype(np.int64))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), as_long(k1), as_long(k2), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "k1", "k2", "keys"])
 
     sketch = texts.mapInArrow(sketched, "doc_id long, k1 long, k2 long, keys array<long>")
@@ -154,15 +152,14 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
     def bags_of(ids: DataFrame) -> DataFrame:
         """(doc_id, bag) of the given ids: sorted shingle hashes, made anew from the texts."""
         ids = cut(ids.select("doc_id").distinct())
-        test = id_filter(ids, "doc_id")
-        some = texts if test is None else texts.where(test(F.col("doc_id")))
 
         def bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            hashes = WordHashes()
-            for b in _parts(batches):
-                bags = [np.sort(s).tobytes() for _, s in _bags(b.column("text").to_pylist(), hashes, size)]
+            for b in parts(batches):
+                hashes, count = Words(b.column("text").to_pylist()).shingles(size)
+                bags = [np.sort(s).tobytes() for s in np.split(hashes, np.cumsum(count)[:-1])]
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(bags, pa.binary())], ["doc_id", "bag"])
 
+        some = mark(texts, "doc_id", ids).where("__hit").select("doc_id", "text")
         return some.join(ids, "doc_id", "left_semi").mapInArrow(bagged, "doc_id long, bag binary")
 
     def alike(one: tuple, two: tuple) -> bool:
@@ -200,22 +197,28 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
         return sides.mapInArrow(compared, "a long, b long")
 
     def in_full(places: DataFrame) -> DataFrame:
-        """All similar pairs across components of each bucket; large buckets by pairs of chunks, a task for each."""
-        sizes = places.groupBy("key").agg(F.ceil(F.count("*") / chunk).cast("int").alias("p"))
+        """All similar pairs across components of each bucket, in groups of bounded size, a task for each.
+
+        The members of a bucket's largest component are dealt to chunks, one copy of each; the other members meet
+        every such chunk, and one another by pairs of chunks of their own.
+        """
+        of = places.groupBy("key", "component").agg(F.count("*").alias("n"))
+        main = of.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("all")).select("key", F.col("m.component").alias("main"), F.ceil(F.col("m.n") / chunk).cast("int").alias("pm"), F.ceil((F.col("all") - F.col("m.n")) / chunk).cast("int").alias("po"))
+        rows = places.join(main, "key").withColumn("h", F.xxhash64("rep"))
+        inner = rows.where("component = main").select("key", F.lit(-1).alias("lo"), F.pmod("h", "pm").cast("int").alias("hi"), F.lit(-1).alias("mine"), F.col("rep").alias("doc_id"), "component")
+        others = rows.where("component <> main")
+        outer = others.select("key", F.lit(-1).alias("lo"), F.explode(F.sequence(F.lit(0), F.col("pm") - 1)).alias("hi"), F.lit(0).alias("mine"), F.col("rep").alias("doc_id"), "component")
+        own = F.pmod("h", "po").cast("int")
+        apart = others.select("key", own.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("po") - 1)).alias("other"), "rep", "component").select("key", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", F.col("rep").alias("doc_id"), "component")
+        dealt = cut(inner.union(outer).union(apart))
         keys = ["key", "lo", "hi"]
-        dealt = (
-            places.join(sizes, "key").withColumn("mine", F.pmod(F.xxhash64("rep"), F.col("p")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("p") - 1)))
-            .select("key", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", F.col("rep").alias("doc_id"), "component")
-        )
-        sides = dealt.join(bags_of(dealt), "doc_id").repartition(partitions(spark), *keys).sortWithinPartitions(*keys)
+        sides = dealt.join(bags_of(dealt), "doc_id").repartition(partitions(spark), *keys).sortWithinPartitions(*keys, "mine")
 
         def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for table in runs(batches, keys):
+            held, key = [], None
+            for b in batches:
                 a_s, b_s = [], []
-                held: list[tuple] = []
-                key = None
-                for *k, mine, doc, component, raw in zip(*(table.column(c).to_pylist() for c in (*keys, "mine", "doc_id", "component", "bag")), strict=True):
+                for *k, mine, doc, component, raw in zip(*(b.column(c).to_pylist() for c in (*keys, "mine", "doc_id", "component", "bag")), strict=True):
                     if k != key:
                         held, key = [], k
                     new = weighed(raw)
@@ -223,7 +226,8 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
                         if component != component2 and (k[1] == k[2] or mine != mine2) and alike(old, new):
                             a_s.append(doc2)
                             b_s.append(doc)
-                    held.append((mine, doc, component, new))
+                    if k[1] >= 0 or mine < 0:  # of the pairs of two others those in chunks of their own count
+                        held.append((mine, doc, component, new))
                 yield pa.RecordBatch.from_arrays([pa.array(a_s, pa.int64()), pa.array(b_s, pa.int64())], ["a", "b"])
 
         return sides.mapInArrow(compared, "a long, b long")

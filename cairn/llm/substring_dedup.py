@@ -12,7 +12,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import WORD, WordHashes, changes, components, cut, id_filter, mix, partitions, runs
+from cairn.llm.common import Words, changes, components, cut, mark, mix, partitions, parts, run_hashes, runs
 
 #: A paragraph ends at a line end, and before a pair of words whose hash is the least of REACH pairs on either side.
 #: So a passage is cut alike wherever it stands in a line, but for some REACH words at its ends.
@@ -29,14 +29,11 @@ def tune_bands(threshold: float, recall: float, rows: int) -> int:
     return max(1, math.ceil(math.log(1 - recall) / math.log(1 - threshold**rows)))
 
 
-def lower(text: str) -> str:
-    return text.replace("İ", "i").lower()  # the one letter that gets longer
-
-
 @dataclass
 class Paragraphs:
     """Of some texts side by side: number of the text and in the text, first word, words, exact hash, shingles."""
 
+    of: Words
     text: np.ndarray
     seq: np.ndarray
     first: np.ndarray
@@ -57,46 +54,28 @@ class Paragraphs:
         return np.unique(self.hashes[a : a + n - SHINGLE + 1]) if n >= SHINGLE else self.exact[i : i + 1]
 
 
-def paragraphs(texts: list[str | None], hashes: WordHashes) -> Paragraphs:
-    lines = [[WORD.findall(x) for x in lower(t).split("\n")] if t else [] for t in texts]
-    sizes = np.array([len(w) for t in lines for w in t], np.int64)
-    text_of_line = np.repeat(np.arange(len(texts)), [len(t) for t in lines])
-    words = hashes([w for t in lines for ws in t for w in ws])
+def paragraphs(texts: list[str | None]) -> Paragraphs:
+    of = Words(texts)
+    words, line = of.hash, of.lines()
     n = len(words)
-    line = np.repeat(np.arange(len(sizes)), sizes)
-    with np.errstate(over="ignore"):
-        pair = mix(words * np.uint64(0x9E3779B97F4A7C15) + np.append(words[1:], np.uint64(0)))
-        whole = np.zeros(n, np.uint64)
-        for i in range(SHINGLE):
-            whole = whole * np.uint64(0x9E3779B97F4A7C15) + np.append(words[i:], np.zeros(min(i, n), np.uint64))
-    if n:
-        ends = np.append(line[1:] != line[:-1], True)
-        pair[ends] = TOP
-        place = np.arange(n) + REACH * (line + 1)
-        padded = np.full(n + REACH * (len(sizes) + 2), TOP, np.uint64)
-        padded[place] = pair
-        low = sliding_window_view(padded, 2 * REACH + 1).min(1)[place - REACH]
-        starts = (pair == low) & (pair != TOP)
-        starts[0] = True
-        starts[1:] |= line[1:] != line[:-1]
-    else:
-        starts = np.zeros(0, bool)
-    first = np.flatnonzero(starts)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return Paragraphs(of, none, none, none, none, words, words, np.zeros(0, bool))
+    new_line = np.append(True, line[1:] != line[:-1])
+    pair = run_hashes(words, 2)
+    pair[np.append(new_line[1:], True)] = TOP
+    place = np.arange(n) + REACH * np.cumsum(new_line)
+    padded = np.full(place[-1] + REACH + 1, TOP, np.uint64)
+    padded[place] = pair
+    low = sliding_window_view(padded, 2 * REACH + 1).min(1)[place - REACH]
+    first = np.flatnonzero(new_line | ((pair == low) & (pair != TOP)))
     size = np.diff(np.append(first, n))
-    number = np.repeat(np.arange(len(first)), size)
-    inside = np.arange(n) + SHINGLE <= np.append(first, n)[number + 1] if n else np.zeros(0, bool)
+    spot = np.arange(n) - np.repeat(first, size)
+    inside = spot + SHINGLE <= np.repeat(size, size)
     with np.errstate(over="ignore"):
-        spot = (np.arange(n) - first[number] + 1).astype(np.uint64) if n else words
-        exact = mix(np.add.reduceat(mix(words + spot * np.uint64(0xC2B2AE3D27D4EB4F)), first) + size.astype(np.uint64)) if n else words
-    own = text_of_line[line[first]] if n else first
-    seq = np.arange(len(first)) - np.searchsorted(own, own)
-    return Paragraphs(own, seq, first, size, exact, mix(whole), inside)
-
-
-def _parts(batches: Iterator[pa.RecordBatch], size: int = 300) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for lo in range(0, b.num_rows, size):
-            yield b.slice(lo, size)
+        exact = mix(np.add.reduceat(mix(words + (spot + 1).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)), first) + size.astype(np.uint64))
+    own = of.text[first]
+    return Paragraphs(of, own, np.arange(len(first)) - np.searchsorted(own, own), first, size, exact, run_hashes(words, SHINGLE), inside)
 
 
 def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0.97, least_words: int = 20, from_one: float = 0.75) -> DataFrame:
@@ -114,9 +93,8 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text <> ''")
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
-        for b in _parts(batches):
-            p = paragraphs(b.column("text").to_pylist(), hashes)
+        for b in parts(batches):
+            p = paragraphs(b.column("text").to_pylist())
             keys = np.concatenate([p.minima(0), mix(p.minima(1))]).astype(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(keys)], ["key"])
 
@@ -130,25 +108,21 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     bands, rows = tune_bands(threshold, recall, 2), 2
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), shared.value
-        for b in _parts(batches):
-            all_texts, ids = b.column("text").to_pylist(), b.column("doc_id").to_numpy()
-            p = paragraphs(all_texts, hashes)
+        seen = shared.value
+        for b in parts(batches):
+            ids = b.column("doc_id").to_numpy()
+            p = paragraphs(b.column("text").to_pylist())
             hit = np.zeros(len(p.first), bool)
             for key in (p.minima(0), mix(p.minima(1))):
                 at = (key & np.uint64(MAP_BITS - 1)).astype(np.int64)
                 hit |= (seen[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
             at = np.flatnonzero(hit)
-            start, end = np.zeros(len(at), np.int32), np.zeros(len(at), np.int32)
-            offset = np.searchsorted(p.text, np.arange(len(all_texts)))
-            for t in np.unique(p.text[at]):
-                spans = [m.span() for m in WORD.finditer(lower(all_texts[t]))]
-                base = p.first[offset[t]]
-                for i in np.flatnonzero(p.text[at] == t):
-                    a = p.first[at[i]] - base
-                    start[i], end[i] = spans[a][0], spans[a + p.words[at[i]] - 1][1]
+            point = p.of.points()
+            base = point[p.of.text_start[p.text[at]]]
+            start = point[p.of.start[p.first[at]]] - base
+            end = point[p.of.end[p.first[at] + p.words[at] - 1]] - base
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[p.text[at]]), pa.array(p.seq[at].astype(np.int32)), pa.array(start), pa.array(end), pa.array(p.words[at].astype(np.int32)), pa.array(p.exact[at].astype(np.int64)), pa.array([p.shingles(i).astype(np.int64) for i in at], pa.list_(pa.int64()))],
+                [pa.array(ids[p.text[at]]), pa.array(p.seq[at].astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(p.words[at].astype(np.int32)), pa.array(p.exact[at].astype(np.int64)), pa.array([p.shingles(i).astype(np.int64) for i in at], pa.list_(pa.int64()))],
                 ["doc_id", "seq", "start", "end", "words", "exact", "shingles"],
             )
 
@@ -230,13 +204,10 @@ def remove(docs: DataFrame, passages: DataFrame) -> DataFrame:
     Only documents that the passages' ids may hit are joined; the others pass by a fixed-size filter.
     """
     passages = cut(passages)
-    test = id_filter(passages, "doc_id")
-    if test is None:
-        return docs
     spans = passages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans")).withColumnRenamed("doc_id", "__doc_id")
-    hit = F.coalesce(test(F.col("doc_id").cast("long")), F.lit(False))
+    marked = mark(docs, "doc_id", passages.select("doc_id"))
     text, empty = F.col("text"), F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
     step = lambda acc, s: F.struct(F.concat(acc["done"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"])).alias("done"), s["end"].alias("at"))
     cleaned = F.aggregate("__spans", empty, step, lambda acc: F.concat(acc["done"], F.substring(text, acc["at"] + 1, F.length(text))))
-    some = docs.where(hit).join(spans, F.col("doc_id") == F.col("__doc_id"), "left").withColumn("text", F.coalesce(cleaned, text)).select(*docs.columns)
-    return docs.where(~hit).unionByName(some)
+    some = marked.where("__hit").join(spans, F.col("doc_id") == F.col("__doc_id"), "left").withColumn("text", F.coalesce(cleaned, text)).select(*docs.columns)
+    return marked.where("not __hit").select(*docs.columns).unionByName(some)
