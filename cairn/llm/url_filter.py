@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from cairn.llm.common import partitions
 
-LAST = F.lit(b"\xff")
+LAST = b"\xff"
 
 
 def host_of(url: Column) -> Column:
@@ -44,7 +44,7 @@ def sweep(rows: DataFrame, intervals: DataFrame, group: str, key: str, value: st
     names = [c for c in rows.columns if c != value]
     kind = intervals.schema[value].dataType
     dealt = rows.select(*names, F.pmod(F.xxhash64(*names), F.lit(salts)).alias("__salt"), F.col(key).cast("binary").alias("__at"), F.lit(1).alias("__row"), F.lit(None).cast("boolean").alias("__mark"), F.lit(None).cast(kind).alias("__value"))
-    ends = F.explode(F.array(F.struct(F.col("lo").alias("at"), F.col(value).alias("v")), F.struct(F.concat("lo", LAST).alias("at"), F.col("outer").alias("v"))))
+    ends = F.explode(F.array(F.struct(F.col("lo").alias("at"), F.col(value).alias("v")), F.struct(F.concat("lo", F.lit(LAST)).alias("at"), F.col("outer").alias("v"))))
     marks = intervals.select(F.col(group), ends.alias("__e")).withColumn("__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long"))))
     nothing = [F.lit(None).cast(rows.schema[c].dataType).alias(c) if c != group else F.col(group) for c in names]
     marks = marks.select(*nothing, "__salt", F.col("__e.at").alias("__at"), F.lit(0).alias("__row"), F.lit(True).alias("__mark"), F.col("__e.v").alias("__value"))
