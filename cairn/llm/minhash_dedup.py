@@ -16,8 +16,8 @@ from cairn.llm.common import Words, components, cut, mark, mix, partitions, part
 #: true one on average, 0.2 % of the documents at 500 shingles each, at every size of the corpus.
 WIDTH = 1 << 18
 #: This share of the documents is added to every document frequency, so that copies stay alike when thousands share
-#: their shingles: what all documents hold weighs half of what one holds.
-SMOOTH = 0.1
+#: their shingles: what all documents hold weighs four fifths of what one holds.
+SMOOTH = 0.5
 
 
 def plan_bands(threshold: float, recall: float, rows: int) -> int:
@@ -215,15 +215,23 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
         sides = dealt.join(bags_of(dealt), "doc_id").repartition(partitions(spark), *keys).sortWithinPartitions(*keys, "mine")
 
         def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held, key = [], None
+            held, key, root = [], None, {}
+
+            def top(c: int) -> int:
+                while root.get(c, c) != c:
+                    c = root[c]
+                return c
+
             for b in batches:
                 a_s, b_s = [], []
                 for *k, mine, doc, component, raw in zip(*(b.column(c).to_pylist() for c in (*keys, "mine", "doc_id", "component", "bag")), strict=True):
                     if k != key:
-                        held, key = [], k
+                        held, key, root = [], k, {}
                     new = weighed(raw)
-                    for mine2, doc2, component2, old in held:
-                        if component != component2 and (k[1] == k[2] or mine != mine2) and alike(old, new):
+                    for mine2, doc2, component2, old in held if mine >= 0 else ():
+                        # one link joins two components in this group; more of them say nothing new
+                        if top(component) != top(component2) and (k[1] == k[2] or mine != mine2) and alike(old, new):
+                            root[top(component)] = top(component2)
                             a_s.append(doc2)
                             b_s.append(doc)
                     if k[1] >= 0 or mine < 0:  # of the pairs of two others those in chunks of their own count
