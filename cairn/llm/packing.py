@@ -18,8 +18,9 @@ from cairn.llm.common import cut
 CHUNKS = 64
 # Letters whose normal form and lower case are the same alone as in context, and white space that all agree on.
 PLAIN = re.compile("[\\x00-\\x1b\\x20-\\u012f\\u0131-\\u01c3\\u01cd-\\u01f0\\u01f4-\\u024f]*")
-# fixed values: the tokenizer file's own splitting of normalised text
-SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+# fixed values: the tokenizer file's own splitting of normalised text, said for plain text: contractions, runs of
+# letters, single numbers, and runs of what is neither
+SPLIT = re.compile("'(?:[stmd]|re|ve|ll)|[^\\W\\d_\u00b2\u00b3\u00b9\u00bc-\u00be]+|[\\d\u00b2\u00b3\u00b9\u00bc-\u00be]|(?:[^\\s\\w]|_)+")
 
 
 class Encoder:
@@ -29,28 +30,40 @@ class Encoder:
     letters whose normal form may depend on their neighbours go to the tokenizer whole.
     """
 
-    def __init__(self, json_text: str, known_words: int = 300_000):
-        import regex
-        from tokenizers import Tokenizer
+    def __init__(self, json_text: str, known_words: int = 500_000):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_str(json_text)
-        self.find = regex.compile(SPLIT).findall
+        self.tokenizer, self.words = Tokenizer.from_str(json_text), Tokenizer.from_str(json_text)
+        # many normalised words as one text: a line each
+        self.words.normalizer = normalizers.Sequence([])
+        self.words.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split("\n", "removed"), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.known_words = known_words
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        words = [self.find(t.lower()) if t and self.plain(t) else None for t in texts]
+        words = [SPLIT.findall(t.lower()) if t and self.plain(t) else None for t in texts]
         if len(self.known) > self.known_words:
             self.known.clear()
-        fresh = list(set().union(*(w for w in words if w)).difference(self.known))
-        for lo in range(0, len(fresh), 20_000):
-            part = fresh[lo : lo + 20_000]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, "<u4").tobytes()
+        self.learn(list(set().union(*(w for w in words if w)).difference(self.known)))
         get = self.known.__getitem__
         return [b"".join(map(get, w)) if w is not None else self.whole(t) for t, w in zip(texts, words, strict=True)]
 
+    def learn(self, words: list[str]) -> None:
+        """Ids of words; a token that ends a word tells where the next one begins."""
+        if not words:
+            return
+        ids = np.array(self.words.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        ends = (np.flatnonzero(self.last[ids]) + 1) * 4
+        if len(ends) == len(words):
+            raw = ids.tobytes()
+            self.known.update(zip(words, (raw[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)), strict=True))
+        else:
+            self.known.update((w, self.whole(w)) for w in words)
+
     def plain(self, text: str) -> bool:
         return PLAIN.fullmatch(text) is not None and not any(s in text for s in self.special)
 
@@ -58,6 +71,17 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes() if text else b""
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder(json_text: str) -> Encoder:
+    """The worker's encoder of a tokenizer, with the words it knows from earlier tasks."""
+    if json_text not in _encoders:
+        _encoders.clear()
+        _encoders[json_text] = Encoder(json_text)
+    return _encoders[json_text]
+
+
 def pieces(docs: DataFrame, tokenizer_json: str, size: int = 4096, end_id: int = 1) -> DataFrame:
     """Rows ``(doc_id, piece, start, length, ids_crc32)``: each document's ids and ``end_id``, cut only if longer
     than ``size``. A null or empty text is ``end_id`` alone; rows that repeat a doc_id are documents of their own."""
@@ -65,6 +89,7 @@ def pieces(docs: DataFrame, tokenizer_json: str, size: int = 4096, end_id: int =
     end, step = np.array([end_id], "<u4").tobytes(), 4 * size
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(shared.value)
         encode = Encoder(shared.value)
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
