@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,14 @@ from cairn.session import cut, shared_folder
 __all__ = ["cut", "shared_folder"]
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder as Parquet and read again: a cut for large tables, compressed."""
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

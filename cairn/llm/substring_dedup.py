@@ -12,13 +12,13 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import Words, changes, components, cut, mark, mix, partitions, parts, run_hashes, runs
+from cairn.llm.common import Words, changes, components, cut, mark, mix, partitions, parts, run_hashes, runs, stored
 
 #: A paragraph ends at a line end, and before a pair of words whose hash is the least of REACH pairs on either side.
 #: So a passage is cut alike wherever it stands in a line, but for some REACH words at its ends.
 REACH = 4
 SHINGLE = 5
-#: Bits of the map of repeated band keys (4 MB). Where it fills up, more paragraphs are compared, to the same end.
+#: Bits of the maps of keys that spare rows a shuffle (4 MB). Where one fills up, more rows go to the exact join.
 MAP_BITS = 1 << 25
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 SALTS = mix(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
@@ -78,7 +78,21 @@ def paragraphs(texts: list[str | None]) -> Paragraphs:
     return Paragraphs(of, own, np.arange(len(first)) - np.searchsorted(own, own), first, size, exact, run_hashes(words, SHINGLE), inside)
 
 
-def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0.97, least_words: int = 20, from_one: float = 0.75) -> DataFrame:
+def key_map(df: DataFrame, column: str) -> np.ndarray:
+    """A map of MAP_BITS bits, by their low bits, of the hashes in ``column``; at most 1,024 rows of 4 KB are collected."""
+    spot = df.select((F.col(column).bitwiseAND(F.lit(MAP_BITS - 1)) + 1).alias("s"))
+    bits = np.zeros(MAP_BITS // 8, np.uint8)
+    for r in spot.groupBy(F.bitmap_bucket_number("s").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("m")).collect():
+        bits[(r.k - 1) * 4096 : r.k * 4096] |= np.frombuffer(bytes(r.m), np.uint8)
+    return bits
+
+
+def in_map(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = (keys & np.uint64(MAP_BITS - 1)).astype(np.int64)
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0.95, least_words: int = 20, from_one: float = 0.75) -> DataFrame:
     """Rows ``(doc_id, start, end, words, source)``: the passages to remove, code points of the text, end exclusive.
 
     Paragraphs are linked if the Jaccard similarity of their five-word shingles is at least ``threshold`` (a
@@ -87,65 +101,51 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     words together, of which ``from_one`` of ``least_words`` stay in one document, so that common short phrases in
     a row are none; ``source`` is that document. Case and punctuation don't count.
     Null and empty texts have no passage; rows without an id are left out, of rows that repeat a doc_id the greatest
-    text counts once. Only doc_id and text are read.
+    text counts once. Only doc_id and text are read, and texts are never shuffled: each step cuts them anew.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text <> ''")
-
-    def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = 2
+    bands = tune_bands(threshold, recall, rows)
+    # sets of fewer shingles are as similar as asked for only if they are equal
+    least = math.ceil(threshold / (1 - threshold) - 1e-9)
+
+    def band_keys(p: Paragraphs) -> tuple[np.ndarray, np.ndarray]:
+        """The paragraphs that may have a partner that isn't equal, and a row of band keys for each band."""
+        at = np.flatnonzero(p.words - SHINGLE + 1 >= least)
+        low = [p.minima(i)[at] for i in range(bands * rows)]
+        with np.errstate(over="ignore"):
+            return at, np.array([mix(low[rows * b] * np.uint64(3) + low[rows * b + 1] * np.uint64(5) + np.uint64(b)) for b in range(bands)], np.uint64).reshape(bands, len(at))
+
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts(batches):
             p = paragraphs(b.column("text").to_pylist())
-            keys = np.concatenate([p.minima(0), mix(p.minima(1))]).astype(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(keys)], ["key"])
-
-    # the keys of the first, coarse bands that occur twice in the corpus, as a map of bits
-    spot = F.col("key").bitwiseAND(F.lit(MAP_BITS - 1)) + 1
-    often = texts.select("text").mapInArrow(keyed, "key long").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(spot.alias("s"))
-    bits = np.zeros(MAP_BITS // 8, np.uint8)
-    for r in often.groupBy(F.bitmap_bucket_number("s").alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("m")).collect():
-        bits[(r.k - 1) * 4096 : r.k * 4096] |= np.frombuffer(bytes(r.m), np.uint8)
-    shared = spark.sparkContext.broadcast(bits)
-    bands, rows = tune_bands(threshold, recall, 2), 2
+            yield pa.RecordBatch.from_arrays([pa.array(p.exact.astype(np.int64)), pa.array(b.column("doc_id").to_numpy()[p.text]), pa.array(p.seq.astype(np.int32))], ["exact", "doc_id", "seq"])
 
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = shared.value
+    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts(batches):
-            ids = b.column("doc_id").to_numpy()
             p = paragraphs(b.column("text").to_pylist())
-            hit = np.zeros(len(p.first), bool)
-            for key in (p.minima(0), mix(p.minima(1))):
-                at = (key & np.uint64(MAP_BITS - 1)).astype(np.int64)
-                hit |= (seen[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-            at = np.flatnonzero(hit)
-            point = p.of.points()
-            base = point[p.of.text_start[p.text[at]]]
-            start = point[p.of.start[p.first[at]]] - base
-            end = point[p.of.end[p.first[at] + p.words[at] - 1]] - base
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[p.text[at]]), pa.array(p.seq[at].astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(p.words[at].astype(np.int32)), pa.array(p.exact[at].astype(np.int64)), pa.array([p.shingles(i).astype(np.int64) for i in at], pa.list_(pa.int64()))],
-                ["doc_id", "seq", "start", "end", "words", "exact", "shingles"],
-            )
-
-    found = texts.mapInArrow(candidates, "doc_id long, seq int, start int, end int, words int, exact long, shingles array<long>")
-    classes = found.groupBy("exact").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "seq")).alias("first"), F.min("shingles").alias("shingles"))
-    classes = cut(classes)
+            at, keys = band_keys(p)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().astype(np.int64)), pa.array(np.tile(p.exact[at].astype(np.int64), bands))], ["key", "exact"])
+
+    # equal paragraphs: one row for each text that stands in two places, with the first of them
+    first = F.min(F.struct("doc_id", "seq")).alias("first")
+    equal = texts.mapInArrow(placed, "exact long, doc_id long, seq int").groupBy("exact").agg(F.count("*").alias("n"), first)
+    # bands in which different paragraphs collide
+    collide = texts.select("text").mapInArrow(banded, "key long, exact long").groupBy("key").agg(F.min("exact").alias("low"), F.max("exact").alias("high")).where("low < high").select("key")
+    collide = cut(collide)
+    hot = spark.sparkContext.broadcast(key_map(collide, "key"))
+
+    def colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in parts(batches):
+            p = paragraphs(b.column("text").to_pylist())
+            at, keys = band_keys(p)
+            band, i = np.nonzero(in_map(hot.value, keys))
+            sets = [p.shingles(j).astype(np.int64) for j in at]
+            yield pa.RecordBatch.from_arrays([pa.array(keys[band, i].astype(np.int64)), pa.array(p.exact[at[i]].astype(np.int64)), pa.array([sets[j] for j in i], pa.list_(pa.int64()))], ["key", "exact", "shingles"])
 
-    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            starts, flat = b.column("shingles").offsets.to_numpy(), b.column("shingles").flatten().to_numpy().astype(np.uint64)
-            starts = starts[:-1] - starts[0]
-            if not len(flat):
-                continue
-            low = [np.minimum.reduceat(mix(flat ^ SALTS[i]), starts) for i in range(bands * rows)]
-            for band in range(bands):
-                with np.errstate(over="ignore"):
-                    key = mix(low[rows * band] * np.uint64(3) + low[rows * band + 1] * np.uint64(5) + np.uint64(band))
-                yield pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), b.column("exact"), b.column("shingles")], ["key", "exact", "shingles"])
-
-    # classes that collide in a band: the links of each to the first one of the band that it is similar to
-    keys = classes.select("exact", "shingles").mapInArrow(banded, "key long, exact long, shingles array<long>")
-    many = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    together = keys.join(many, "key").repartition(partitions(spark), "key").sortWithinPartitions("key", "exact")
+    together = texts.select("text").mapInArrow(colliding, "key long, exact long, shingles array<long>").groupBy("key", "exact").agg(F.min("shingles").alias("shingles"))
+    together = together.join(collide, "key", "left_semi").repartition(partitions(spark), "key").sortWithinPartitions("key", "exact")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, ["key"]):
@@ -168,12 +168,35 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
                             b_s.append(ids[i])
             yield pa.RecordBatch.from_arrays([pa.array(a_s, pa.int64()), pa.array(b_s, pa.int64())], ["a", "b"])
 
-    group = components(together.mapInArrow(verified, "a long, b long"))
-    grouped = classes.select("exact", "n", "first").join(group.withColumnRenamed("node", "exact"), "exact", "left").withColumn("component", F.coalesce("component", "exact"))
-    kept = grouped.groupBy("component").agg(F.sum("n").alias("n"), F.min("first").alias("first")).where("n > 1").select("component", "first")
-    doubtful = grouped.join(kept.withColumnRenamed("first", "source"), "component").select("exact", "source")
-    later = found.select("doc_id", "seq", "start", "end", "words", "exact").join(doubtful, "exact").where("struct(doc_id, seq) > source")
-    later = later.groupBy("doc_id", "seq").agg(F.max("start").alias("start"), F.max("end").alias("end"), F.max("words").alias("words"), F.min("source.doc_id").alias("source"))
+    group = cut(components(together.mapInArrow(verified, "a long, b long")))
+    # the component of each repeated paragraph and its first place; most have no partner but equal ones
+    marked = mark(equal, "exact", group.select("node"), bits=MAP_BITS).where("n > 1 or __hit")
+    linked = marked.where("__hit").join(group.withColumnRenamed("node", "exact"), "exact").select("exact", "component", "first")
+    source = linked.groupBy("component").agg(F.min("first").alias("source"))
+    near = linked.join(source, "component").select("exact", "source")
+    alone = marked.where("n > 1 and not __hit")
+    maybe = marked.where("n > 1 and __hit").join(group.select(F.col("node").alias("exact")), "exact", "left_anti")
+    doubtful = stored(alone.unionByName(maybe).select("exact", F.col("first").alias("source")).unionByName(near))
+    wanted = spark.sparkContext.broadcast(key_map(doubtful, "exact"))
+
+    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in parts(batches):
+            ids = b.column("doc_id").to_numpy()
+            p = paragraphs(b.column("text").to_pylist())
+            at = np.flatnonzero(in_map(wanted.value, p.exact))
+            point = p.of.points()
+            base = point[p.of.text_start[p.text[at]]]
+            start = point[p.of.start[p.first[at]]] - base
+            end = point[p.of.end[p.first[at] + p.words[at] - 1]] - base
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(p.exact[at].astype(np.int64)), pa.array(ids[p.text[at]]), pa.array(p.seq[at].astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(p.words[at].astype(np.int32))],
+                ["exact", "doc_id", "seq", "start", "end", "words"],
+            )
+
+    found = texts.mapInArrow(candidates, "exact long, doc_id long, seq int, start int, end int, words int")
+    later = found.join(doubtful, "exact").where("struct(doc_id, seq) > source").select("doc_id", "seq", "start", "end", "words", F.col("source.doc_id").alias("source"))
+    later = later.repartition(partitions(spark), "doc_id")  # all that follows stays within these partitions
+    later = later.groupBy("doc_id", "seq").agg(F.max("start").alias("start"), F.max("end").alias("end"), F.max("words").alias("words"), F.min("source").alias("source"))
     stretch = later.withColumn("island", F.col("seq") - F.row_number().over(Window.partitionBy("doc_id").orderBy("seq")))
     by_source = stretch.groupBy("doc_id", "island", "source").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"))
     most = F.max(F.struct("words", (-F.col("source")).alias("low"))).alias("most")
