@@ -1,4 +1,5 @@
-"""Repeated passages: paragraphs with content-defined edges, MinHash bands, exact Jaccard, components, removal."""
+"""Repeated passages: lines, stretches of lines and fragments with content-defined edges, MinHash bands, exact Jaccard,
+components, removal."""
 
 from __future__ import annotations
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from cairn.llm.common import Words, changes, components, cut, mark, mix, partitions, parts, run_hashes, runs, stored
 
-#: A paragraph ends at a line end, and before a pair of words whose hash is the least of REACH pairs on either side.
+#: A fragment ends at a line end, and before a pair of words whose hash is the least of REACH pairs on either side.
 #: So a passage is cut alike wherever it stands in a line, but for some REACH words at its ends.
 REACH = 4
 SHINGLE = 5
@@ -31,21 +32,26 @@ def tune_bands(threshold: float, recall: float, rows: int) -> int:
 
 @dataclass
 class Paragraphs:
-    """Of some texts side by side: number of the text and in the text, first word, words, exact hash, shingles."""
+    """Of some texts side by side: first the fragments, then the lines of several fragments, then the stretches of
+    several lines between blank ones. Number of the text, number in the text of its first and last fragment, first
+    word, words, exact hash; ``at`` is the first fragment's place among all."""
 
     of: Words
     text: np.ndarray
     seq: np.ndarray
+    last: np.ndarray
     first: np.ndarray
     words: np.ndarray
     exact: np.ndarray
+    at: np.ndarray
     hashes: np.ndarray
-    inside: np.ndarray
+    #: Of each kind: first words of all, which places begin a shingle inside, and which of all count.
+    kinds: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
     def minima(self, which: int) -> np.ndarray:
         """MinHash number ``which`` of each paragraph's shingles."""
-        h = np.where(self.inside, mix(self.hashes ^ SALTS[which]), TOP)
-        low = np.minimum.reduceat(h, self.first) if len(self.first) else h
+        h = mix(self.hashes ^ SALTS[which])
+        low = np.concatenate([np.minimum.reduceat(np.where(inside, h, TOP), first)[kept] if len(first) else h for first, inside, kept in self.kinds])
         return np.where(low == TOP, mix(self.exact ^ SALTS[which]), low)
 
     def shingles(self, i: int) -> np.ndarray:
@@ -60,22 +66,36 @@ def paragraphs(texts: list[str | None]) -> Paragraphs:
     n = len(words)
     if not n:
         none = np.zeros(0, np.int64)
-        return Paragraphs(of, none, none, none, none, words, words, np.zeros(0, bool))
+        return Paragraphs(of, none, none, none, none, none, words, none, words, [(none, np.zeros(0, bool), none)])
+    new_text = np.append(True, of.text[1:] != of.text[:-1])
     new_line = np.append(True, line[1:] != line[:-1])
+    new_stretch = new_text | np.append(True, line[1:] > line[:-1] + 1)
     pair = run_hashes(words, 2)
     pair[np.append(new_line[1:], True)] = TOP
     place = np.arange(n) + REACH * np.cumsum(new_line)
     padded = np.full(place[-1] + REACH + 1, TOP, np.uint64)
     padded[place] = pair
     low = sliding_window_view(padded, 2 * REACH + 1).min(1)[place - REACH]
-    first = np.flatnonzero(new_line | ((pair == low) & (pair != TOP)))
-    size = np.diff(np.append(first, n))
-    spot = np.arange(n) - np.repeat(first, size)
-    inside = spot + SHINGLE <= np.repeat(size, size)
-    with np.errstate(over="ignore"):
-        exact = mix(np.add.reduceat(mix(words + (spot + 1).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)), first) + size.astype(np.uint64))
-    own = of.text[first]
-    return Paragraphs(of, own, np.arange(len(first)) - np.searchsorted(own, own), first, size, exact, run_hashes(words, SHINGLE), inside)
+    fragments = np.flatnonzero(new_line | ((pair == low) & (pair != TOP)))
+    own = of.text[fragments]
+    seq = np.arange(len(fragments)) - np.searchsorted(own, own)
+    kinds, rows = [], []
+    for kind, first in enumerate((fragments, np.flatnonzero(new_line), np.flatnonzero(new_stretch))):
+        size = np.diff(np.append(first, n))
+        spot = np.arange(n) - np.repeat(first, size)
+        inside = spot + SHINGLE <= np.repeat(size, size)
+        with np.errstate(over="ignore"):
+            exact = mix(np.add.reduceat(mix(words + (spot + 1).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)), first) + size.astype(np.uint64))
+        at = np.searchsorted(fragments, first)
+        pieces = np.diff(np.append(at, len(fragments)))
+        kept = np.arange(len(first))
+        if kind == 1:
+            kept = np.flatnonzero(pieces > 1)
+        elif kind == 2:  # in a text without a blank line, the lines are the paragraphs
+            kept = np.flatnonzero((np.add.reduceat(new_line.astype(np.int64), first) > 1) & (np.bincount(of.text[first])[of.text[first]] > 1))
+        kinds.append((first, inside, kept))
+        rows.append((of.text[first][kept], seq[at[kept]], seq[at[kept]] + pieces[kept] - 1, first[kept], size[kept], exact[kept], at[kept]))
+    return Paragraphs(of, *map(np.concatenate, zip(*rows, strict=True)), run_hashes(words, SHINGLE), kinds)
 
 
 def key_map(df: DataFrame, column: str) -> np.ndarray:
@@ -92,14 +112,16 @@ def in_map(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0.95, least_words: int = 20, from_one: float = 0.75) -> DataFrame:
+def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99, least_words: int = 20, from_one: float = 0.75) -> DataFrame:
     """Rows ``(doc_id, start, end, words, source)``: the passages to remove, code points of the text, end exclusive.
 
-    Paragraphs are linked if the Jaccard similarity of their five-word shingles is at least ``threshold`` (a
-    paragraph of fewer words is one shingle); linked ones are one component, of which the first place, by doc_id
-    and place in the text, stays. A passage is a stretch of paragraphs that all are later copies, of ``least_words``
-    words together, of which ``from_one`` of ``least_words`` stay in one document, so that common short phrases in
-    a row are none; ``source`` is that document. Case and punctuation don't count.
+    Paragraphs are lines, stretches of lines between blank ones, and the fragments of lines. They are linked if the
+    Jaccard similarity of their five-word shingles is at least ``threshold`` (a paragraph of fewer words is one
+    shingle), with probability ``recall`` at the threshold; linked ones are one component, of which the first place,
+    by doc_id and place in the text, stays; what overlaps it is no copy of it. A passage is a stretch of fragments
+    that all are in later copies, of ``least_words`` words together, of which ``from_one`` of ``least_words`` stay in
+    one document, so that common short phrases in a row are none; ``source`` is that document. Case and punctuation
+    don't count.
     Null and empty texts have no passage; rows without an id are left out, of rows that repeat a doc_id the greatest
     text counts once. Only doc_id and text are read, and texts are never shuffled: each step cuts them anew.
     """
@@ -120,7 +142,7 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts(batches):
             p = paragraphs(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(p.exact.astype(np.int64)), pa.array(b.column("doc_id").to_numpy()[p.text]), pa.array(p.seq.astype(np.int32))], ["exact", "doc_id", "seq"])
+            yield pa.RecordBatch.from_arrays([pa.array(p.exact.astype(np.int64)), pa.array(b.column("doc_id").to_numpy()[p.text]), pa.array(p.seq.astype(np.int32)), pa.array(p.last.astype(np.int32))], ["exact", "doc_id", "seq", "last"])
 
     def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts(batches):
@@ -129,8 +151,8 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().astype(np.int64)), pa.array(np.tile(p.exact[at].astype(np.int64), bands))], ["key", "exact"])
 
     # equal paragraphs: one row for each text that stands in two places, with the first of them
-    first = F.min(F.struct("doc_id", "seq")).alias("first")
-    equal = texts.mapInArrow(placed, "exact long, doc_id long, seq int").groupBy("exact").agg(F.count("*").alias("n"), first)
+    first = F.min(F.struct("doc_id", "seq", "last")).alias("first")
+    equal = texts.mapInArrow(placed, "exact long, doc_id long, seq int, last int").groupBy("exact").agg(F.count("*").alias("n"), first)
     # bands in which different paragraphs collide
     collide = texts.select("text").mapInArrow(banded, "key long, exact long").groupBy("key").agg(F.min("exact").alias("low"), F.max("exact").alias("high")).where("low < high").select("key")
     collide = cut(collide)
@@ -141,8 +163,8 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
             p = paragraphs(b.column("text").to_pylist())
             at, keys = band_keys(p)
             band, i = np.nonzero(in_map(hot.value, keys))
-            sets = [p.shingles(j).astype(np.int64) for j in at]
-            yield pa.RecordBatch.from_arrays([pa.array(keys[band, i].astype(np.int64)), pa.array(p.exact[at[i]].astype(np.int64)), pa.array([sets[j] for j in i], pa.list_(pa.int64()))], ["key", "exact", "shingles"])
+            sets = {j: p.shingles(at[j]).astype(np.int64) for j in np.unique(i).tolist()}
+            yield pa.RecordBatch.from_arrays([pa.array(keys[band, i].astype(np.int64)), pa.array(p.exact[at[i]].astype(np.int64)), pa.array([sets[j] for j in i.tolist()], pa.list_(pa.int64()))], ["key", "exact", "shingles"])
 
     together = texts.select("text").mapInArrow(colliding, "key long, exact long, shingles array<long>").groupBy("key", "exact").agg(F.min("shingles").alias("shingles"))
     together = together.join(collide, "key", "left_semi").repartition(partitions(spark), "key").sortWithinPartitions("key", "exact")
@@ -183,20 +205,27 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
         for b in parts(batches):
             ids = b.column("doc_id").to_numpy()
             p = paragraphs(b.column("text").to_pylist())
-            at = np.flatnonzero(in_map(wanted.value, p.exact))
+            hit = np.flatnonzero(in_map(wanted.value, p.exact))
+            pieces = p.last[hit] - p.seq[hit] + 1
+            at = np.repeat(p.at[hit] - np.cumsum(pieces) + pieces, pieces) + np.arange(pieces.sum())  # the fragments of each
+            hit = np.repeat(hit, pieces)
             point = p.of.points()
             base = point[p.of.text_start[p.text[at]]]
             start = point[p.of.start[p.first[at]]] - base
             end = point[p.of.end[p.first[at] + p.words[at] - 1]] - base
+            small = lambda x: pa.array(x.astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(p.exact[at].astype(np.int64)), pa.array(ids[p.text[at]]), pa.array(p.seq[at].astype(np.int32)), pa.array(start.astype(np.int32)), pa.array(end.astype(np.int32)), pa.array(p.words[at].astype(np.int32))],
-                ["exact", "doc_id", "seq", "start", "end", "words"],
+                [pa.array(p.exact[hit].astype(np.int64)), pa.array(ids[p.text[at]]), small(p.seq[hit]), small(p.words[hit]), small(p.seq[at]), small(start), small(end), small(p.words[at])],
+                ["exact", "doc_id", "place", "size", "seq", "start", "end", "words"],
             )
 
-    found = texts.mapInArrow(candidates, "exact long, doc_id long, seq int, start int, end int, words int")
-    later = found.join(doubtful, "exact").where("struct(doc_id, seq) > source").select("doc_id", "seq", "start", "end", "words", F.col("source.doc_id").alias("source"))
+    found = texts.mapInArrow(candidates, "exact long, doc_id long, place int, size int, seq int, start int, end int, words int")
+    later = found.join(doubtful, "exact").where("doc_id > source.doc_id or doc_id = source.doc_id and place > source.last")
+    later = later.select("doc_id", "seq", "start", "end", "words", "size", F.col("source.doc_id").alias("source"))
     later = later.repartition(partitions(spark), "doc_id")  # all that follows stays within these partitions
-    later = later.groupBy("doc_id", "seq").agg(F.max("start").alias("start"), F.max("end").alias("end"), F.max("words").alias("words"), F.min("source").alias("source"))
+    longest = F.max(F.struct("size", (-F.col("source")).alias("low"))).alias("longest")  # of the copies that hold a fragment
+    later = later.groupBy("doc_id", "seq").agg(F.max("start").alias("start"), F.max("end").alias("end"), F.max("words").alias("words"), longest)
+    later = later.select("doc_id", "seq", "start", "end", "words", (-F.col("longest.low")).alias("source"))
     stretch = later.withColumn("island", F.col("seq") - F.row_number().over(Window.partitionBy("doc_id").orderBy("seq")))
     by_source = stretch.groupBy("doc_id", "island", "source").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"))
     most = F.max(F.struct("words", (-F.col("source")).alias("low"))).alias("most")

@@ -381,6 +381,30 @@ def test_repeated_passages_are_cut_wherever_they_stand(spark):
     assert all(set(rows[i][1].split()) - set(passage.split()) <= set(cleaned[i].split()) for i in range(20))
 
 
+def test_edited_paragraphs_are_cut(spark):
+    r = random.Random(11)
+    fresh = lambda n: [f"v{r.randint(0, 99999)}" for _ in range(n)]
+    rows, want = [], set()
+    for k, n in enumerate([*range(50, 201, 5)] * 2):
+        words = fresh(n)
+        edited = [*words[: n // 2], "changed", *words[n // 2 + 1 :]]
+        if k % 2:  # the same words as one line, and in lines of ten between blank ones
+            edited = "\n".join(" ".join(edited[i : i + 10]) for i in range(0, n, 10))
+            rows += [(2 * k, " ".join(words)), (2 * k + 1, f"{' '.join(fresh(12))}\n\n{edited}\n\n{' '.join(fresh(30))}")]
+        else:
+            rows += [(2 * k, f"{' '.join(fresh(30))}\n{' '.join(words)}"), (2 * k + 1, f"{' '.join(edited)}\n{' '.join(fresh(30))}")]
+        want.add((2 * k + 1, n))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(x.doc_id, x.n_removed_words) for x in substring_dedup.judge(df).where("n_passages > 0").collect()}
+    assert {i for i, _ in got} <= {i for i, _ in want} and len(got & want) >= 0.97 * len(want)
+
+
+def test_a_paragraph_is_no_copy_of_what_it_lies_in(spark):
+    a = " ".join(f"w{i}" for i in range(60))
+    df = spark.createDataFrame([(1, f"one two\n{a}\n\nend"), (2, a)], "doc_id long, text string")
+    assert [(x.doc_id, x.n_removed_words) for x in substring_dedup.judge(df).where("n_passages > 0").collect()] == [(2, 60)]
+
+
 def test_substring_odd_rows(spark, odd):
     out = substring_dedup.judge(odd).collect()
     assert len(out) == 8 and {x.doc_id for x in out if x.n_passages} == {4}
