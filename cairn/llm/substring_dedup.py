@@ -13,7 +13,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import Words, changes, components, cut, mark, mix, partitions, parts, run_hashes, runs, stored
+from cairn.llm.common import Words, components, cut, mark, mix, partitions, parts, run_hashes, stored
 
 #: A fragment ends at a line end, and before a pair of words whose hash is the least of REACH pairs on either side.
 #: So a passage is cut alike wherever it stands in a line, but for some REACH words at its ends.
@@ -112,7 +112,76 @@ def in_map(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
-def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99, least_words: int = 20, from_one: float = 0.75) -> DataFrame:
+def linked_pairs(places: DataFrame, threshold: float, chunk: int) -> DataFrame:
+    """(a, b): links that join all ``places`` (key, exact, shingles) of one key whose sets are similar, also over others.
+
+    The members of a key are dealt to parts of about ``chunk``, a task for each, and compared with the key's head and
+    with one another. Of keys of several parts, those with members of more than one component then are compared in
+    full across components, by pairs of chunks; two members of the largest component need no comparison.
+    """
+    spark = places.sparkSession
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held, root = None, [], {}
+
+        def top(c: int) -> int:
+            while root.get(c, c) != c:
+                c = root[c] = root.get(root[c], root[c])
+            return c
+
+        for b in batches:
+            a_s, b_s = [], []
+            ks, los, his, mines, ids, groups = (b.column(c).to_pylist() for c in ("key", "lo", "hi", "mine", "exact", "component"))
+            for i, own in enumerate(zip(ks, los, his, strict=True)):
+                if own != key:
+                    key, held, root = own, [], {}
+                # within a first chunk all meet; of two chunks only members of different ones, and the main ones never
+                mine, group, new = mines[i], groups[i], set(b.column("shingles")[i].as_py())
+                for mine2, id2, group2, old in held:
+                    if (own[1] == own[2] or mine != mine2) and min(len(old), len(new)) >= threshold * max(len(old), len(new)) and top(group) != top(group2):
+                        both = len(old & new)
+                        if both >= threshold * (len(old) + len(new) - both):
+                            root[top(group)] = top(group2)  # one link joins two components in this group
+                            a_s.append(id2)
+                            b_s.append(ids[i])
+                held.append((mine, ids[i], group, new))
+            yield pa.RecordBatch.from_arrays([pa.array(a_s, pa.int64()), pa.array(b_s, pa.int64())], ["a", "b"])
+
+    def in_groups(dealt: DataFrame) -> DataFrame:
+        keys = ["key", "lo", "hi"]
+        dealt = dealt.select(*keys, "mine", "exact", "component", "shingles").repartition(partitions(spark), *keys)
+        return dealt.sortWithinPartitions(*keys, "mine", "exact").mapInArrow(compared, "a long, b long")
+
+    number = lambda n: F.pmod(F.xxhash64("exact"), F.col(n)).cast("int")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    # keys of several parts: at most a row for every ``chunk`` places
+    size = places.groupBy("key").agg(F.count("*").alias("n"), F.min("exact").alias("head")).where(F.col("n") > chunk)
+    hot = cut(size.select("key", F.ceil(F.col("n") / chunk).cast("int").alias("parts"), "head"))
+    one, zero = F.lit(1), F.lit(0)
+    dealt = places.join(F.broadcast(hot), "key", "left").withColumn("parts", F.coalesce("parts", one)).withColumn("own", number("parts"))
+    heads = F.when(F.col("exact") == F.col("head"), F.sequence(zero, F.col("parts") - 1)).otherwise(F.array("own"))
+    dealt = dealt.select("key", "exact", "shingles", F.explode(heads).alias("lo"))
+    links = cut(in_groups(dealt.select("*", F.col("lo").alias("hi"), zero.alias("mine"), F.col("exact").alias("component"))))
+    if hot.isEmpty():
+        return links
+    group = cut(components(links))
+    left = places.join(F.broadcast(hot.select("key")), "key", "left_semi").join(group.withColumnRenamed("node", "exact"), "exact", "left")
+    left = stored(left.withColumn("component", F.coalesce("component", "exact")))
+    of = left.groupBy("key", "component").agg(F.count("*").alias("n"))
+    of = of.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("all")).where(F.col("all") > F.col("m.n"))
+    main = cut(of.select("key", F.col("m.component").alias("main"), F.ceil(F.col("m.n") / chunk).cast("int").alias("pm"), F.ceil((F.col("all") - F.col("m.n")) / chunk).cast("int").alias("po")))
+    rows = left.join(F.broadcast(main), "key")
+    inner, others = rows.where("component = main"), rows.where("component <> main").withColumn("mine", number("po"))
+    kept = ["key", "exact", "component", "shingles"]
+    # a chunk of the main component has the number -1 - i
+    met = inner.withColumn("mine", -1 - number("pm")).select(*kept, F.col("mine").alias("lo"), "mine", upto("po").alias("hi"))
+    meet = others.select(*kept, F.col("mine").alias("hi"), "mine", upto("pm").alias("i")).withColumn("lo", -1 - F.col("i"))
+    apart = others.select(*kept, "mine", upto("po").alias("other")).withColumn("lo", F.least("mine", "other")).withColumn("hi", F.greatest("mine", "other"))
+    every = [x.select(*kept, "lo", "hi", "mine") for x in (met, meet, apart)]
+    return links.union(in_groups(every[0].union(every[1]).union(every[2])))
+
+
+def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99, least_words: int = 20, from_one: float = 0.75, chunk: int = 512) -> DataFrame:
     """Rows ``(doc_id, start, end, words, source)``: the passages to remove, code points of the text, end exclusive.
 
     Paragraphs are lines, stretches of lines between blank ones, and the fragments of lines. They are linked if the
@@ -167,30 +236,7 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
             yield pa.RecordBatch.from_arrays([pa.array(keys[band, i].astype(np.int64)), pa.array(p.exact[at[i]].astype(np.int64)), pa.array([sets[j] for j in i.tolist()], pa.list_(pa.int64()))], ["key", "exact", "shingles"])
 
     together = texts.select("text").mapInArrow(colliding, "key long, exact long, shingles array<long>").groupBy("key", "exact").agg(F.min("shingles").alias("shingles"))
-    together = together.join(collide, "key", "left_semi").repartition(partitions(spark), "key").sortWithinPartitions("key", "exact")
-
-    def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in runs(batches, ["key"]):
-            ids, sets = table.column("exact").to_pylist(), [set(s) for s in table.column("shingles").to_pylist()]
-            ends = [*changes(table, ["key"]), table.num_rows]
-            a_s, b_s = [], []
-            for x, y in zip(ends[:-1], ends[1:], strict=True):
-                root = list(range(x, y))
-
-                def top(i: int, root: list[int] = root, x: int = x) -> int:
-                    while root[i - x] != i:
-                        i = root[i - x] = root[root[i - x] - x]
-                    return i
-
-                for i in range(x, y):
-                    for j in range(i - 1, x - 1, -1):
-                        if top(i) != top(j) and len(sets[i] & sets[j]) >= threshold * len(sets[i] | sets[j]):
-                            root[top(i) - x] = top(j)
-                            a_s.append(ids[j])
-                            b_s.append(ids[i])
-            yield pa.RecordBatch.from_arrays([pa.array(a_s, pa.int64()), pa.array(b_s, pa.int64())], ["a", "b"])
-
-    group = cut(components(together.mapInArrow(verified, "a long, b long")))
+    group = cut(components(linked_pairs(stored(together), threshold, chunk)))
     # the component of each repeated paragraph and its first place; most have no partner but equal ones
     marked = mark(equal, "exact", group.select("node"), bits=MAP_BITS).where("n > 1 or __hit")
     linked = marked.where("__hit").join(group.withColumnRenamed("node", "exact"), "exact").select("exact", "component", "first")

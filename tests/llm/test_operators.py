@@ -399,6 +399,31 @@ def test_edited_paragraphs_are_cut(spark):
     assert {i for i, _ in got} <= {i for i, _ in want} and len(got & want) >= 0.97 * len(want)
 
 
+def test_members_of_a_hot_key_are_compared_in_bounded_groups(spark, monkeypatch):
+    r = random.Random(12)
+    sets = {}
+    for f in range(12):  # of a family the next member is near the one before, so that links pass by others
+        own = [r.getrandbits(40) for _ in range(20)]
+        for _ in range(15):
+            own = [*own[1:], r.getrandbits(40)]
+            sets[r.getrandbits(40)] = set(own)
+    for _ in range(100):
+        sets[r.getrandbits(40)] = {r.getrandbits(40) for _ in range(5)}
+    df = spark.createDataFrame([(7, i, sorted(x)) for i, x in sets.items()] + [(8, i, sorted(x)) for i, x in list(sets.items())[:9]], "key long, exact long, shingles array<long>")
+    most, real = [], type(df).sortWithinPartitions
+
+    def watched(self, *keys):
+        if keys[:3] == ("key", "lo", "hi"):
+            most.append(self.groupBy("key", "lo", "hi").count().agg(F.max("count")).first()[0])
+        return real(self, *keys)
+
+    monkeypatch.setattr(type(df), "sortWithinPartitions", watched)
+    got = union_find([(x.a, x.b) for x in substring_dedup.linked_pairs(df, 0.8, 16).collect()], sets)
+    pairs = [(a, b) for a in sets for b in sets if a < b and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert got == union_find(pairs, sets) and len(set(got.values())) == 112
+    assert len(most) == 2 and max(most) <= 64  # of 280 in the key
+
+
 def test_a_paragraph_is_no_copy_of_what_it_lies_in(spark):
     a = " ".join(f"w{i}" for i in range(60))
     df = spark.createDataFrame([(1, f"one two\n{a}\n\nend"), (2, a)], "doc_id long, text string")
