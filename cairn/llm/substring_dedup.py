@@ -182,7 +182,7 @@ def linked_pairs(places: DataFrame, threshold: float, chunk: int) -> DataFrame:
 
 
 def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99, least_words: int = 20, from_one: float = 0.75, chunk: int = 512) -> DataFrame:
-    """Rows ``(doc_id, start, end, words, source)``: the passages to remove, code points of the text, end exclusive.
+    """Rows ``(doc_id, text_hash, start, end, words, source)``: the passages to remove, code points, end exclusive.
 
     Paragraphs are lines, stretches of lines between blank ones, and the fragments of lines. They are linked if the
     Jaccard similarity of their five-word shingles is at least ``threshold`` (a paragraph of fewer words is one
@@ -192,10 +192,16 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     one document, so that common short phrases in a row are none; ``source`` is that document. Case and punctuation
     don't count.
     Null and empty texts have no passage; rows without an id are left out, of rows that repeat a doc_id the greatest
-    text counts once. Only doc_id and text are read, and texts are never shuffled: each step cuts them anew.
+    text counts once, and ``text_hash`` tells to which text the passage belongs (null if the id doesn't repeat). Only doc_id and text are read, and texts are not shuffled but those of repeated ids: each step cuts them anew.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text <> ''")
+    again = cut(texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    repeats = not again.isEmpty()
+    if repeats:
+        marked = mark(texts, "doc_id", again)
+        greatest = stored(marked.where("__hit").groupBy("doc_id").agg(F.max("text").alias("text")))
+        texts = marked.where("not __hit").select("doc_id", "text").unionByName(greatest)
     rows = 2
     bands = tune_bands(threshold, recall, rows)
     # sets of fewer shingles are as similar as asked for only if they are equal
@@ -276,36 +282,44 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     by_source = stretch.groupBy("doc_id", "island", "source").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"))
     most = F.max(F.struct("words", (-F.col("source")).alias("low"))).alias("most")
     whole = by_source.groupBy("doc_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), most)
-    return whole.where((F.col("words") >= least_words) & (F.col("most.words") >= from_one * least_words)).select("doc_id", "start", "end", "words", (-F.col("most.low")).alias("source"))
+    whole = whole.where((F.col("words") >= least_words) & (F.col("most.words") >= from_one * least_words))
+    if repeats:
+        whole = whole.join(greatest.join(again, "doc_id").select("doc_id", F.xxhash64("text").alias("text_hash")), "doc_id", "left")
+    else:
+        whole = whole.withColumn("text_hash", F.lit(None).cast("long"))
+    return whole.select("doc_id", "text_hash", "start", "end", "words", (-F.col("most.low")).alias("source"))
 
 
 def judge(docs: DataFrame, **options) -> DataFrame:
     """Rows ``(doc_id, n_passages, n_removed_words, spans, sources)``, one for each row with an id.
 
     ``spans``: start:end of the passages to remove, in order, comma-joined; ``sources``: sorted doc_ids that keep
-    them. Documents without such a passage have 0, 0, an empty string and an empty array.
+    them. Of rows that repeat an id those of its greatest text have its passages. Documents without such a passage have 0, 0, an empty string and an empty array.
     """
     found = cut(repeated_passages(docs, **options))
     per = found.groupBy("doc_id").agg(
-        F.count("*").alias("n_passages"), F.sum("words").alias("n_removed_words"),
+        F.max("text_hash").alias("__text_hash"), F.count("*").alias("n_passages"), F.sum("words").alias("n_removed_words"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "end"))), lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"),
         F.array_sort(F.collect_set("source")).alias("sources"),
     )
-    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null")
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("__hash")).where("doc_id is not null")
+    per = per.withColumnRenamed("doc_id", "__doc_id")
+    own = (F.col("doc_id") == F.col("__doc_id")) & (F.col("__text_hash").isNull() | (F.col("__text_hash") == F.col("__hash")))
     zero = F.lit(0).cast("long")
-    return ids.join(per, "doc_id", "left").select("doc_id", F.coalesce("n_passages", zero).alias("n_passages"), F.coalesce("n_removed_words", zero).alias("n_removed_words"), F.coalesce("spans", F.lit("")).alias("spans"), F.coalesce("sources", F.array().cast("array<long>")).alias("sources"))
+    return ids.join(per, own, "left").select("doc_id", F.coalesce("n_passages", zero).alias("n_passages"), F.coalesce("n_removed_words", zero).alias("n_removed_words"), F.coalesce("spans", F.lit("")).alias("spans"), F.coalesce("sources", F.array().cast("array<long>")).alias("sources"))
 
 
 def remove(docs: DataFrame, passages: DataFrame) -> DataFrame:
-    """``docs`` with the passages cut out of ``text``; rows stay, also those of which nothing is left.
+    """``docs`` with the passages cut out of the ``text`` they belong to; rows stay, also those of which nothing is left.
 
     Only documents that the passages' ids may hit are joined; the others pass by a fixed-size filter.
     """
     passages = cut(passages)
-    spans = passages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans")).withColumnRenamed("doc_id", "__doc_id")
+    spans = passages.groupBy("doc_id").agg(F.max("text_hash").alias("__text_hash"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans")).withColumnRenamed("doc_id", "__doc_id")
     marked = mark(docs, "doc_id", passages.select("doc_id"))
     text, empty = F.col("text"), F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
     step = lambda acc, s: F.struct(F.concat(acc["done"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"])).alias("done"), s["end"].alias("at"))
     cleaned = F.aggregate("__spans", empty, step, lambda acc: F.concat(acc["done"], F.substring(text, acc["at"] + 1, F.length(text))))
-    some = marked.where("__hit").join(spans, F.col("doc_id") == F.col("__doc_id"), "left").withColumn("text", F.coalesce(cleaned, text)).select(*docs.columns)
+    own = (F.col("doc_id") == F.col("__doc_id")) & (F.col("__text_hash").isNull() | (F.col("__text_hash") == F.xxhash64(text.cast("string"))))
+    some = marked.where("__hit").join(spans, own, "left").withColumn("text", F.coalesce(cleaned, text)).select(*docs.columns)
     return marked.where("not __hit").select(*docs.columns).unionByName(some)

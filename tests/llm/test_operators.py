@@ -437,6 +437,17 @@ def test_substring_odd_rows(spark, odd):
     assert substring_dedup.remove(odd, substring_dedup.repeated_passages(odd)).count() == 10
 
 
+def test_passages_belong_to_one_text_of_a_repeated_id(spark):
+    r = random.Random(13)
+    fresh = lambda n: " ".join(f"v{r.randint(0, 99999)}" for _ in range(n))
+    passage, clean, other = fresh(60), "a " + fresh(150), fresh(40)
+    rows = [(1, f"{passage}\n{other}"), (2, f"z {fresh(20)}\n{passage}"), (2, clean), (2, None), (3, f"b {other}"), (3, f"c {fresh(60)}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((x.doc_id, x.n_removed_words) for x in substring_dedup.judge(df).collect()) == [(1, 0), (2, 0), (2, 0), (2, 60), (3, 0), (3, 0)]
+    cleaned = [tuple(x) for x in substring_dedup.remove(df, substring_dedup.repeated_passages(df)).collect()]
+    assert sorted(cleaned, key=repr) == sorted([(i, t if (i, t) != rows[1] else t.split("\n")[0] + "\n") for i, t in rows], key=repr)
+
+
 def test_paragraph_edges_depend_on_the_passage_only():
     r = random.Random(10)
     fresh = lambda n: " ".join(f"v{r.randint(0, 99999)}" for _ in range(n))
