@@ -339,6 +339,18 @@ def test_quality_counts_and_verdicts(spark, sf_dir, texts, odd):
     assert quality_rules.train(odd.limit(0), spark.createDataFrame([], "doc_id long, quality int")).least_share == 0
 
 
+def test_texts_without_content_leave_the_least_share_positive():
+    r = random.Random(15)
+    prose = lambda: " ".join("".join(r.choice("abcdefghij") for _ in range(r.randint(3, 9))) for _ in range(80)) + "."
+    junk = lambda n: " | ".join(r.choice(["Home", "Login", "Menu", "Share"]) + str(r.randint(0, 999)) for _ in range(n))
+    texts = [prose() for _ in range(100)] + [junk(4) for _ in range(5)] + [junk(60) for _ in range(5)] + [junk(60) for _ in range(100)]
+    field = quality_rules.fit(texts, np.array([True] * 110 + [False] * 100))
+    counts, x, words, own = quality_rules.measure(texts)
+    share = field.share(field.decode(x, own, len(texts)), words, own, len(texts))
+    assert (share[:100] > 0).all() and (share[105:] == 0).all()
+    assert field.least_share == 0.5
+
+
 def test_viterbi_equals_brute_force():
     import itertools
 
