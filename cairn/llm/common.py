@@ -19,10 +19,16 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` written to the shared folder as Parquet and read again: a cut for large tables, compressed."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """``df``, a materialised table of short rows, for the side of a join: broadcast if it has at most ``most`` rows, else
+    left to the planner, which shuffles and splits skewed keys at run time."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

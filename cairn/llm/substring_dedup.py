@@ -10,10 +10,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import Words, components, cut, mark, mix, partitions, parts, run_hashes, stored
+from cairn.llm.common import Words, components, cut, mark, mix, partitions, parts, run_hashes, small, stored
 
 #: A fragment ends at a line end, and before a pair of words whose hash is the least of REACH pairs on either side.
 #: So a passage is cut alike wherever it stands in a line, but for some REACH words at its ends.
@@ -23,6 +23,7 @@ SHINGLE = 5
 MAP_BITS = 1 << 25
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 SALTS = mix(np.arange(1, 17, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+PLACE = "exact long, doc_id long, seq int, pieces int, start int, end int, first int, words int, keys array<long>"
 
 
 def tune_bands(threshold: float, recall: float, rows: int) -> int:
@@ -33,26 +34,27 @@ def tune_bands(threshold: float, recall: float, rows: int) -> int:
 @dataclass
 class Paragraphs:
     """Of some texts side by side: first the fragments, then the lines of several fragments, then the stretches of
-    several lines between blank ones. Number of the text, number in the text of its first and last fragment, first
-    word, words, exact hash; ``at`` is the first fragment's place among all."""
+    several lines between blank ones. Number of the text, number in the text of its first fragment, number of
+    fragments, first word, words, exact hash."""
 
     of: Words
     text: np.ndarray
     seq: np.ndarray
-    last: np.ndarray
+    pieces: np.ndarray
     first: np.ndarray
     words: np.ndarray
     exact: np.ndarray
-    at: np.ndarray
     hashes: np.ndarray
-    #: Of each kind: first words of all, which places begin a shingle inside, and which of all count.
+    #: The rows of the whole lines and stretches, which are compared by their shingles.
+    whole: np.ndarray
+    #: Of lines and stretches: first words of all, which places begin a shingle inside, and which of them are in ``whole``.
     kinds: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
 
     def minima(self, which: int) -> np.ndarray:
-        """MinHash number ``which`` of each paragraph's shingles."""
+        """MinHash number ``which`` of the shingles of each paragraph in ``whole``."""
         h = mix(self.hashes ^ SALTS[which])
         low = np.concatenate([np.minimum.reduceat(np.where(inside, h, TOP), first)[kept] if len(first) else h for first, inside, kept in self.kinds])
-        return np.where(low == TOP, mix(self.exact ^ SALTS[which]), low)
+        return np.where(low == TOP, mix(self.exact[self.whole] ^ SALTS[which]), low)
 
     def shingles(self, i: int) -> np.ndarray:
         """The shingles of paragraph ``i``; a short one is a single shingle."""
@@ -66,7 +68,7 @@ def paragraphs(texts: list[str | None]) -> Paragraphs:
     n = len(words)
     if not n:
         none = np.zeros(0, np.int64)
-        return Paragraphs(of, none, none, none, none, none, words, none, words, [(none, np.zeros(0, bool), none)])
+        return Paragraphs(of, none, none, none, none, none, words, words, none, [(none, np.zeros(0, bool), none)])
     new_text = np.append(True, of.text[1:] != of.text[:-1])
     new_line = np.append(True, line[1:] != line[:-1])
     new_stretch = new_text | np.append(True, line[1:] > line[:-1] + 1)
@@ -79,23 +81,28 @@ def paragraphs(texts: list[str | None]) -> Paragraphs:
     fragments = np.flatnonzero(new_line | ((pair == low) & (pair != TOP)))
     own = of.text[fragments]
     seq = np.arange(len(fragments)) - np.searchsorted(own, own)
-    kinds, rows = [], []
+    kinds, rows, whole, total = [], [], [], 0
     for kind, first in enumerate((fragments, np.flatnonzero(new_line), np.flatnonzero(new_stretch))):
         size = np.diff(np.append(first, n))
         spot = np.arange(n) - np.repeat(first, size)
-        inside = spot + SHINGLE <= np.repeat(size, size)
         with np.errstate(over="ignore"):
             exact = mix(np.add.reduceat(mix(words + (spot + 1).astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)), first) + size.astype(np.uint64))
         at = np.searchsorted(fragments, first)
         pieces = np.diff(np.append(at, len(fragments)))
         kept = np.arange(len(first))
-        if kind == 1:
+        if kind == 1:  # a line of one fragment is that fragment's row
             kept = np.flatnonzero(pieces > 1)
+            row = at.copy()
+            row[kept] = total + np.arange(len(kept))
+            kinds.append((first, spot + SHINGLE <= np.repeat(size, size), np.arange(len(first))))
+            whole.append(row)
         elif kind == 2:  # in a text without a blank line, the lines are the paragraphs
             kept = np.flatnonzero((np.add.reduceat(new_line.astype(np.int64), first) > 1) & (np.bincount(of.text[first])[of.text[first]] > 1))
-        kinds.append((first, inside, kept))
-        rows.append((of.text[first][kept], seq[at[kept]], seq[at[kept]] + pieces[kept] - 1, first[kept], size[kept], exact[kept], at[kept]))
-    return Paragraphs(of, *map(np.concatenate, zip(*rows, strict=True)), run_hashes(words, SHINGLE), kinds)
+            kinds.append((first, spot + SHINGLE <= np.repeat(size, size), kept))
+            whole.append(total + np.arange(len(kept)))
+        rows.append((of.text[first][kept], seq[at[kept]], pieces[kept], first[kept], size[kept], exact[kept]))
+        total += len(kept)
+    return Paragraphs(of, *map(np.concatenate, zip(*rows, strict=True)), run_hashes(words, SHINGLE), np.concatenate(whole), kinds)
 
 
 def key_map(df: DataFrame, column: str) -> np.ndarray:
@@ -112,6 +119,18 @@ def in_map(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
 
 
+def packed(doc_id: str, seq: str) -> Column:
+    """A document and a place in it as one number in the same order, which hash aggregation can take the least of."""
+    return F.col(doc_id).cast("decimal(20,0)") * F.lit(1 << 32).cast("decimal(11,0)") + F.col(seq)
+
+
+def unpacked(place: Column) -> tuple[Column, Column]:
+    """The (doc_id, seq) of a packed place."""
+    step = F.lit(1 << 32).cast("decimal(11,0)")
+    seq = F.pmod(place, step)
+    return ((place - seq) / step).cast("long"), seq.cast("int")
+
+
 def linked_pairs(places: DataFrame, threshold: float, chunk: int) -> DataFrame:
     """(a, b): links that join all ``places`` (key, exact, shingles) of one key whose sets are similar, also over others.
 
@@ -158,19 +177,19 @@ def linked_pairs(places: DataFrame, threshold: float, chunk: int) -> DataFrame:
     size = places.groupBy("key").agg(F.count("*").alias("n"), F.min("exact").alias("head")).where(F.col("n") > chunk)
     hot = cut(size.select("key", F.ceil(F.col("n") / chunk).cast("int").alias("parts"), "head"))
     one, zero = F.lit(1), F.lit(0)
-    dealt = places.join(F.broadcast(hot), "key", "left").withColumn("parts", F.coalesce("parts", one)).withColumn("own", number("parts"))
+    dealt = places.join(small(hot), "key", "left").withColumn("parts", F.coalesce("parts", one)).withColumn("own", number("parts"))
     heads = F.when(F.col("exact") == F.col("head"), F.sequence(zero, F.col("parts") - 1)).otherwise(F.array("own"))
     dealt = dealt.select("key", "exact", "shingles", F.explode(heads).alias("lo"))
     links = cut(in_groups(dealt.select("*", F.col("lo").alias("hi"), zero.alias("mine"), F.col("exact").alias("component"))))
     if hot.isEmpty():
         return links
     group = cut(components(links))
-    left = places.join(F.broadcast(hot.select("key")), "key", "left_semi").join(group.withColumnRenamed("node", "exact"), "exact", "left")
+    left = places.join(small(hot.select("key")), "key", "left_semi").join(group.withColumnRenamed("node", "exact"), "exact", "left")
     left = stored(left.withColumn("component", F.coalesce("component", "exact")))
     of = left.groupBy("key", "component").agg(F.count("*").alias("n"))
     of = of.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("all")).where(F.col("all") > F.col("m.n"))
     main = cut(of.select("key", F.col("m.component").alias("main"), F.ceil(F.col("m.n") / chunk).cast("int").alias("pm"), F.ceil((F.col("all") - F.col("m.n")) / chunk).cast("int").alias("po")))
-    rows = left.join(F.broadcast(main), "key")
+    rows = left.join(small(main), "key")
     inner, others = rows.where("component = main"), rows.where("component <> main").withColumn("mine", number("po"))
     kept = ["key", "exact", "component", "shingles"]
     # a chunk of the main component has the number -1 - i
@@ -184,15 +203,18 @@ def linked_pairs(places: DataFrame, threshold: float, chunk: int) -> DataFrame:
 def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99, least_words: int = 20, from_one: float = 0.75, chunk: int = 512) -> DataFrame:
     """Rows ``(doc_id, text_hash, start, end, words, source)``: the passages to remove, code points, end exclusive.
 
-    Paragraphs are lines, stretches of lines between blank ones, and the fragments of lines. They are linked if the
-    Jaccard similarity of their five-word shingles is at least ``threshold`` (a paragraph of fewer words is one
-    shingle), with probability ``recall`` at the threshold; linked ones are one component, of which the first place,
-    by doc_id and place in the text, stays; what overlaps it is no copy of it. A passage is a stretch of fragments
-    that all are in later copies, of ``least_words`` words together, of which ``from_one`` of ``least_words`` stay in
-    one document, so that common short phrases in a row are none; ``source`` is that document. Case and punctuation
-    don't count.
+    Paragraphs are lines and stretches of lines between blank ones. They are linked if the Jaccard similarity of
+    their five-word shingles is at least ``threshold`` (a paragraph of fewer words is one shingle), with probability
+    ``recall`` at the threshold; linked ones are one component. Passages inside lines are found by fragments of
+    lines, which are compared exactly: nine words hold too few shingles for an edit to leave ``threshold`` of them.
+    Of a component, or of equal fragments, the first place, by doc_id and place in the text, stays; what overlaps it
+    is no copy of it. A passage is a stretch of fragments that all are in later copies, of ``least_words`` words
+    together, of which ``from_one`` of ``least_words`` stay in one document, so that common short phrases in a row
+    are none; ``source`` is that document. Case and punctuation don't count.
     Null and empty texts have no passage; rows without an id are left out, of rows that repeat a doc_id the greatest
-    text counts once, and ``text_hash`` tells to which text the passage belongs (null if the id doesn't repeat). Only doc_id and text are read, and texts are not shuffled but those of repeated ids: each step cuts them anew.
+    text counts once, and ``text_hash`` tells to which text the passage belongs (null if the id doesn't repeat).
+    Only doc_id and text are read. Texts are cut once, and again are those that hold a paragraph to be compared; no
+    text is shuffled but those of repeated ids.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text <> ''")
@@ -207,82 +229,49 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     # sets of fewer shingles are as similar as asked for only if they are equal
     least = math.ceil(threshold / (1 - threshold) - 1e-9)
 
-    def band_keys(p: Paragraphs) -> tuple[np.ndarray, np.ndarray]:
-        """The paragraphs that may have a partner that isn't equal, and a row of band keys for each band."""
-        at = np.flatnonzero(p.words - SHINGLE + 1 >= least)
-        low = [p.minima(i)[at] for i in range(bands * rows)]
-        with np.errstate(over="ignore"):
-            return at, np.array([mix(low[rows * b] * np.uint64(3) + low[rows * b + 1] * np.uint64(5) + np.uint64(b)) for b in range(bands)], np.uint64).reshape(bands, len(at))
-
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small_int = lambda x: pa.array(x.astype(np.int32))
         for b in parts(batches):
             p = paragraphs(b.column("text").to_pylist())
-            yield pa.RecordBatch.from_arrays([pa.array(p.exact.astype(np.int64)), pa.array(b.column("doc_id").to_numpy()[p.text]), pa.array(p.seq.astype(np.int32)), pa.array(p.last.astype(np.int32))], ["exact", "doc_id", "seq", "last"])
-
-    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts(batches):
-            p = paragraphs(b.column("text").to_pylist())
-            at, keys = band_keys(p)
-            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().astype(np.int64)), pa.array(np.tile(p.exact[at].astype(np.int64), bands))], ["key", "exact"])
-
-    # equal paragraphs: one row for each text that stands in two places, with the first of them
-    first = F.min(F.struct("doc_id", "seq", "last")).alias("first")
-    equal = texts.mapInArrow(placed, "exact long, doc_id long, seq int, last int").groupBy("exact").agg(F.count("*").alias("n"), first)
-    # bands in which different paragraphs collide
-    collide = texts.select("text").mapInArrow(banded, "key long, exact long").groupBy("key").agg(F.min("exact").alias("low"), F.max("exact").alias("high")).where("low < high").select("key")
-    collide = cut(collide)
-    hot = spark.sparkContext.broadcast(key_map(collide, "key"))
-
-    def colliding(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts(batches):
-            p = paragraphs(b.column("text").to_pylist())
-            at, keys = band_keys(p)
-            band, i = np.nonzero(in_map(hot.value, keys))
-            sets = {j: p.shingles(at[j]).astype(np.int64) for j in np.unique(i).tolist()}
-            yield pa.RecordBatch.from_arrays([pa.array(keys[band, i].astype(np.int64)), pa.array(p.exact[at[i]].astype(np.int64)), pa.array([sets[j] for j in i.tolist()], pa.list_(pa.int64()))], ["key", "exact", "shingles"])
-
-    together = texts.select("text").mapInArrow(colliding, "key long, exact long, shingles array<long>").groupBy("key", "exact").agg(F.min("shingles").alias("shingles"))
-    group = cut(components(linked_pairs(stored(together), threshold, chunk)))
-    # the component of each repeated paragraph and its first place; most have no partner but equal ones
-    marked = mark(equal, "exact", group.select("node"), bits=MAP_BITS).where("n > 1 or __hit")
-    linked = marked.where("__hit").join(group.withColumnRenamed("node", "exact"), "exact").select("exact", "component", "first")
-    source = linked.groupBy("component").agg(F.min("first").alias("source"))
-    near = linked.join(source, "component").select("exact", "source")
-    alone = marked.where("n > 1 and not __hit")
-    maybe = marked.where("n > 1 and __hit").join(group.select(F.col("node").alias("exact")), "exact", "left_anti")
-    doubtful = stored(alone.unionByName(maybe).select("exact", F.col("first").alias("source")).unionByName(near))
-    wanted = spark.sparkContext.broadcast(key_map(doubtful, "exact"))
-
-    def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in parts(batches):
-            ids = b.column("doc_id").to_numpy()
-            p = paragraphs(b.column("text").to_pylist())
-            hit = np.flatnonzero(in_map(wanted.value, p.exact))
-            pieces = p.last[hit] - p.seq[hit] + 1
-            at = np.repeat(p.at[hit] - np.cumsum(pieces) + pieces, pieces) + np.arange(pieces.sum())  # the fragments of each
-            hit = np.repeat(hit, pieces)
+            low = [p.minima(i) for i in range(bands * rows)]
+            with np.errstate(over="ignore"):
+                keys = np.array([mix(low[rows * i] * np.uint64(3) + low[rows * i + 1] * np.uint64(5) + np.uint64(i)) for i in range(bands)], np.uint64).reshape(bands, -1)
+            able = np.flatnonzero(p.words[p.whole] - SHINGLE + 1 >= least)
+            at = p.whole[able]
+            size = np.zeros(len(p.text), np.int64)
+            size[at] = bands
+            order = np.argsort(at, kind="stable")  # the list column holds the keys in the order of the rows
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)).astype(np.int32)), pa.array(keys.T[able[order]].ravel().astype(np.int64)))
             point = p.of.points()
-            base = point[p.of.text_start[p.text[at]]]
-            start = point[p.of.start[p.first[at]]] - base
-            end = point[p.of.end[p.first[at] + p.words[at] - 1]] - base
-            small = lambda x: pa.array(x.astype(np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(p.exact[hit].astype(np.int64)), pa.array(ids[p.text[at]]), small(p.seq[hit]), small(p.words[hit]), small(p.seq[at]), small(start), small(end), small(p.words[at])],
-                ["exact", "doc_id", "place", "size", "seq", "start", "end", "words"],
-            )
-
-    found = texts.mapInArrow(candidates, "exact long, doc_id long, place int, size int, seq int, start int, end int, words int")
-    later = found.join(doubtful, "exact").where("doc_id > source.doc_id or doc_id = source.doc_id and place > source.last")
-    later = later.select("doc_id", "seq", "start", "end", "words", "size", F.col("source.doc_id").alias("source"))
-    later = later.repartition(partitions(spark), "doc_id")  # all that follows stays within these partitions
-    longest = F.max(F.struct("size", (-F.col("source")).alias("low"))).alias("longest")  # of the copies that hold a fragment
-    later = later.groupBy("doc_id", "seq").agg(F.max("start").alias("start"), F.max("end").alias("end"), F.max("words").alias("words"), longest)
-    later = later.select("doc_id", "seq", "start", "end", "words", (-F.col("longest.low")).alias("source"))
-    stretch = later.withColumn("island", F.col("seq") - F.row_number().over(Window.partitionBy("doc_id").orderBy("seq")))
-    by_source = stretch.groupBy("doc_id", "island", "source").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"))
-    most = F.max(F.struct("words", (-F.col("source")).alias("low"))).alias("most")
-    whole = by_source.groupBy("doc_id", "island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"), most)
-    whole = whole.where((F.col("words") >= least_words) & (F.col("most.words") >= from_one * least_words))
+            base = point[p.of.text_start[p.text]]
+            start, end = point[p.of.start[p.first]] - base, point[p.of.end[p.first + p.words - 1]] - base
+            exact, ids = pa.array(p.exact.astype(np.int64)), pa.array(b.column("doc_id").to_numpy()[p.text])
+            yield pa.RecordBatch.from_arrays([exact, ids, *map(small_int, (p.seq, p.pieces, start, end, p.first - p.of.first[p.text], p.words)), lists], ["exact", "doc_id", "seq", "pieces", "start", "end", "first", "words", "keys"])
+
+    places = stored(texts.mapInArrow(placed, PLACE))
+    group = _groups(texts, places, threshold, chunk)
+    # one row for each paragraph or fragment that stands in two places or is like another one: where the first one is
+    equal = places.groupBy("exact").agg(F.count("*").alias("n"), F.min(packed("doc_id", "seq")).alias("place"))
+    doubtful = stored(mark(equal, "exact", group.select("node"), bits=MAP_BITS).where("n > 1 or __hit").select("exact", "n", "place"))
+    linked = doubtful.join(group.withColumnRenamed("node", "exact"), "exact", "left").select("exact", "n", "place", "component")
+    near = linked.where("component is not null")
+    source = near.join(near.groupBy("component").agg(F.min("place").alias("source")), "component").select("exact", "source")
+    source = source.unionByName(linked.where("component is null and n > 1").select("exact", F.col("place").alias("source")))
+    source_id, source_seq = unpacked(F.col("source"))
+    source = cut(source.select("exact", source_id.alias("source"), source_seq.alias("source_seq")))
+    found = mark(places.drop("keys"), "exact", source.select("exact"), bits=MAP_BITS).where("__hit").drop("__hit")
+    later = found.join(source, "exact").where("doc_id > source or doc_id = source and seq >= source_seq + pieces")
+    later = later.select("doc_id", "seq", "pieces", "start", "end", "first", "words", "source").repartition(partitions(spark), "doc_id")  # all that follows stays within these partitions
+    in_order = Window.partitionBy("doc_id").orderBy("seq", F.desc("pieces"), "source")
+    reach = F.max(F.col("seq") + F.col("pieces")).over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    stretch = later.withColumn("island", F.sum(F.when(F.col("seq") <= reach, 0).otherwise(1)).over(in_order))
+    # what one source gives: its fragments together, or its longest paragraph
+    given = F.greatest(F.coalesce(F.sum(F.when(F.col("pieces") == 1, F.col("words"))), F.lit(0)), F.max("words"))
+    edges = [F.min("start").alias("start"), F.max("end").alias("end"), F.min("first").alias("first")]
+    by_source = stretch.groupBy("doc_id", "island", "source").agg(*edges, F.max(F.col("first") + F.col("words")).alias("last"), given.alias("given"))
+    most = F.max(F.struct("given", (-F.col("source")).alias("low"))).alias("most")
+    whole = by_source.groupBy("doc_id", "island").agg(*edges[:2], (F.max("last") - F.min("first")).cast("long").alias("words"), most)
+    whole = whole.where((F.col("words") >= least_words) & (F.col("most.given") >= from_one * least_words))
     if repeats:
         whole = whole.join(greatest.join(again, "doc_id").select("doc_id", F.xxhash64("text").alias("text_hash")), "doc_id", "left")
     else:
@@ -290,6 +279,30 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     return whole.select("doc_id", "text_hash", "start", "end", "words", (-F.col("most.low")).alias("source"))
 
 
+def _groups(texts: DataFrame, places: DataFrame, threshold: float, chunk: int) -> DataFrame:
+    """(node, component) of the exact hashes of the paragraphs that are like another one."""
+    able = places.where(F.size("keys") > 0)
+    banded = able.select(F.explode("keys").alias("key"), "exact")
+    # bands in which different paragraphs collide, their members, and one text that holds each member
+    collide = cut(banded.groupBy("key").agg(F.min("exact").alias("low"), F.max("exact").alias("high")).where("low < high").select("key"))
+    members = cut(mark(banded, "key", collide, bits=MAP_BITS).where("__hit").join(collide, "key").select("key", "exact").distinct())
+    wanted = texts.sparkSession.sparkContext.broadcast(key_map(members, "exact"))
+    holders = mark(able, "exact", members.select("exact"), bits=MAP_BITS).where("__hit").groupBy("exact").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
+    holders = cut(holders)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in parts(batches):
+            p = paragraphs(b.column("text").to_pylist())
+            hit = p.whole[in_map(wanted.value, p.exact[p.whole])]
+            yield pa.RecordBatch.from_arrays([pa.array(p.exact[hit].astype(np.int64)), pa.array([p.shingles(i).astype(np.int64) for i in hit.tolist()], pa.list_(pa.int64()))], ["exact", "shingles"])
+
+    some = mark(texts, "doc_id", holders).where("__hit").select("doc_id", "text").join(holders, "doc_id", "left_semi")
+    shingled = some.select("text").mapInArrow(sets, "exact long, shingles array<long>").groupBy("exact").agg(F.min("shingles").alias("shingles"))
+    group = cut(components(linked_pairs(stored(members.join(shingled, "exact").select("key", "exact", "shingles")), threshold, chunk)))
+    wanted.destroy()
+    return group
+
+
 def judge(docs: DataFrame, **options) -> DataFrame:
     """Rows ``(doc_id, n_passages, n_removed_words, spans, sources)``, one for each row with an id.
 
