@@ -33,36 +33,41 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Edges that a task of ``components`` holds at most, on average.
+EDGES = 200_000
+
+
 def components(edges: DataFrame, first: str = "a", second: str = "b") -> DataFrame:
     """Connected components of undirected ``edges``: rows ``(node, component)``, component = the smallest node.
 
     Nodes without an edge are absent. Each round maps every node to the least of its closed neighbourhood (by id
     at first, by a fresh hash later, so that paths shrink by a constant share) and contracts the edges; all rounds
-    are joins and map-side combined aggregates, so a node with very many links is never gathered in one task.
+    are joins and map-side combined aggregates, so a node with very many links is never gathered in one task. The
+    number of tasks follows the number of edges that are left.
     Loops, repeated and reversed edges and null ends are harmless.
     """
+    # the round is a column, so that all rounds but the first run the same generated code
     e = cut(
         edges.select(F.col(first).cast("long").alias("a"), F.col(second).cast("long").alias("b"))
-        .where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        .where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(1).alias("turn"))
     )
     hops: list[DataFrame] = []
-    while not e.isEmpty():
-        n = len(hops)
-        rank = (lambda c: c) if n == 0 else (lambda c, n=n: F.xxhash64(F.lit(n), c))
-        both = e.union(e.select("b", "a"))
-        near = both.groupBy("a").agg(F.min(F.struct(rank(F.col("b")).alias("r"), F.col("b").alias("to"))).alias("m"))
-        hop = cut(near.select(F.col("a").alias("node"), F.when(F.col("m.r") < rank(F.col("a")), F.col("m.to")).otherwise(F.col("a")).alias("to")))
+    while left := e.count():
+        tasks = -(-left // EDGES)
+        rank = (lambda c: F.col(c)) if not hops else (lambda c: F.xxhash64("turn", c))
+        ends = F.inline(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other"))))
+        near = e.coalesce(tasks).select("turn", ends).select("node", "other", rank("node").alias("own"), rank("other").alias("rank"))
+        near = near.groupBy("node").agg(F.min("own").alias("own"), F.min("rank").alias("rank"), F.min_by("other", "rank").alias("other"))
+        hop = cut(near.coalesce(tasks).select("node", F.when(F.col("rank") < F.col("own"), F.col("other")).otherwise(F.col("node")).alias("to")))
         hops.append(hop)
-        left, right = (hop.select(F.col("node").alias(c), F.col("to").alias(t)) for c, t in (("a", "x"), ("b", "y")))
-        e = cut(
-            e.join(left, "a").join(right, "b").where("x <> y")
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        )
+        x, y = (hop.select(F.col("node").alias(c), F.col("to").alias(t)) for c, t in (("a", "x"), ("b", "y")))
+        e = e.join(x, "a").coalesce(tasks).join(y, "b").coalesce(tasks).where("x <> y")
+        e = cut(e.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), (F.col("turn") + 1).alias("turn")))
     if not hops:
         return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    found = hops[0]
-    for hop in hops[1:]:
-        found = found.join(hop.select(F.col("node").alias("to"), F.col("to").alias("next")), "to", "left").select("node", F.coalesce("next", "to").alias("to"))
+    found = hops[-1]
+    for hop in reversed(hops[:-1]):  # from the few nodes of the last round to all
+        found = hop.join(found.select(F.col("node").alias("to"), F.col("to").alias("next")), "to", "left").select("node", F.coalesce("next", "to").alias("to"))
     if len(hops) == 1:  # the first round's targets are the smallest nodes already
         return found.select("node", F.col("to").alias("component"))
     found = cut(found)

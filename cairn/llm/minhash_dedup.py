@@ -63,31 +63,33 @@ class Sampler:
         return chosen
 
 
-def document_frequencies(docs: DataFrame, size: int = 5, width: int = WIDTH) -> np.ndarray:
-    """Documents that hold a shingle of each hash bucket: each task counts all its texts, Spark adds the counts.
+def document_frequencies(docs: DataFrame, size: int = 5, width: int = WIDTH) -> tuple[np.ndarray, int]:
+    """Documents that hold a shingle of each hash bucket, and documents: each task counts all its texts, Spark adds
+    the counts.
 
     The result has ``width`` numbers (1 MB), whatever the corpus.
     """
     piece = 1 << 12
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(width, np.int64)
+        total, n = np.zeros(width, np.int64), 0
         for b in parts(batches):
+            n += b.num_rows
             hashes, count = Words(b.column("text").to_pylist()).shingles(size)
             own = np.repeat(np.arange(len(count)), count)
             total += np.bincount(np.unique(own * width + (hashes & np.uint64(width - 1)).astype(np.int64)) % width, minlength=width)
-        if total.any():
-            rows = total.astype(np.int32).reshape(-1, piece)
+        if n:
+            rows = [*total.astype(np.int32).reshape(-1, piece), np.pad(np.array([n], np.int32), (0, piece - 1))]
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows), dtype=np.int32)), pa.array([r.tobytes() for r in rows], pa.binary())], ["k", "counts"])
 
     def added(key: tuple, table: pa.Table) -> pa.Table:
         total = sum((np.frombuffer(x.as_py(), np.int32).astype(np.int64) for x in table.column("counts")), np.zeros(piece, np.int64))
         return pa.table({"k": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
-    out = np.zeros((width // piece, piece), np.int64)
+    out = np.zeros((width // piece + 1, piece), np.int64)
     for r in docs.select("text").mapInArrow(counted, "k int, counts binary").groupBy("k").applyInArrow(added, "k int, counts binary").collect():
         out[r.k] = np.frombuffer(bytes(r.counts), np.int64)
-    return out.ravel()
+    return out[:-1].ravel(), int(out[-1, 0])
 
 
 def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99, rows: int = 3, size: int = 5, rounds: int = 1, chunk: int = 512) -> DataFrame:
@@ -103,8 +105,7 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where("doc_id is not null")
-    frequency = document_frequencies(texts, size)
-    n_docs = texts.count()
+    frequency, n_docs = document_frequencies(texts, size)
     weigh = spark.sparkContext.broadcast(idf(frequency, n_docs).astype(np.float32))
     bands = plan_bands(threshold, recall, rows)
 
