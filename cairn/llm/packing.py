@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from cairn.llm.common import cut
 
-#: Documents of one length are ranked in this many tasks, so that a common length isn't one task's work.
-CHUNKS = 64
+#: Pieces of one length that a task ranks, about; a common length is dealt to as many tasks as it needs.
+RANKED = 100_000
 # Letters whose normal form and lower case are the same alone as in context, and white space that all agree on.
 PLAIN = re.compile("[\\x00-\\x1b\\x20-\\u012f\\u0131-\\u01c3\\u01cd-\\u01f0\\u01f4-\\u024f]*")
 # fixed values: the tokenizer file's own splitting of normalised text, said for plain text: contractions, runs of
@@ -90,7 +90,6 @@ def pieces(docs: DataFrame, tokenizer_json: str, size: int = 4096, end_id: int =
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(shared.value)
-        encode = Encoder(shared.value)
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 b = batch.slice(lo, 500)
@@ -192,9 +191,11 @@ def pack(cut_pieces: DataFrame, size: int = 4096) -> DataFrame:
     or not longer than 0 are an error of the caller and get nulls.
     """
     spark = cut_pieces.sparkSession
-    rows = cut(cut_pieces.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(CHUNKS)).cast("int")))
+    rows = cut(cut_pieces)
+    lengths = {r.length: r.n for r in rows.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    chunks = -(-max(lengths.values(), default=1) // RANKED)
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "piece", "start", "ids_crc32"), F.lit(chunks)).cast("int"))
     per_chunk = rows.groupBy("length", "chunk").agg(F.count("*").alias("n"))
-    lengths = {r.length: r.n for r in per_chunk.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     plan = np.array(best_fit_decreasing({k: n for k, n in lengths.items() if 0 < k <= size}, size), np.int64).reshape(-1, 6)
     shared = spark.sparkContext.broadcast(plan)
     before = per_chunk.withColumn("before", F.sum("n").over(Window.partitionBy("length").orderBy("chunk")) - F.col("n")).select("length", "chunk", "before")

@@ -394,7 +394,8 @@ def slow_best_fit(lengths, size):
     return sorted(sum(b[1]) for b in bins)
 
 
-def test_packing_equals_one_by_one_best_fit(spark):
+def test_packing_equals_one_by_one_best_fit(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANKED", 20)
     r = random.Random(8)
     for size, n in ((10, 50), (64, 300), (64, 1)):
         lengths = [r.choice([size, r.randint(1, size), r.randint(1, 5)]) for _ in range(n)]
