@@ -16,8 +16,8 @@ from cairn.llm.common import Words, components, cut, mark, mix, partitions, part
 #: true one on average, 0.2 % of the documents at 500 shingles each, at every size of the corpus.
 WIDTH = 1 << 18
 #: This share of the documents is added to every document frequency, so that copies stay alike when thousands share
-#: their shingles: what all documents hold weighs four fifths of what one holds.
-SMOOTH = 0.5
+#: their shingles: what all documents hold weighs half of what one holds.
+SMOOTH = 0.1
 
 
 def plan_bands(threshold: float, recall: float, rows: int) -> int:
