@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -212,8 +213,15 @@ def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(h)
 
 
-def parts(batches: Iterator[pa.RecordBatch], size: int = 300) -> Iterator[pa.RecordBatch]:
-    """Batches of at most ``size`` rows."""
+def parts(batches: Iterator[pa.RecordBatch], size: int = 300, most: int = 1 << 20, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Batches of at most ``size`` rows and about ``most`` bytes of text: a longer text stands alone."""
     for b in batches:
-        for lo in range(0, b.num_rows, size):
-            yield b.slice(lo, size)
+        bytes_ = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy()
+        lo = held = 0
+        for hi, n in enumerate(bytes_.tolist()):
+            if hi > lo and (hi - lo == size or held + n > most):
+                yield b.slice(lo, hi - lo)
+                lo, held = hi, 0
+            held += n
+        if b.num_rows > lo:
+            yield b.slice(lo)

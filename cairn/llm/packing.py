@@ -30,7 +30,7 @@ class Encoder:
     letters whose normal form may depend on their neighbours go to the tokenizer whole.
     """
 
-    def __init__(self, json_text: str, known_words: int = 500_000):
+    def __init__(self, json_text: str, known_words: int = 150_000):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer, self.words = Tokenizer.from_str(json_text), Tokenizer.from_str(json_text)

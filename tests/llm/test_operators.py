@@ -568,3 +568,15 @@ def test_pipeline_odd_rows(spark, sf_dir, odd):
 
 def test_digests(spark, sf_dir, ranks):
     assert hashlib.sha256(b"").hexdigest() == spark.range(1).select(F.sha2(F.lit("").cast("binary"), 256).alias("x")).first().x
+
+
+def test_parts_are_bounded_by_rows_and_bytes():
+    import pyarrow as pa
+
+    from cairn.llm.common import parts
+
+    batch = pa.RecordBatch.from_pydict({"text": ["a" * 5, None, "b" * 3000, "", "c"] * 50})
+    out = list(parts([batch], size=40, most=1000))
+    assert sum((x.column("text").to_pylist() for x in out), []) == batch.column("text").to_pylist()
+    assert all(0 < x.num_rows <= 40 and (x.num_rows <= 2 or sum(len(t or "") for t in x.column("text").to_pylist()[:-1]) <= 3000) for x in out)
+    assert list(parts([batch.slice(0, 0)])) == []
