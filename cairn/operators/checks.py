@@ -53,11 +53,13 @@ def check_trail_buckets(trails: DataFrame, buckets: DataFrame, blocks: DataFrame
 def check_unattached_open(groups: DataFrame, attached: list[DataFrame], cidr: str = OPEN) -> DataFrame:
     """Open groups (group, Perms) in none of the id lists (``group``), as SQL's NOT IN has it: a null id in a list
     leaves no finding, and a null group is never one."""
-    spark = groups.sparkSession
     used = attached[0].select("group")
     for more in attached[1:]:
         used = used.union(more.select("group"))
-    return spark.sql("SELECT group FROM {open} WHERE group NOT IN (SELECT group FROM {used})", open=groups.where(is_open(F.col("Perms"), cidr)).select("group"), used=used.distinct())
+    found = groups.where(is_open(F.col("Perms"), cidr) & F.col("group").isNotNull()).select("group")
+    if not used.where(F.col("group").isNull()).isEmpty():
+        return found.limit(0)
+    return found.join(used.distinct(), "group", "left_anti")
 
 
 def check_unversioned(buckets: DataFrame, versioning: DataFrame, key: str) -> DataFrame:

@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.functions.expr import id_from_arn, or_else
+from cairn.operators.keyspace import with_rank
+
+#: Regions at most of a plan.
+REGIONS = 1000
 
 
 def bucket_posture(parents: DataFrame, key: str, configs: dict[str, DataFrame]) -> DataFrame:
@@ -49,9 +53,10 @@ def describe(listed: DataFrame, detail: DataFrame, id_field: str, scope: tuple[s
 
 
 def with_batches(ids: DataFrame, key: str, n: int, scope: tuple[str, ...] = ()) -> DataFrame:
-    """``ids`` with ``batch``, numbered in each scope in blocks of ``n`` by key. Without a scope, by hash group."""
-    by = list(scope) or [F.pmod(F.xxhash64(key), F.lit(64))]
-    return ids.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(*by).orderBy(key)) - 1) / n))
+    """``ids`` with ``batch``, numbered in each scope in blocks of ``n`` by key; without a scope, over all of them."""
+    if not scope:
+        return with_rank(ids, key, out="__n").withColumn("batch", F.floor((F.col("__n") - 1) / n)).drop("__n")
+    return ids.withColumn("batch", F.floor((F.row_number().over(Window.partitionBy(*scope).orderBy(key)) - 1) / n))
 
 
 def batches(df: DataFrame, key: str, n: int, scope: tuple[str, ...]) -> DataFrame:
@@ -101,12 +106,18 @@ def dedupe_accounts(profiles: DataFrame, explicit: bool = False) -> tuple[DataFr
 
 
 def plan_sessions(profiles: DataFrame, regions: DataFrame, enabled: DataFrame | None = None, explicit: bool = False) -> DataFrame:
-    """Deduplicated profiles in all regions (a table of a few dozen); opt-in regions only where enabled.
+    """Deduplicated profiles in all regions; opt-in regions only where enabled.
 
-    ``regions`` (region, opt_in boolean); ``enabled`` (account, region).
+    ``regions`` (region, opt_in boolean): a table of a few dozen rows, REGIONS at most, that becomes a literal;
+    ``enabled`` (account, region).
     """
     alive, _ = dedupe_accounts(profiles, explicit)
-    plan = alive.withColumn("__one", F.lit(1)).join(regions.withColumn("__one", F.lit(1)), "__one").drop("__one")
+    known = regions.select("region", "opt_in").limit(REGIONS + 1).collect()
+    if len(known) > REGIONS:
+        raise ValueError(f"more than {REGIONS} regions")
+    kind = "array<struct<region:string,opt_in:boolean>>"
+    every = F.array(*(F.struct(F.lit(r.region).alias("region"), F.lit(r.opt_in).alias("opt_in")) for r in known)).cast(kind)
+    plan = alive.select("*", F.inline(every))
     free = plan.where("not opt_in")
     if enabled is None:
         return free.drop("opt_in")

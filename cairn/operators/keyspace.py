@@ -46,18 +46,25 @@ def list_level(objects: DataFrame, prefix: str = "", delimiter: str = "/", start
 
 def list_schedule(objects: DataFrame, delimiters: list[str], emit_prefixes: bool = True) -> DataFrame:
     """Level i is split by delimiter i, the rest is listed whole: rows (Bucket, level, kind, key), each key once."""
-    rows, levels = objects.select("Bucket", "Key", F.lit("").alias("__p"), F.lit(0).alias("level"), F.array().cast("array<struct<level:int,key:string>>").alias("__seen")), []
-    for i, d in enumerate(delimiters):
-        child = F.when(F.col("level") == i, _child(F.col("Key"), F.col("__p"), d))
-        rows = rows.withColumn("__c", child).select(
-            "Bucket", "Key", F.coalesce("__c", "__p").alias("__p"), F.when(F.col("__c").isNotNull(), i + 1).otherwise(F.col("level")).alias("level"),
-            F.when(F.col("__c").isNotNull(), F.concat("__seen", F.array(F.struct(F.lit(i).alias("level"), F.col("__c").alias("key"))))).otherwise(F.col("__seen")).alias("__seen"),
-        )
-        levels.append(i)
-    out = rows.select("Bucket", "level", F.lit("object").alias("kind"), F.col("Key").alias("key"))
-    if not emit_prefixes:
+    names = [f"__p{i}" for i in range(len(delimiters))]
+
+    def descend(rows: DataFrame) -> DataFrame:
+        """The prefix of each level that the schedule reaches, else null."""
+        before = F.lit("")
+        for name, d in zip(names, delimiters, strict=True):
+            rows, before = rows.withColumn(name, _child(F.col("Key"), before, d)), F.col(name)
+        return rows
+
+    rows = descend(objects.select("Bucket", "Key"))
+    level = sum((F.when(F.col(p).isNotNull(), 1).otherwise(0) for p in names), F.lit(0))
+    out = rows.select("Bucket", level.alias("level"), F.lit("object").alias("kind"), F.col("Key").alias("key"))
+    if not emit_prefixes or not names:
         return out
-    prefixes = rows.select("Bucket", F.explode("__seen").alias("s")).select("Bucket", "s.level", F.lit("prefix").alias("kind"), "s.key").distinct()
+    # The deepest prefixes are few; they pass the same prefixes as the keys below them. Nulls go at the end: a filter
+    # here would be pushed to the scan, where it computes the prefixes once more for each level.
+    deepest = rows.select("Bucket", F.coalesce(*reversed([F.col(p) for p in names])).alias("Key")).distinct()
+    levels = F.explode(F.array(*(F.struct(F.lit(i).alias("level"), F.col(p).alias("key")) for i, p in enumerate(names))))
+    prefixes = descend(deepest).select("Bucket", levels.alias("s")).where("s.key is not null").select("Bucket", "s.level", F.lit("prefix").alias("kind"), "s.key").distinct()
     return out.unionByName(prefixes)
 
 
@@ -148,25 +155,25 @@ def fixed_split(spark: SparkSession, bucket: str, scheme: str, prefix: str = "",
 def assign_slices(objects: DataFrame, slices: DataFrame, few: int = FEW_BOUNDS) -> DataFrame:
     """``objects`` with the start_after and end_at of the slice that holds them; keys in none are left out.
 
-    ``slices`` don't overlap. Few of them are compared from a small map; beyond that, bounds and keys are sorted
-    together within bucket and leading character, and each key takes the latest start before it.
+    ``slices`` don't overlap. Few of them are broadcast; beyond that, bounds and keys are sorted
+    together by ranges, and each key takes the latest start before it.
     """
-    starts = slices.groupBy("Bucket").agg(F.sort_array(F.collect_list(F.struct("start_after", "end_at"))).alias("__s"))
     if slices.count() <= few:
-        mine = F.element_at(F.filter("__s", lambda s: s["start_after"] < F.col("Key")), -1)
-        out = objects.join(F.broadcast(starts), "Bucket").withColumn("__m", F.when(F.exists("__s", lambda s: s["start_after"] < F.col("Key")), mine))
-        out = out.select(*objects.columns, "__m.start_after", "__m.end_at")
-    else:
-        lead = F.substring("Key", 1, 1)
-        own = objects.select(*objects.columns, lead.alias("__c"), F.lit(0).alias("__bound"), F.col("Key").alias("__k"), F.lit(None).cast("string").alias("__e"))
-        blank = [F.lit(None).cast(objects.schema[c].dataType).alias(c) if c != "Bucket" else F.col(c) for c in objects.columns]
-        # a slice stands in every leading character that it reaches
-        leads = objects.select("Bucket", lead.alias("__c")).distinct()
-        reach = leads.join(slices, "Bucket").where((F.substring("start_after", 1, 1) <= F.col("__c")) & ((F.col("end_at") == "") | (F.substring("end_at", 1, 1) >= F.col("__c"))))
-        bounds = reach.select(*blank, "__c", F.lit(1).alias("__bound"), F.col("start_after").alias("__k"), F.col("end_at").alias("__e"))
-        w = Window.partitionBy("Bucket", "__c").orderBy("__k", "__bound").rowsBetween(Window.unboundedPreceding, 0)
-        last = F.last(F.when(F.col("__bound") == 1, F.struct(F.col("__k").alias("start_after"), F.col("__e").alias("end_at"))), ignorenulls=True).over(w)
-        out = own.union(bounds).withColumn("__m", last).where("__bound = 0").select(*objects.columns, "__m.start_after", "__m.end_at")
+        own = F.broadcast(slices.select(F.col("Bucket").alias("__b"), F.col("start_after").alias("__s"), F.col("end_at").alias("__e")))
+        inside = (F.col("Bucket") == F.col("__b")) & (F.col("Key") > F.col("__s")) & ((F.col("__e") == "") | (F.col("Key") <= F.col("__e")))
+        return objects.join(own, inside).select(*objects.columns, F.col("__s").alias("start_after"), F.col("__e").alias("end_at"))
+    # keys and bounds in one order over all tasks; each task begins with the latest start of those before it
+    own = objects.select(*objects.columns, F.lit(0).alias("__bound"), F.col("Key").alias("__k"), F.lit(None).cast("string").alias("__e"))
+    blank = [F.lit(None).cast(objects.schema[c].dataType).alias(c) if c != "Bucket" else F.col(c) for c in objects.columns]
+    bounds = slices.select(*blank, F.lit(1).alias("__bound"), F.col("start_after").alias("__k"), F.col("end_at").alias("__e"))
+    parts = int(objects.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = cut(own.union(bounds).repartitionByRange(parts, "Bucket", "__k").withColumn("__part", F.spark_partition_id()))
+    start = F.when(F.col("__bound") == 1, F.struct(F.col("__k").alias("start_after"), F.col("__e").alias("end_at")))
+    earlier = Window.partitionBy("Bucket").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = both.groupBy("Bucket", "__part").agg(F.max(start).alias("__last")).withColumn("__before", F.last("__last", ignorenulls=True).over(earlier)).drop("__last")
+    w = Window.partitionBy("Bucket", "__part").orderBy("__k", "__bound").rowsBetween(Window.unboundedPreceding, 0)
+    out = both.join(carried, ["Bucket", "__part"]).withColumn("__m", F.coalesce(F.last(start, ignorenulls=True).over(w), F.col("__before")))
+    out = out.where("__bound = 0").select(*objects.columns, "__m.start_after", "__m.end_at")
     return out.where("start_after is not null and (end_at = '' or Key <= end_at)")
 
 
@@ -174,24 +181,26 @@ def slice_counts(objects: DataFrame, slices: DataFrame) -> DataFrame:
     return assign_slices(objects, slices).groupBy("Bucket", "start_after", "end_at").agg(F.count("*").alias("n"))
 
 
-def rebalance(objects: DataFrame, max_pages: int, page: int = PAGE, rounds: int = 12) -> DataFrame:
-    """Slices from the whole of each bucket, hot ones cut again until all are within ``max_pages`` or can't be.
+def rebalance(objects: DataFrame, max_pages: int, page: int = PAGE) -> DataFrame:
+    """Slices from the whole of each bucket, hot ones cut again until all are within ``max_pages`` or can't be cut:
+    a slice that can't holds one key.
 
-    A round works on the objects of hot slices only; the slices, not the objects, are materialised between rounds.
+    A round keeps the objects of hot slices only and cuts at least one character deeper, so rounds are at most as
+    many as the longest key's characters.
     """
     by, objects = ["Bucket", "start_after", "end_at"], objects.select("Bucket", "Key")
     hot = cut(objects.select("Bucket").distinct().select("Bucket", F.lit("").alias("start_after"), F.lit("").alias("end_at")))
     done = None
-    for _ in range(rounds):
+    while True:
         over = cut(slice_counts(objects, hot).where(F.col("n") > max_pages * page).drop("n"))
         cool = hot.join(over, by, "left_anti")
         done = cut(cool if done is None else done.union(cool))
         if over.isEmpty():
             return done
-        pieces = cut(radix_split(assign_slices(objects, over), over))
+        assigned = cut(assign_slices(objects, over))
+        pieces = cut(radix_split(assigned, over))
         stuck = pieces.join(over, by, "left_semi")
-        done, hot = cut(done.union(stuck)), cut(pieces.join(over, by, "left_anti"))
-    return done.union(hot)
+        done, hot, objects = cut(done.union(stuck)), cut(pieces.join(over, by, "left_anti")), assigned.select("Bucket", "Key")
 
 
 def split_with(objects: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -245,10 +254,20 @@ def listing_cost(objects: DataFrame, slices: DataFrame, page: int = PAGE) -> Dat
     return serial.withColumn("__k", F.lit(1)).join(sliced.withColumn("__k", F.lit(1)), "__k").drop("__k")
 
 
+def with_rank(df: DataFrame, *order: str, out: str = "rank") -> DataFrame:
+    """``df`` with each row's number, from 1, in the order of all rows: tasks sort ranges, offsets follow from their sizes."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranges = cut(df.repartitionByRange(parts, *order).withColumn("__part", F.spark_partition_id()))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row a task
+    sizes = ranges.groupBy("__part").agg(F.count("*").alias("__n")).withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
+    number = F.row_number().over(Window.partitionBy("__part").orderBy(*order))
+    return ranges.join(F.broadcast(sizes), "__part").withColumn(out, F.col("__before") + number).drop("__part", "__before")
+
+
 def merge_by_key(versions: DataFrame, markers: DataFrame) -> DataFrame:
-    """Versions and delete markers in key order, versions first."""
+    """Versions and delete markers in key order, versions first; ``rank`` is the place in that order."""
     both = versions.withColumn("__r", F.lit(0)).unionByName(markers.withColumn("__r", F.lit(1)), allowMissingColumns=True)
-    return both.orderBy("Key", "__r", "VersionId").drop("__r")
+    return with_rank(both, "Key", "__r", "VersionId").orderBy("rank").drop("__r")
 
 
 def current(versions: DataFrame) -> DataFrame:

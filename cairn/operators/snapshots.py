@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cairn.functions.expr import age_text, hash_key
@@ -15,9 +15,10 @@ def snapshot_key(*columns: Column) -> Column:
 
 def reuse_snapshot(requests: DataFrame, snapshots: DataFrame, ttl: int) -> DataFrame:
     """Each request (key, at) with the newest snapshot (key, created) before it: hit within the TTL, else stale or miss."""
-    near = requests.select("key", "at").distinct().join(snapshots.select("key", "created"), "key").where("created <= at")
-    newest = near.groupBy("key", "at").agg(F.max("created").alias("created"))
-    out = requests.join(newest, ["key", "at"], "left").withColumn("age", F.col("at") - F.col("created"))
+    made = snapshots.select("key", F.col("created").alias("at"), F.col("created").alias("__created"))
+    both = requests.withColumn("__asks", F.lit(1)).unionByName(made.withColumn("__asks", F.lit(0)), allowMissingColumns=True)
+    newest = F.max("__created").over(Window.partitionBy("key").orderBy("at", "__asks").rowsBetween(Window.unboundedPreceding, 0))
+    out = both.withColumn("created", newest).where("__asks = 1").drop("__asks", "__created").withColumn("age", F.col("at") - F.col("created"))
     return out.withColumn("decision", F.when(F.col("age").isNull(), "miss").when(F.col("age") <= ttl, "hit").otherwise("stale"))
 
 

@@ -313,10 +313,10 @@ def w4_check_partition(t: Tables) -> DataFrame:
     return keyspace.check_partition(_done(t)[0])
 
 
-@query("SELECT Key, VersionId, kind FROM $VER ORDER BY Key, kind DESC, VersionId")
+@query("SELECT Key, VersionId, kind, row_number() OVER (ORDER BY Key, kind DESC, VersionId) AS rank FROM $VER")
 def w6_merge_by_key(t: Tables) -> DataFrame:
     v = t("VER")
-    return keyspace.merge_by_key(v.where("kind = 'object-version'"), v.where("kind = 'delete-marker'")).select("Key", "VersionId", "kind")
+    return keyspace.merge_by_key(v.where("kind = 'object-version'"), v.where("kind = 'delete-marker'")).select("Key", "VersionId", "kind", "rank")
 
 
 @query("SELECT 'current' AS part, count(DISTINCT user_id) AS n FROM events UNION ALL SELECT 'noncurrent', count(*) - count(DISTINCT user_id) FROM events UNION ALL SELECT 'faults', 0")
@@ -441,6 +441,6 @@ def f12_remap_keys(t: Tables) -> DataFrame:
     return t("events").select("event_id", out["K"].alias("k"), F.size(out).alias("n"))
 
 
-@query("SELECT event_id, 'a+b c' AS key FROM events")
+@query("SELECT event_id, props AS key FROM events")
 def f8_decode_key(t: Tables) -> DataFrame:
-    return t("events").select("event_id", expr.decode_key(F.concat(F.lit("a+b%20c"), F.substring("props", 1, 0))).alias("key"))
+    return t("events").select("event_id", expr.decode_key(F.replace(F.url_encode("props"), F.lit("+"), F.lit("%20"))).alias("key"))

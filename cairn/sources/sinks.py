@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-ISO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+#: Times keep their microseconds, with and without a zone.
+TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def write_jsonl(df: DataFrame, path: str, compression: str = "none", mode: str = "error") -> None:
     """An object a line, times as text; null fields are left out."""
-    df.write.mode(mode).option("timestampFormat", ISO).option("compression", compression).json(path)
+    df.write.mode(mode).options(**TIMES).option("compression", compression).json(path)
 
 
 def write_values(df: DataFrame, column: str, path: str, mode: str = "error") -> None:
@@ -36,4 +37,4 @@ def tee(df: DataFrame, sinks: dict[str, Callable[[DataFrame], None]]) -> None:
 
 def write_partitioned(df: DataFrame, by: str, path: str, mode: str = "error") -> None:
     """A folder of JSON lines for each value of ``by``. Spark splits a value with many rows over files."""
-    df.write.mode(mode).partitionBy(by).option("timestampFormat", ISO).json(path)
+    df.write.mode(mode).partitionBy(by).options(**TIMES).json(path)

@@ -3,7 +3,7 @@
 import pytest
 from compare import duck_rows, spark_rows
 
-from cairn.plans import analytics, records  # noqa: F401
+from cairn.plans import analytics, records, transfers  # noqa: F401
 from cairn.plans.tables import ORACLE, QUERIES
 
 
