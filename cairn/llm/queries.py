@@ -92,40 +92,48 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files of a tree source/lang/hundred/name; one that opens with a licence statement is the licence
-    file of its directory."""
-    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string"))
+    """Documents as files of a tree source/lang/hundred/name. Those whose id ends with 0 or 1 stand for the licence
+    files of the upper directories: they lie in source, or in source/lang; besides them, a document whose first line
+    names a licence is the licence file of its directory."""
+    tail, text_id = F.pmod("doc_id", F.lit(10)), F.col("doc_id").cast("string")
+    lang, hundred = F.when(tail.isNull() | (tail > 0), F.col("lang")), F.when(tail > 1, F.floor(F.col("doc_id") / 100).cast("string"))
+    path = F.concat_ws("/", "source", lang, hundred, F.coalesce(text_id, F.lit("")))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", path.alias("path"))
-    opens = F.substring_index("text", "\n", 1).rlike(license_scan.HINT)
-    found = license_scan.scan(docs.select("path", "text"), license_scan.templates(spark), opens)
-    return found.select(F.substring_index("path", "/", -1).cast("long").alias("doc_id"), "license", "score", "origin", F.substring_index("origin_path", "/", -1).cast("long").alias("origin_doc_id"))
-
-
-OP10_SQL = """
-WITH known(template_id, license, statement) AS (VALUES """ + ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(license_scan.TEMPLATES)) + """),
-docs AS (SELECT doc_id, text, source || '/' || lang || '/' || CAST(doc_id // 100 AS VARCHAR) AS dir, source || '/' || lang AS dir2, source AS dir1,
-                regexp_matches(split_part(text, chr(10), 1), '(?i)licen[cs]e') AS file FROM documents),
-named AS (SELECT * FROM (SELECT doc_id, dir, file, unnest(string_split(regexp_replace(text, '([.!?])[ \t\r\n]+', '\1' || chr(10), 'g'), chr(10))) AS statement FROM docs)
-          WHERE regexp_matches(statement, '(?i)licen[cs]e')),
+    opens = (tail < 2) | F.substring_index("text", "\n", 1).rlike("(?i)licen[cs]e")
+    found = license_scan.scan(docs, license_scan.templates(spark), opens, keep=("doc_id",))
+    return found.select("doc_id", "license", "score", "origin", F.substring_index("origin_path", "/", -1).try_cast("long").alias("origin_doc_id"))
+
+
+OP10_SQL = r"""
+WITH known(template_id, license, statement) AS (VALUES """ + ", ".join(f"({i}, '{a}', '{b}')" for i, (a, b) in enumerate(license_scan.TEMPLATES)) + r"""),
+docs AS (SELECT doc_id, text, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, path, doc_id % 10 < 2 OR regexp_matches(split_part(text, chr(10), 1), '(?i)licen[cs]e') AS file
+         FROM (SELECT *, concat_ws('/', source, CASE WHEN doc_id % 10 > 0 THEN lang END, CASE WHEN doc_id % 10 > 1 THEN CAST(doc_id // 100 AS VARCHAR) END, CAST(doc_id AS VARCHAR)) AS path FROM documents)),
+blocks AS (SELECT doc_id, unnest([text] || list_transform(string_split_regex(text, '
+[ 	]*
+'), lambda b: regexp_replace(b, '[ 	
+]+', ' ', 'g'))) AS b FROM docs),
+named AS (SELECT DISTINCT doc_id, unnest(string_split(regexp_replace(b, '([.!?])[ 	
+]+', '' || chr(10), 'g'), chr(10))) AS statement FROM blocks),
 said AS (SELECT DISTINCT statement FROM named),
 ours AS (SELECT statement, token, count(*) AS tf FROM (SELECT statement, unnest(regexp_extract_all(lower(statement), '[a-z0-9]+')) AS token FROM said) GROUP BY ALL),
 theirs AS (SELECT template_id, token, count(*) AS tf FROM (SELECT template_id, unnest(regexp_extract_all(lower(statement), '[a-z0-9]+')) AS token FROM known) GROUP BY ALL),
-n AS (SELECT (SELECT count(*) FROM said) + (SELECT count(*) FROM known) AS n),
-idf AS (SELECT token, ln((1.0 + any_value(n)) / (1.0 + count(*))) + 1.0 AS idf FROM (SELECT token FROM ours UNION ALL SELECT token FROM theirs), n GROUP BY token),
-ow AS (SELECT statement, token, tf * idf AS w FROM ours JOIN idf USING (token)),
+n AS (SELECT count(*) AS n FROM known),
+idf AS (SELECT token, ln((1.0 + any_value(n)) / (1.0 + count(*))) + 1.0 AS idf FROM theirs, n GROUP BY token),
+ow AS (SELECT statement, token, tf * coalesce(idf, ln(1.0 + n) + 1.0) AS w FROM ours LEFT JOIN idf USING (token), n),
 tw AS (SELECT template_id, token, tf * idf AS w FROM theirs JOIN idf USING (token)),
 os AS (SELECT statement, sqrt(sum(w * w)) AS s FROM ow GROUP BY 1),
 ts AS (SELECT template_id, sqrt(sum(w * w)) AS s FROM tw GROUP BY 1),
 scored AS (SELECT statement, template_id, round(sum(ow.w * tw.w) / (any_value(os.s) * any_value(ts.s)), 6) AS score
            FROM ow JOIN tw USING (token) JOIN os USING (statement) JOIN ts USING (template_id) GROUP BY 1, 2),
 matched AS (SELECT statement, license, score FROM (SELECT *, row_number() OVER (PARTITION BY statement ORDER BY score DESC, template_id) AS k FROM scored WHERE score >= 0.75) JOIN (SELECT template_id, license FROM known) USING (template_id) WHERE k = 1),
-own AS (SELECT doc_id, any_value(dir) AS dir, bool_or(file) AS file, max(struct_pack(score := score, license := license)) AS m FROM named JOIN matched USING (statement) GROUP BY doc_id),
-giving AS (SELECT dir, doc_id AS g_id, m.license AS g_license, m.score AS g_score FROM own WHERE file
-           QUALIFY row_number() OVER (PARTITION BY dir ORDER BY m.score DESC, dir || '/' || CAST(doc_id AS VARCHAR)) = 1)
+own AS (SELECT doc_id, max(struct_pack(score := score, license := license)) AS m FROM named JOIN matched USING (statement) GROUP BY doc_id),
+giving AS (SELECT dir, doc_id AS g_id, m.license AS g_license, m.score AS g_score FROM own JOIN docs USING (doc_id) WHERE file
+           QUALIFY row_number() OVER (PARTITION BY dir ORDER BY m.score DESC, path) = 1),
+near AS (SELECT d.doc_id, g.* FROM docs d JOIN giving g ON d.dir = g.dir OR starts_with(d.dir, g.dir || '/') QUALIFY row_number() OVER (PARTITION BY d.doc_id ORDER BY length(g.dir) DESC) = 1)
 SELECT d.doc_id, coalesce(o.m.license, g.g_license) AS license, coalesce(o.m.score, g.g_score) AS score,
        CASE WHEN o.doc_id IS NOT NULL THEN 'own' WHEN g.g_id IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
        CASE WHEN o.doc_id IS NOT NULL THEN d.doc_id ELSE g.g_id END AS origin_doc_id
-FROM docs d LEFT JOIN own o ON d.doc_id = o.doc_id LEFT JOIN giving g ON d.dir = g.dir
+FROM docs d LEFT JOIN own o ON d.doc_id = o.doc_id LEFT JOIN near g ON d.doc_id = g.doc_id
 """
 
 

@@ -521,6 +521,40 @@ def test_licences_are_inherited_from_the_nearest_directory(spark):
     assert license_scan.scan(spark.createDataFrame([], "path string, text string"), license_scan.templates(spark)).count() == 0
 
 
+def test_licence_texts_and_headers_are_known(spark):
+    mit = "MIT License\n\nCopyright (c) 2020 Someone\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n"
+    gpl = "# This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU General Public License as published by\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n\nimport this"
+    bsd = "Redistributions of source code must retain the above copyright notice, this list of\nconditions and the following disclaimer.\n\n* Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote\nproducts derived from this software without specific prior written permission.\n"
+    texts = {"mit": mit, "grant": mit.split("Someone\n\n")[1], "gpl": gpl, "bsd": bsd, "spdx": "// SPDX-License-Identifier: Apache-2.0\ncode", "line": "License: MIT", "gnu": "GNU GENERAL PUBLIC LICENSE\nVersion 2, June 1991", "moz": "Mozilla Public License Version 2.0", "no": "SPDX-License-Identifier: Zlib", "prose": "the mit and the license of this program are not here"}
+    df = spark.createDataFrame(list(texts.items()), "path string, text string")
+    got = {r.path: r.license for r in license_scan.scan(df, license_scan.templates(spark)).collect()}
+    assert got == {"mit": "MIT", "grant": "MIT", "gpl": "GPL-3.0", "bsd": "BSD-3-Clause", "spdx": "Apache-2.0", "line": "MIT", "gnu": "GPL-2.0", "moz": "MPL-2.0", "no": None, "prose": None}
+
+
+def test_no_text_without_a_marker_matches():
+    known = [text for _, text in license_scan.TEMPLATES]
+    idf, other = license_scan.rarity(known)
+    marks = set(license_scan.markers(known, 0.75))
+
+    def vector(text):
+        return {t: n * idf.get(t, other) for t, n in collections.Counter(re.findall(license_scan.TOKEN, text.lower())).items()}
+
+    for text in known:  # the best that a text without markers can do is the template without them
+        v = vector(text)
+        rest = {t: w for t, w in v.items() if t not in marks}
+        assert sum(w * w for w in rest.values()) < 0.75**2 * sum(w * w for w in v.values())
+
+
+def test_licences_of_upper_directories(spark, sf_dir):
+    rows = queries.op10_license_scan(spark, sf_dir).where("origin = 'inherited'").select("origin_doc_id").collect()
+    assert any(r.origin_doc_id % 10 < 2 for r in rows)
+    odd = spark.createDataFrame([(None, None, None, None), (1, None, "en", None), (1, "", None, "s"), (20, "MIT License", "en", "s"), (25, "x", "en", "s")], "doc_id long, text string, lang string, source string")
+    files = odd.select("doc_id", "text", F.concat_ws("/", "source", F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("path"))
+    got = {(r.doc_id, r.origin) for r in license_scan.scan(files, license_scan.templates(spark), F.pmod("doc_id", F.lit(10)) == 0, keep=("doc_id",)).collect()}
+    assert got == {(None, "none"), (1, "none"), (1, "inherited"), (20, "own"), (25, "inherited")}
+    assert license_scan.scan(files, license_scan.templates(spark).limit(0)).where("license is null").count() == 5
+
+
 # the pipeline
 
 
