@@ -136,6 +136,44 @@ def test_segments_equal_brute_force():
         assert [(a, b, round(s, 6)) for a, b, s in got] == [(a, b, round(s, 6)) for a, b, s in slow(scores, 0, len(scores))]
 
 
+def test_token_weights_equal_brute_force(spark):
+    r = random.Random(4)
+    rows = [(f"w{i}", *((r.randint(20, 60), r.randint(0, 3)) if i < 4 else (r.randint(0, 9), r.randint(0, 400)))) for i in range(60)] + [("rare", 4, 0)]
+    weights, rate, kept = toxicity.token_weights(spark.createDataFrame(rows, "token string, y1 long, y0 long"), 0.15)
+    n1, n0 = sum(y1 for _, y1, _ in rows), sum(y0 for _, _, y0 in rows)
+    prior = min(n1, n0)
+    want, seen = {}, {}
+    for token, y1, y0 in rows:
+        a = prior * (y1 + y0) / (n1 + n0)
+        delta = np.log((y1 + a) / (n1 + prior - y1 - a)) - np.log((y0 + a) / (n0 + prior - y0 - a))
+        if y1 + y0 >= 5 and abs(delta) / np.sqrt(1 / (y1 + a) + 1 / (y0 + a)) >= 2.5:
+            want[token], seen[token] = delta, max(y0, 0.1) / n0
+    assert weights == pytest.approx(want) and kept == pytest.approx(sum(seen.values()))
+    assert sum(v > 0 for v in weights.values()) >= 4 and "rare" not in weights
+    # the rate makes the expected exponential of a clean token's score one
+    mean = sum(seen[t] * np.exp(rate * (w - 0.15)) for t, w in want.items()) + (1 - sum(seen.values())) * np.exp(-rate * 0.15)
+    assert mean == pytest.approx(1, abs=1e-6) and rate > 0
+
+
+def test_chance_of_a_segment_is_that_of_the_largest_of_random_texts():
+    """Random clean texts hold a segment as high as one judged at p about as often as p says."""
+    r = np.random.default_rng(5)
+    weights, share, drift, n = np.array([2.0, 0.0]), np.array([0.02, 0.98]), 0.15, 400
+    low, high = 1e-6, 10.0
+    for _ in range(80):
+        rate = (low + high) / 2
+        low, high = (rate, high) if (share * np.exp(rate * (weights - drift))).sum() < 1 else (low, rate)
+    top = np.array([max([0.0, *(s for _, _, s in toxicity.segments([(int(i), 2.0) for i in np.flatnonzero(r.random(n) < 0.02)], drift))]) for _ in range(3000)])
+    log_k = float(np.clip(np.mean(rate * top) - np.log(n) - np.euler_gamma, -14, 0))
+    model = toxicity.Model({}, drift, rate, log_k, (0.0, 1.0, 1.0), level=1.1)
+    for s in np.quantile(top, [0.5, 0.8, 0.95]):
+        (_, _, _, p), = model.evidence([(0, 0, s)], n)
+        assert p == pytest.approx(-np.expm1(-np.exp(log_k) * n * np.exp(-rate * s)))
+        assert (top > s).mean() - 0.06 <= p <= (top >= s).mean() + 0.06
+    model.level = 0.05
+    assert not model.evidence([(0, 0, float(np.median(top)))], n)
+
+
 def test_toxicity_held_out(spark):
     data = "/root/testdata/sf0.01"
     out = {r.doc_id: r for r in queries.op3_toxicity(spark, data).collect()}
@@ -367,6 +405,34 @@ def test_viterbi_equals_brute_force():
         assert got[rows].tolist() == list(max(itertools.product((0, 1), repeat=len(rows)), key=value))
 
 
+def test_likelihood_and_gradient_equal_brute_force():
+    import itertools
+
+    r = np.random.default_rng(2)
+    sizes = [4, 1, 3]
+    mask = np.arange(4) < np.array(sizes)[:, None]
+    xs, ys = r.normal(size=(3, 4, quality_rules.FEATURES)) * mask[..., None], r.integers(0, 2, (3, 4)) * mask
+    emit, step = r.normal(size=quality_rules.FEATURES), r.normal(size=(2, 2))
+
+    def slow(emit, step):
+        total = 0.0
+        for x, y, n in zip(xs, ys, sizes, strict=True):
+            value = lambda labels, x=x: sum(x[i] @ emit * k for i, k in enumerate(labels)) + sum(step[a, b] for a, b in zip(labels, labels[1:], strict=False))
+            total += value(y[:n].tolist()) - np.log(sum(np.exp(value(list(w))) for w in itertools.product((0, 1), repeat=n)))
+        return total
+
+    value, by_emit, by_step = quality_rules.likelihood(xs, mask, ys, emit, step)
+    assert value == pytest.approx(slow(emit, step))
+    nudge = 1e-5
+    for i in range(len(emit)):
+        d = nudge * np.eye(len(emit))[i]
+        assert by_emit[i] == pytest.approx((slow(emit + d, step) - slow(emit - d, step)) / (2 * nudge), abs=1e-6)
+    for a, b in itertools.product((0, 1), repeat=2):
+        d = np.zeros((2, 2))
+        d[a, b] = nudge
+        assert by_step[a, b] == pytest.approx((slow(emit, step + d) - slow(emit, step - d)) / (2 * nudge), abs=1e-6)
+
+
 # 8
 
 
