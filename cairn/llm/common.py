@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,20 @@ def small(df: DataFrame, most: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` for mapInArrow, after which the task's free memory goes back to the system: workers outlive their tasks,
+    and an executor has several at once."""
+
+    def worked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the GNU C library has it
+        if trim:
+            trim(0)
+
+    return worked
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

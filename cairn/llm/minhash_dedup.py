@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import Words, components, cut, mark, mix, partitions, parts, runs
+from cairn.llm.common import Words, components, cut, mark, mix, partitions, parts, runs, tidy
 
 #: Width of the table of hashed document frequencies. A bucket's count is at most (shingles in all) / WIDTH over the
 #: true one on average, 0.2 % of the documents at 500 shingles each, at every size of the corpus.
@@ -87,7 +87,7 @@ def document_frequencies(docs: DataFrame, size: int = 5, width: int = WIDTH) ->
         return pa.table({"k": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
     out = np.zeros((width // piece + 1, piece), np.int64)
-    for r in docs.select("text").mapInArrow(counted, "k int, counts binary").groupBy("k").applyInArrow(added, "k int, counts binary").collect():
+    for r in docs.select("text").mapInArrow(tidy(counted), "k int, counts binary").groupBy("k").applyInArrow(added, "k int, counts binary").collect():
         out[r.k] = np.frombuffer(bytes(r.counts), np.int64)
     return out[:-1].ravel(), int(out[-1, 0])
 
@@ -142,7 +142,7 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
             as_long = lambda x: pa.array(x.astype(np.int64))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), as_long(k1), as_long(k2), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "k1", "k2", "keys"])
 
-    sketch = texts.mapInArrow(sketched, "doc_id long, k1 long, k2 long, keys array<long>")
+    sketch = texts.mapInArrow(tidy(sketched), "doc_id long, k1 long, k2 long, keys array<long>")
     sketch = cut(sketch.groupBy("doc_id").agg(F.min(F.struct("k1", "k2", "keys")).alias("m")).select("doc_id", "m.*"))
     blank = F.size("keys") == 0
     classes = cut(sketch.where(~blank).groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.min("keys").alias("keys")))
@@ -161,7 +161,7 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(bags, pa.binary())], ["doc_id", "bag"])
 
         some = mark(texts, "doc_id", ids).where("__hit").select("doc_id", "text")
-        return some.join(ids, "doc_id", "left_semi").mapInArrow(bagged, "doc_id long, bag binary")
+        return some.join(ids, "doc_id", "left_semi").mapInArrow(tidy(bagged), "doc_id long, bag binary")
 
     def alike(one: tuple, two: tuple) -> bool:
         (k, w, total), (k2, w2, total2) = one, two
@@ -195,7 +195,7 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
                         b_s.append(doc)
                 yield pa.RecordBatch.from_arrays([pa.array(a_s, pa.int64()), pa.array(b_s, pa.int64())], ["a", "b"])
 
-        return sides.mapInArrow(compared, "a long, b long")
+        return sides.mapInArrow(tidy(compared), "a long, b long")
 
     def in_full(places: DataFrame) -> DataFrame:
         """All similar pairs across components of each bucket, in groups of bounded size, a task for each.
@@ -239,7 +239,7 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
                         held.append((mine, doc, component, new))
                 yield pa.RecordBatch.from_arrays([pa.array(a_s, pa.int64()), pa.array(b_s, pa.int64())], ["a", "b"])
 
-        return sides.mapInArrow(compared, "a long, b long")
+        return sides.mapInArrow(tidy(compared), "a long, b long")
 
     # Each round compares the members of a bucket with one of them, and then drops that one; members that are in
     # one component already need no comparison. What is left after the rounds is compared in full, by chunks.

@@ -12,10 +12,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import cut
+from cairn.llm.common import cut, parts, tidy
 
 #: Pieces of one length that a task ranks, about; a common length is dealt to as many tasks as it needs.
 RANKED = 100_000
+#: Words that the tokenizer gets as one text.
+TOGETHER = 10_000
 # Letters whose normal form and lower case are the same alone as in context, and white space that all agree on.
 PLAIN = re.compile("[\\x00-\\x1b\\x20-\\u012f\\u0131-\\u01c3\\u01cd-\\u01f0\\u01f4-\\u024f]*")
 # fixed values: the tokenizer file's own splitting of normalised text, said for plain text: contractions, runs of
@@ -56,6 +58,10 @@ class Encoder:
         """Ids of words; a token that ends a word tells where the next one begins."""
         if not words:
             return
+        if len(words) > TOGETHER:
+            for lo in range(0, len(words), TOGETHER):
+                self.learn(words[lo : lo + TOGETHER])
+            return
         ids = np.array(self.words.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0].ids, "<u4")
         ends = (np.flatnonzero(self.last[ids]) + 1) * 4
         if len(ends) == len(words):
@@ -90,17 +96,15 @@ def pieces(docs: DataFrame, tokenizer_json: str, size: int = 4096, end_id: int =
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(shared.value)
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                b = batch.slice(lo, 500)
-                rows = []
-                for d, ids in zip(b.column("doc_id").to_pylist(), encode(b.column("text").to_pylist()), strict=True):
-                    ids += end
-                    rows += [(d, i, at // 4, len(p) // 4, zlib.crc32(p)) for i, at in enumerate(range(0, len(ids), step)) for p in (ids[at : at + step],)]
-                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(coded, "doc_id long, piece int, start long, length long, ids_crc32 long")
+        for b in parts(batches, 500):
+            rows = []
+            for d, ids in zip(b.column("doc_id").to_pylist(), encode(b.column("text").to_pylist()), strict=True):
+                ids += end
+                rows += [(d, i, at // 4, len(p) // 4, zlib.crc32(p)) for i, at in enumerate(range(0, len(ids), step)) for p in (ids[at : at + step],)]
+            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(coded), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 @dataclass

@@ -13,7 +13,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import Words, components, cut, mark, mix, partitions, parts, run_hashes, small, stored
+from cairn.llm.common import Words, components, cut, mark, mix, partitions, parts, run_hashes, small, stored, tidy
 
 #: A fragment ends at a line end, and before a pair of words whose hash is the least of REACH pairs on either side.
 #: So a passage is cut alike wherever it stands in a line, but for some REACH words at its ends.
@@ -169,7 +169,7 @@ def linked_pairs(places: DataFrame, threshold: float, chunk: int) -> DataFrame:
     def in_groups(dealt: DataFrame) -> DataFrame:
         keys = ["key", "lo", "hi"]
         dealt = dealt.select(*keys, "mine", "exact", "component", "shingles").repartition(partitions(spark), *keys)
-        return dealt.sortWithinPartitions(*keys, "mine", "exact").mapInArrow(compared, "a long, b long")
+        return dealt.sortWithinPartitions(*keys, "mine", "exact").mapInArrow(tidy(compared), "a long, b long")
 
     number = lambda n: F.pmod(F.xxhash64("exact"), F.col(n)).cast("int")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -248,7 +248,7 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
             exact, ids = pa.array(p.exact.astype(np.int64)), pa.array(b.column("doc_id").to_numpy()[p.text])
             yield pa.RecordBatch.from_arrays([exact, ids, *map(small_int, (p.seq, p.pieces, start, end, p.first - p.of.first[p.text], p.words)), lists], ["exact", "doc_id", "seq", "pieces", "start", "end", "first", "words", "keys"])
 
-    places = stored(texts.mapInArrow(placed, PLACE))
+    places = stored(texts.mapInArrow(tidy(placed), PLACE))
     group = _groups(texts, places, threshold, chunk)
     # one row for each paragraph or fragment that stands in two places or is like another one: where the first one is
     equal = places.groupBy("exact").agg(F.count("*").alias("n"), F.min(packed("doc_id", "seq")).alias("place"))
@@ -297,7 +297,7 @@ def _groups(texts: DataFrame, places: DataFrame, threshold: float, chunk: int) -
             yield pa.RecordBatch.from_arrays([pa.array(p.exact[hit].astype(np.int64)), pa.array([p.shingles(i).astype(np.int64) for i in hit.tolist()], pa.list_(pa.int64()))], ["exact", "shingles"])
 
     some = mark(texts, "doc_id", holders).where("__hit").select("doc_id", "text").join(holders, "doc_id", "left_semi")
-    shingled = some.select("text").mapInArrow(sets, "exact long, shingles array<long>").groupBy("exact").agg(F.min("shingles").alias("shingles"))
+    shingled = some.select("text").mapInArrow(tidy(sets), "exact long, shingles array<long>").groupBy("exact").agg(F.min("shingles").alias("shingles"))
     group = cut(components(linked_pairs(stored(members.join(shingled, "exact").select("key", "exact", "shingles")), threshold, chunk)))
     wanted.destroy()
     return group

@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cairn.llm.common import parts, tidy
+
 TOKEN = re.compile(r"\w+")
 #: Labelled rows of each label and fold that training takes at most, by the order of a hash of their id.
 SAMPLE = 20_000
@@ -117,12 +119,6 @@ def token_weights(counts: DataFrame, drift: float, z: float = 2.5, least: int =
     return weights, high, float(seen.sum() / n0)
 
 
-def _parts(batches: Iterator[pa.RecordBatch], size: int = 500) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for lo in range(0, b.num_rows, size):
-            yield b.slice(lo, size)
-
-
 def _tokens(text: str | None) -> list[str]:
     return TOKEN.findall(_lower(text)) if text else []
 
@@ -157,14 +153,14 @@ def train(docs: DataFrame, labels: DataFrame, drift: float = 0.15) -> Model:
     labelled = texts.join(F.broadcast(sample), "doc_id")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _parts(batches, 2000):
+        for b in parts(batches, 2000):
             sums = (Counter(), Counter())
             for t, y in zip(b.column("text").to_pylist(), b.column("y").to_pylist(), strict=True):
                 sums[y].update(set(_tokens(t)))
             names = list(sums[0].keys() | sums[1].keys())
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array([sums[1][w] for w in names], pa.int64()), pa.array([sums[0][w] for w in names], pa.int64())], ["token", "y1", "y0"])
 
-    counts = labelled.where("fold < 2").select("text", "y").mapInArrow(counted, "token string, y1 long, y0 long").groupBy("token").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")).persist()
+    counts = labelled.where("fold < 2").select("text", "y").mapInArrow(tidy(counted), "token string, y1 long, y0 long").groupBy("token").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0")).persist()
     weights, rate, _ = token_weights(counts, drift)
     counts.unpersist()
     model = Model(weights, drift, rate, 0.0, (math.log(base / (1 - base)), 0.0, 0.0))
@@ -172,12 +168,12 @@ def train(docs: DataFrame, labels: DataFrame, drift: float = 0.15) -> Model:
         return model
 
     def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in _parts(batches):
+        for b in parts(batches, 500):
             rows = [_tokens(t) for t in b.column("text").to_pylist()]
             found = [segments(_points(w, weights), drift) for w in rows]
             yield pa.RecordBatch.from_arrays([b.column("y"), pa.array([len(w) for w in rows], pa.int32()), pa.array([[s for _, _, s in f] for f in found], pa.list_(pa.float64()))], ["y", "n", "scores"])
 
-    got = labelled.where("fold = 3").select("text", "y").mapInArrow(scanned, "y int, n int, scores array<double>").collect()
+    got = labelled.where("fold = 3").select("text", "y").mapInArrow(tidy(scanned), "y int, n int, scores array<double>").collect()
     clean = [rate * max(r.scores, default=0.0) - math.log(max(r.n, 1)) for r in got if not r.y]
     model.log_k = float(np.clip(np.mean(clean) - np.euler_gamma, -14, 0)) if clean else 0.0
     y = np.array([r.y for r in got], float)
@@ -211,7 +207,7 @@ def score(df: DataFrame, model: Model, text_col: str = "text", out: str = "toxic
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for b in _parts(batches):
+        for b in parts(batches, 500, column=text_col):
             scores, spans = [], []
             for t in b.column(text_col).to_pylist():
                 words = _tokens(t)
@@ -223,4 +219,4 @@ def score(df: DataFrame, model: Model, text_col: str = "text", out: str = "toxic
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(scores, pa.float64()), pa.array(spans, kind)], [*b.schema.names, out, passages])
 
     fields = [*df.schema.fields, T.StructField(out, T.DoubleType()), T.StructField(passages, PASSAGES)]
-    return df.mapInArrow(scored, T.StructType(fields))
+    return df.mapInArrow(tidy(scored), T.StructType(fields))
