@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import bpe, embedding_dedup, license_scan, minhash_dedup, packing, quality_rules, secret_scan, substring_dedup, toxicity, url_filter
+from cairn.llm import bpe, embedding_dedup, license_scan, minhash_dedup, packing, quality_rules, secret_scan, sharding, substring_dedup, toxicity, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -109,10 +109,11 @@ WITH known(template_id, license, statement) AS (VALUES """ + ", ".join(f"({i}, '
 docs AS (SELECT doc_id, text, regexp_extract(path, '^(.*)/[^/]*$', 1) AS dir, path, doc_id % 10 < 2 OR regexp_matches(split_part(text, chr(10), 1), '(?i)licen[cs]e') AS file
          FROM (SELECT *, concat_ws('/', source, CASE WHEN doc_id % 10 > 0 THEN lang END, CASE WHEN doc_id % 10 > 1 THEN CAST(doc_id // 100 AS VARCHAR) END, CAST(doc_id AS VARCHAR)) AS path FROM documents)),
 blocks AS (SELECT doc_id, unnest([text] || list_transform(string_split_regex(text, '
-[ 	]*
-'), lambda b: regexp_replace(b, '[ 	
+[ 	
+]*
+'), lambda b: regexp_replace(b, '[ 	
 ]+', ' ', 'g'))) AS b FROM docs),
-named AS (SELECT DISTINCT doc_id, unnest(string_split(regexp_replace(b, '([.!?])[ 	
+named AS (SELECT DISTINCT doc_id, unnest(string_split(regexp_replace(b, '([.!?])[ 	
 ]+', '' || chr(10), 'g'), chr(10))) AS statement FROM blocks),
 said AS (SELECT DISTINCT statement FROM named),
 ours AS (SELECT statement, token, count(*) AS tf FROM (SELECT statement, unnest(regexp_extract_all(lower(statement), '[a-z0-9]+')) AS token FROM said) GROUP BY ALL),
@@ -137,5 +138,26 @@ FROM docs d LEFT JOIN own o ON d.doc_id = o.doc_id LEFT JOIN near g ON d.doc_id
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_toxicity, op4_minhash_dedup, op5_secret_scan, op6_url_filter, op7_quality_rules, op8_packing, op9_substring_dedup, op10_license_scan)}
-ORACLE = {"op6_url_filter": OP6_SQL, "op10_license_scan": OP10_SQL}
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.slots(table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = f"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+bits AS (SELECT i AS b, 0 AS k, i::BIGINT AS c FROM range(256) t(i)
+         UNION ALL SELECT b, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384::BIGINT) ELSE c >> 1 END FROM bits WHERE k < 8),
+crc AS (SELECT list(c ORDER BY b) AS t FROM bits WHERE k = 8),
+sums AS (SELECT r, xor(list_reduce(list_concat([4294967295::BIGINT], list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda x: ('0x' || x)::BIGINT)),
+                           lambda s, x: xor(s >> 8, t[(xor(s, x) & 255) + 1])), 4294967295::BIGINT) AS crc FROM docs, crc),
+jumps AS (SELECT r, ((coalesce(doc_id, 0)::HUGEINT + {sharding.TOP}::HUGEINT) % {sharding.TOP}::HUGEINT) AS k, 0::BIGINT AS home FROM docs
+          UNION ALL SELECT r, n, floor((home + 1) * (2147483648.0::DOUBLE / ((n // 8589934592)::DOUBLE + 1)))::BIGINT
+          FROM (SELECT r, home, (k * {sharding.FACTOR}::HUGEINT + 1) % {sharding.TOP}::HUGEINT AS n FROM jumps WHERE home < 9)),
+homes AS (SELECT r, max(home) FILTER (home < 8) AS shard, max(home) FILTER (home < 9) AS grown_shard FROM jumps GROUP BY r)
+SELECT doc_id, octet_length(encode(text)) + 1 AS size, crc::BIGINT AS text_crc32, 'key' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY md5(text), doc_id NULLS FIRST) - 1 AS slot, grown_shard, md5(text) AS text_md5
+FROM docs JOIN homes USING (r) JOIN sums USING (r)
+"""
+
+
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_toxicity, op4_minhash_dedup, op5_secret_scan, op6_url_filter, op7_quality_rules, op8_packing, op9_substring_dedup, op10_license_scan, op13_sharding)}
+ORACLE = {"op6_url_filter": OP6_SQL, "op10_license_scan": OP10_SQL, "op13_sharding": OP13_SQL}
