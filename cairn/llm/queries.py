@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import bpe, embedding_dedup, license_scan, minhash_dedup, packing, quality_rules, secret_scan, sharding, substring_dedup, toxicity, url_filter
+from cairn.llm import bpe, embedding_dedup, license_scan, minhash_dedup, packing, quality_rules, secret_scan, sharding, substring_dedup, toxicity, url_filter, vector_codes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -138,6 +138,34 @@ FROM docs d LEFT JOIN own o ON d.doc_id = o.doc_id LEFT JOIN near g ON d.doc_id
 """
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def _op12_sql(parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES, rounds: int = vector_codes.ROUNDS) -> str:
+    """Every part against every entry, one round after the other."""
+    steps = [f"c0 AS (SELECT p, r - 1 AS k, v AS e FROM cut WHERE r <= {entries})"]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT r, p, min(struct_pack(far := far, k := k)) AS best
+            FROM (SELECT r, cut.p, k, list_sum(list_transform(list_zip(v, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS far FROM cut JOIN c{i} USING (p)) GROUP BY r, p)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS (SELECT p, k, list(x ORDER BY place) AS e FROM (SELECT p, best.k AS k, place, floor(sum(v[place])::DOUBLE / count(*))::BIGINT AS x
+                FROM a{i} JOIN cut USING (r, p), generate_series(1, len(v)) g(place) GROUP BY ALL) GROUP BY p, k)""")
+            steps.append(f"c{i + 1} AS MATERIALIZED (SELECT p, k, coalesce(m{i}.e, c{i}.e) AS e FROM c{i} LEFT JOIN m{i} USING (p, k))")
+    return f"""
+WITH kept AS (SELECT row_number() OVER (ORDER BY vec_id, ints) AS r, * FROM (SELECT vec_id, label, list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS ints
+    FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+cut AS MATERIALIZED (SELECT r, p, ints[p * len(ints) // {parts} + 1 : (p + 1) * len(ints) // {parts}] AS v FROM kept, range({parts}) g(p)),
+{", ".join(steps)},
+coded AS (SELECT r, string_agg(right('0' || lower(hex(best.k)), 2), '' ORDER BY p) AS code, sum(best.far)::BIGINT AS error FROM a{rounds} GROUP BY r),
+said AS (SELECT sha256(string_agg(x::VARCHAR, ',' ORDER BY p, k, place)) AS codebooks_sha256 FROM (SELECT p, k, unnest(e) AS x, generate_subscripts(e, 1) AS place FROM c{rounds}))
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256, label FROM coded JOIN kept USING (r), said
+"""
+
+
+OP12_SQL = _op12_sql()
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.slots(table(spark, sf_dir, "documents"))
 
@@ -159,5 +187,5 @@ FROM docs JOIN homes USING (r) JOIN sums USING (r)
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_toxicity, op4_minhash_dedup, op5_secret_scan, op6_url_filter, op7_quality_rules, op8_packing, op9_substring_dedup, op10_license_scan, op13_sharding)}
-ORACLE = {"op6_url_filter": OP6_SQL, "op10_license_scan": OP10_SQL, "op13_sharding": OP13_SQL}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_toxicity, op4_minhash_dedup, op5_secret_scan, op6_url_filter, op7_quality_rules, op8_packing, op9_substring_dedup, op10_license_scan, op12_vector_codes, op13_sharding)}
+ORACLE = {"op6_url_filter": OP6_SQL, "op10_license_scan": OP10_SQL, "op12_vector_codes": OP12_SQL, "op13_sharding": OP13_SQL}
