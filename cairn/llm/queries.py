@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cairn.llm import bpe, embedding_dedup, license_scan, minhash_dedup, packing, quality_rules, secret_scan, sharding, substring_dedup, toxicity, url_filter, vector_codes
+from cairn.llm import bpe, embedding_dedup, filter_audit, license_scan, minhash_dedup, packing, quality_rules, secret_scan, sharding, substring_dedup, toxicity, url_filter, vector_codes
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -138,6 +138,33 @@ FROM docs d LEFT JOIN own o ON d.doc_id = o.doc_id LEFT JOIN near g ON d.doc_id
 """
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = r"""
+WITH words AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+failing AS (SELECT doc_id, part, {A: len(w) < 200, B: 100 * len(list_distinct(w)) < 50 * len(w), C: 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text),
+                   D: regexp_matches(text, '[#$%&*|]'), E: coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)} AS f FROM words),
+marked AS (SELECT part, f, coalesce(good, false) AS good, coalesce(bad, false) AS bad FROM failing
+           LEFT JOIN (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS bad FROM labels GROUP BY doc_id) USING (doc_id)),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+           WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+counted AS (SELECT part, [x FOR x IN ['A', 'B', 'C', 'D', 'E'] IF CASE x WHEN 'A' THEN f.A WHEN 'B' THEN f.B WHEN 'C' THEN f.C WHEN 'D' THEN f.D ELSE f.E END] AS fails,
+                   count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad FROM marked GROUP BY ALL),
+steps AS (SELECT part, filter_order, step, filter_order[step] AS own, string_split(filter_order[1:step - 1], '') AS before, fails, n, good, bad
+          FROM counted, orders, range(1, 6) g(step)),
+judged AS (SELECT *, list_contains(fails, own) AS hit, list_has_any(fails, before) AS gone FROM steps),
+rows AS (SELECT part, filter_order, step, own, sum(n) FILTER (NOT hit AND NOT gone) AS kept, sum(n) FILTER (hit AND NOT gone) AS removed, sum(n) FILTER (hit AND gone) AS redundant,
+                sum(n) FILTER (fails = [own]) AS unique_fails, sum(good) FILTER (hit AND NOT gone) AS good_lost, sum(bad) FILTER (hit AND NOT gone) AS toxic_lost
+         FROM judged GROUP BY part, filter_order, step, own)
+SELECT part, filter_order, step, coalesce(kept, 0) AS kept, coalesce(removed, 0) AS removed, coalesce(redundant, 0) AS redundant, coalesce(unique_fails, 0) AS unique_fails,
+       coalesce(good_lost, 0) AS good_lost, coalesce(toxic_lost, 0) AS toxic_lost, coalesce(sum(removed) OVER (PARTITION BY part, own), 0) AS shapley
+FROM rows
+"""
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -187,5 +214,5 @@ FROM docs JOIN homes USING (r) JOIN sums USING (r)
 """
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_toxicity, op4_minhash_dedup, op5_secret_scan, op6_url_filter, op7_quality_rules, op8_packing, op9_substring_dedup, op10_license_scan, op12_vector_codes, op13_sharding)}
-ORACLE = {"op6_url_filter": OP6_SQL, "op10_license_scan": OP10_SQL, "op12_vector_codes": OP12_SQL, "op13_sharding": OP13_SQL}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_bpe, op3_toxicity, op4_minhash_dedup, op5_secret_scan, op6_url_filter, op7_quality_rules, op8_packing, op9_substring_dedup, op10_license_scan, op11_filter_audit, op12_vector_codes, op13_sharding)}
+ORACLE = {"op6_url_filter": OP6_SQL, "op10_license_scan": OP10_SQL, "op11_filter_audit": OP11_SQL, "op12_vector_codes": OP12_SQL, "op13_sharding": OP13_SQL}
