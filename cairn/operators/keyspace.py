@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cairn.functions.expr import branch_end, bucket_of, key_of, or_else
+from cairn.operators.key_trie import heavy_bounds, lcp_length
 from cairn.session import cut
 
 PAGE = 1000
@@ -69,16 +70,38 @@ def list_schedule(objects: DataFrame, delimiters: list[str], emit_prefixes: bool
 
 
 def list_from_seeds(objects: DataFrame, seeds: DataFrame) -> DataFrame:
-    """The objects below each seed (Bucket, prefix), recursively, with their seed; joins by equal prefixes.
+    """The objects below each seed (Bucket, prefix), recursively, a row for each seed that a key is below.
 
-    Only the distinct lengths of the prefixes (1,024 at most, the limit of a key) come to the driver.
+    Seeds may lie in one another. A key is below the seeds, and only them, that its latest seed in key order lies in or is,
+    as far as they are prefixes of it: so each seed carries the stack of those it lies in, and keys take the latest stack.
     """
-    lengths = sorted(r[0] for r in seeds.select(F.length("prefix")).distinct().collect() if r[0] is not None)
-    if not lengths:
-        return objects.where(F.lit(False)).withColumn("prefix", F.lit(""))
-    cuts = F.filter(F.array(*map(F.lit, lengths)), lambda n: n <= F.length("Key"))
-    ways = objects.withColumn("__n", F.explode(cuts)).withColumn("prefix", F.substring(F.col("Key"), F.lit(1), F.col("__n"))).drop("__n")
-    return ways.join(seeds.select("Bucket", "prefix").distinct(), ["Bucket", "prefix"]).select(*objects.columns, "prefix")
+    own = seeds.where("Bucket is not null and prefix is not null").select("Bucket", "prefix").distinct()
+    lengths = own.select("Bucket", F.length("prefix").alias("l")).distinct().groupBy("Bucket").agg(F.collect_set("l").alias("ls"))  # at most 1,024, the limit of a key
+    outer = own.join(lengths, "Bucket").select("Bucket", "prefix", F.explode(F.filter("ls", lambda l: l <= F.length("prefix"))).alias("l"))  # noqa: E741
+    outer = outer.select("Bucket", F.substring(F.col("prefix"), F.lit(1), F.col("l")).alias("outer"), F.col("prefix").alias("inner"))
+    stacks = outer.join(own.select("Bucket", F.col("prefix").alias("outer")), ["Bucket", "outer"]).groupBy("Bucket", F.col("inner").alias("at")).agg(F.collect_list("outer").alias("stack"))
+    rows = latest(objects, stacks, "stack").where("stack is not null")
+    return rows.select(*objects.columns, F.explode(F.filter("stack", lambda s: F.col("Key").startswith(s))).alias("prefix"))
+
+
+def latest(objects: DataFrame, marks: DataFrame, value: str) -> DataFrame:
+    """``objects`` with the ``value`` of the latest mark (Bucket, at, value) of their bucket at or before their key, else
+    null. Marks are different. Keys and marks are sorted together by ranges; each task's range takes up the latest
+    mark of those before it."""
+    kind = marks.schema[value].dataType
+    mark = lambda at, v: F.struct(at.alias("at"), v.alias("v"))
+    none = F.lit(None).cast(f"struct<at:string,v:{kind.simpleString()}>")
+    rows = objects.select(*objects.columns, F.lit(1).alias("__o"), F.col("Key").alias("__k"), none.alias("__m"))
+    blank = [F.lit(None).cast(objects.schema[c].dataType).alias(c) if c != "Bucket" else F.col(c) for c in objects.columns]
+    both = rows.union(marks.select(*blank, F.lit(0), F.col("at"), mark(F.col("at"), F.col(value))))
+    both = cut(both.repartitionByRange("Bucket", "__k", "__o").withColumn("__part", F.spark_partition_id()))
+    earlier = Window.partitionBy("Bucket").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row a range
+    ends = both.where("__o = 0").groupBy("Bucket", "__part").agg(F.max_by("__m", "__k").alias("__last"))
+    parts = both.select("Bucket", "__part").distinct().join(ends, ["Bucket", "__part"], "left")
+    carried = parts.select("Bucket", "__part", F.last("__last", ignorenulls=True).over(earlier).alias("__before"))
+    own = Window.partitionBy("Bucket", "__part").orderBy("__k", "__o").rowsBetween(Window.unboundedPreceding, 0)
+    out = both.withColumn("__m", F.last("__m", ignorenulls=True).over(own)).where("__o = 1").join(carried, ["Bucket", "__part"])
+    return out.select(*objects.columns, F.coalesce("__m", "__before")["v"].alias(value))
 
 
 def fan_profile(objects: DataFrame, depth: int = 1, delimiter: str = "/", page: int = PAGE, max_fan: int = 2000, split_after: int = 10) -> DataFrame:
@@ -97,8 +120,7 @@ def fan_profile(objects: DataFrame, depth: int = 1, delimiter: str = "/", page:
 
 def lcp(a: Column, b: Column) -> Column:
     """The longest common prefix of two strings."""
-    n = F.aggregate(F.sequence(F.lit(1), F.greatest(F.least(F.length(a), F.length(b)), F.lit(1))), F.lit(0), lambda n, i: F.when((n == i - 1) & (F.substring(a, i, F.lit(1)) == F.substring(b, i, F.lit(1))), i).otherwise(n))
-    return F.substring(a, F.lit(1), n)
+    return F.substring(a, F.lit(1), lcp_length(a, b))
 
 
 def common_stem(objects: DataFrame, by: list[str]) -> DataFrame:
@@ -109,12 +131,14 @@ def common_stem(objects: DataFrame, by: list[str]) -> DataFrame:
 def branches(objects: DataFrame, by: list[str], most: int = 64) -> DataFrame:
     """Of each group its stem and the distinct next characters, in order, ``most`` at most (more are rare).
 
-    A key equal to the stem has no next character; if then one branch is left, the stem grows along it.
+    The stem is where the keys first part: a key that all the others begin with, such as a folder's marker, doesn't end it. So
+    it is what the greatest key shares with the least one that isn't a prefix of it. Groups of which no two keys part
+    that way are left out.
     """
-    stems = common_stem(objects, by)
-    longer = objects.join(stems.select(*by, F.col("stem").alias("__s")), by).where(F.length("Key") > F.length("__s"))
-    stems = common_stem(longer, by)
-    rows = longer.drop("__s").join(stems.select(*by, "stem"), by).where(F.length("Key") > F.length("stem"))
+    high = objects.groupBy(*by).agg(F.max("Key").alias("__high"))
+    parting = objects.join(high, by).where(~F.col("__high").startswith(F.col("Key")))
+    stems = parting.groupBy(*by, "__high").agg(F.min("Key").alias("__low")).select(*by, lcp(F.col("__low"), F.col("__high")).alias("stem"))
+    rows = objects.join(stems, by).where(F.length("Key") > F.length("stem"))
     chars = rows.groupBy(*by, "stem", F.substring(F.col("Key"), F.length("stem") + 1, F.lit(1)).alias("c")).agg(F.count("*").alias("n"))
     return chars.groupBy(*by, "stem").agg(F.slice(F.sort_array(F.collect_list("c")), 1, most).alias("chars"))
 
@@ -122,7 +146,8 @@ def branches(objects: DataFrame, by: list[str], most: int = 64) -> DataFrame:
 def radix_split(objects: DataFrame, slices: DataFrame, fan_target: int = 256) -> DataFrame:
     """Each slice that holds objects cut at stem + character, or stem + two if that makes ``fan_target`` at most.
 
-    Bounds strictly inside the slice count; the pieces run from its start to its end without gaps.
+    Bounds strictly inside the slice count; the pieces run from its start to its end without gaps. A slice whose keys
+    don't part, or only its markers do, stays whole.
     ``objects`` (Bucket, Key, start_after, end_at): assigned to their slices.
     """
     by = ["Bucket", "start_after", "end_at"]
@@ -182,25 +207,9 @@ def slice_counts(objects: DataFrame, slices: DataFrame) -> DataFrame:
 
 
 def rebalance(objects: DataFrame, max_pages: int, page: int = PAGE) -> DataFrame:
-    """Slices from the whole of each bucket, hot ones cut again until all are within ``max_pages`` or can't be cut:
-    a slice that can't holds one key.
-
-    A round keeps the objects of hot slices only and cuts at least one character deeper, so rounds are at most as
-    many as the longest key's characters.
-    """
-    by, objects = ["Bucket", "start_after", "end_at"], objects.select("Bucket", "Key")
-    hot = cut(objects.select("Bucket").distinct().select("Bucket", F.lit("").alias("start_after"), F.lit("").alias("end_at")))
-    done = None
-    while True:
-        over = cut(slice_counts(objects, hot).where(F.col("n") > max_pages * page).drop("n"))
-        cool = hot.join(over, by, "left_anti")
-        done = cut(cool if done is None else done.union(cool))
-        if over.isEmpty():
-            return done
-        assigned = cut(assign_slices(objects, over))
-        pieces = cut(radix_split(assigned, over))
-        stuck = pieces.join(over, by, "left_semi")
-        done, hot, objects = cut(done.union(stuck)), cut(pieces.join(over, by, "left_anti")), assigned.select("Bucket", "Key")
+    """Slices from the whole of each bucket, cut where the trie's heavy nodes branch: none has over ``max_pages`` pages
+    unless it holds one key."""
+    return split_with(objects, lambda o: heavy_bounds(o, max_pages * page))
 
 
 def split_with(objects: DataFrame, fn: Callable[[DataFrame], DataFrame]) -> DataFrame:
