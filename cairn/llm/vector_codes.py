@@ -264,9 +264,12 @@ def fit(vectors: DataFrame, id_: str = "vec_id", embedding: str = "embedding", l
     at most 256 numbers for each component of a vector.
     """
     kept = vectors.where(usable(F.col(embedding))).select(F.col(id_).alias("id"), F.col(label).alias("label"), F.col(embedding).alias("v"))
-    first = kept.withColumn("q", whole(F.col("v"))).orderBy(F.col("id").asc_nulls_last(), "q").limit(ENTRIES).select("q").collect()
-    dimension = len(first[0].q) if first else 0
-    start = np.array([r.q for r in first if len(r.q) == dimension], np.int64).reshape(-1, dimension)
+    smallest = lambda df: [r.q for r in df.withColumn("q", whole(F.col("v"))).orderBy(F.col("id").asc_nulls_last(), "q").limit(ENTRIES).select("q").collect()]
+    first = smallest(kept)
+    dimension = len(first[0]) if first else 0
+    if any(len(q) != dimension for q in first):
+        first = smallest(kept.where(F.size("v") == dimension))
+    start = np.array(first, np.int64).reshape(len(first), dimension)
     books = [start[:, lo:hi] for lo, hi in spans(dimension)]
     kept = kept.where(F.size("v") == dimension).select("id", "label", whole(F.col("v"), dimension).alias("q"))
     blocks = stored(kept.mapInArrow(tidy(_blocks(dimension)), _BLOCK.format(kept.schema["label"].dataType.simpleString())))
