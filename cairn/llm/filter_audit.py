@@ -18,6 +18,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from cairn.llm.common import parts, shared_folder, tidy
@@ -159,12 +160,25 @@ def update(spark: SparkSession, path: str, labels: DataFrame, folder: str, id_:
         met = few.join(flags, "id", "left").groupBy("part", "mask", F.coalesce("good", F.lit(False)).alias("good"), F.coalesce("toxic", F.lit(False)).alias("toxic"))
         met.agg(F.sum("n").alias("n")).write.mode("overwrite").parquet(f"{folder}/counters/batch={number}")
 
-    query = changes.writeStream.foreachBatch(count).option("checkpointLocation", f"{folder}/stream").trigger(availableNow=True).start()
-    query.awaitTermination()
+    stream = changes.writeStream.foreachBatch(count).option("checkpointLocation", f"{folder}/stream").trigger(availableNow=True)
+    _started(spark, stream, settings.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()).awaitTermination()
     found = spark.read.schema(COUNTERS).parquet(f"{folder}/counters").groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
     return found.where("n <> 0")
 
 
+def _started(spark: SparkSession, stream: DataStreamWriter, scheme: str) -> StreamingQuery:
+    """The stream, started. In local files its progress and state are written through Hadoop's older interface: the newer one
+    starts several processes for each file there, and there are some for each store and micro-batch."""
+    key, before = "spark.sql.streaming.checkpointFileManagerClass", spark.conf.get("spark.sql.streaming.checkpointFileManagerClass", None)
+    if scheme != "file" or before:
+        return stream.start()
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.checkpointing.FileSystemBasedCheckpointFileManager")
+    try:
+        return stream.start()
+    finally:
+        spark.conf.unset(key)
+
+
 def report(counters: DataFrame) -> DataFrame:
     """A row for each part, order of the filters (as a word) and step: documents kept after it, removed by it, redundant
     (fail its filter, but an earlier one too), unique_fails (fail no other filter), good_lost and toxic_lost (of the
