@@ -79,18 +79,34 @@ def is_true(c: Column) -> Column:
 
 
 def seconds(duration: Column) -> Column:
-    """``90``, ``15m``, ``2h``, ``7d`` as seconds; null for other text."""
-    number = F.regexp_extract(duration, r"\A\s*(\d+)\s*[smhd]?\s*\z", 1).try_cast("long")
-    unit = F.regexp_extract(duration, r"\A\s*\d+\s*([smhd]?)\s*\z", 1)
-    return number * F.when(unit == "m", 60).when(unit == "h", 3600).when(unit == "d", 86400).otherwise(1)
+    """``90``, ``15m``, ``1.5h``, ``7D`` as seconds, a double; null for other text."""
+    text = F.lower(F.trim(duration))
+    form = r"\A([+-]?(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?)\s*([smhd]?)\z"
+    unit = F.regexp_extract(text, form, 2)
+    return F.regexp_extract(text, form, 1).try_cast("double") * F.when(unit == "m", 60.0).when(unit == "h", 3600.0).when(unit == "d", 86400.0).otherwise(1.0)
+
+
+def one_decimal(x: Column) -> Column:
+    """A number from 0 to 2^48 as text with one decimal. What lies halfway between two goes to the even one, and only what does: a
+    double that looks like 1.85 lies a little above it."""
+    n = F.floor(x * 10)
+    # 20 x against 2 n + 1, with the rounding error of the sum
+    a, b = x * 16, x * 4
+    total = a + b
+    rest = total - a
+    error = (a - (total - rest)) + (b - rest)
+    over = (total - (2 * n + 1)) + error
+    tenths = n + F.when((over > 0) | ((over == 0) & (n % 2 == 1)), 1).otherwise(0)
+    return F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
 
 
 def age_text(age: Column) -> Column:
-    """Seconds under 90, minutes under 90 of them, hours under 36, else days."""
-    whole = lambda c: F.format_string("%.0f", c.cast("double"))
+    """Seconds under 90, minutes under 90 of them, hours with a decimal under 36, else days with one."""
+    age = age.cast("double")
+    whole = lambda c: F.rint(c).cast("long").cast("string")
     return (
         F.when(age < 90, F.concat(whole(age), F.lit("s"))).when(age < 90 * 60, F.concat(whole(age / 60), F.lit("m")))
-        .when(age < 36 * 3600, F.concat(whole(age / 3600), F.lit("h"))).otherwise(F.concat(whole(age / 86400), F.lit("d")))
+        .when(age < 36 * 3600, F.concat(one_decimal(age / 3600), F.lit("h"))).otherwise(F.concat(one_decimal(age / 86400), F.lit("d")))
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cairn.functions.expr import is_true
+from cairn.functions.expr import is_list, is_true
 
 
 def post(df: DataFrame, where: str | None = None, select: list[str] | None = None, explode: str | None = None, drop: list[str] | None = None) -> DataFrame:
@@ -30,11 +30,21 @@ def fit_to_schema(df: DataFrame, members: list[str]) -> DataFrame:
 
 
 def coerce(df: DataFrame, types: dict[str, str]) -> DataFrame:
-    """Text columns as integer, long, float, double, boolean, list, structure or map; what can't be is null."""
-    return df.withColumns({c: coerced(F.col(c), kind) for c, kind in types.items()})
+    """Text columns as integer, long, float, double, boolean, list, structure, map or untyped (``""``); numbers that can't be
+    are null. Lists, structures, maps and untyped text are read as JSON and keep the types of what is in them, see ``coerced``.
+    Columns that are lists of text have each item read as JSON."""
+    texts = {f.name for f in df.schema if isinstance(f.dataType, T.ArrayType)}
+    return df.withColumns({c: F.transform(c, as_json) if c in texts else coerced(F.col(c), kind) for c, kind in types.items()})
+
+
+def as_json(c: Column) -> Column:
+    """Text as a variant: what it holds as JSON, else the text."""
+    return F.coalesce(F.try_parse_json(c), c.cast("variant"))
 
 
 def coerced(c: Column, kind: str) -> Column:
+    """A list is an array of variants, and what isn't a JSON list is the one item of one; a structure or map is a variant, of
+    the text itself if it isn't JSON; so is untyped text, which is read only if it begins with ``{`` or ``[``."""
     match kind:
         case "integer" | "long":
             return F.trim(c).try_cast("long")
@@ -43,18 +53,15 @@ def coerced(c: Column, kind: str) -> Column:
         case "boolean":
             return is_true(F.trim(c))
         case "list":
-            return F.when(F.trim(c).startswith("["), F.from_json(c, "array<string>")).otherwise(F.array(c))
+            return F.when(c.isNotNull(), F.when(is_list(as_json(c)), F.try_variant_get(as_json(c), "$", "array<variant>")).otherwise(F.array(as_json(c))))
         case "structure" | "map":
-            return F.from_json(c, "map<string,string>")
+            return as_json(c)
+        case "":
+            return F.when(F.substring(c, 1, 1).isin("{", "["), as_json(c)).otherwise(c.cast("variant"))
         case _:
             return c
 
 
-def parsed(c: Column) -> Column:
-    """Untyped text: a variant if it looks like a JSON object or list, else null."""
-    return F.when(F.trim(c).rlike(r"\A[\[{]"), F.try_parse_json(c))
-
-
 def under_path(df: DataFrame, column: str, path: str, recursive: bool = True) -> DataFrame:
     """Names below ``path``; without ``recursive`` its direct children only."""
     base = path.rstrip("/") + "/"

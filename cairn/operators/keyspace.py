@@ -11,8 +11,9 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from cairn.functions.expr import branch_end, bucket_of, key_of, or_else
+from cairn.functions.expr import branch_end, key_of
 from cairn.operators.key_trie import heavy_bounds, lcp_length
 from cairn.session import cut
 
@@ -318,10 +319,33 @@ def shape_versions(pages: DataFrame) -> DataFrame:
     return made[0].unionByName(made[1], allowMissingColumns=True).unionByName(prefixes, allowMissingColumns=True)
 
 
-def to_seeds(lines: DataFrame) -> DataFrame:
-    """Seeds from lines (Bucket, Prefix, Uri, Delimiter, Delimiters, StartAfter, EndAt): bucket and prefix by column
-    or from the URI; one delimiter is a schedule of one level; an end clears the delimiters."""
-    bucket, prefix = or_else(F.col("Bucket"), bucket_of(F.col("Uri"))), or_else(F.col("Prefix"), key_of(F.col("Uri")), F.lit(""))
+def to_seeds(lines: DataFrame, delimiters: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Seeds from lines, and the lines that give no bucket, as they were.
+
+    A line's Bucket and Prefix count; only without a Bucket do both come from its Uri, or the uri of its ``meta``, which then
+    has to be ``s3://bucket/...``. Its Delimiters come before the general ``delimiters``, and where there are none a single
+    Delimiter is a schedule of one level; an EndAt clears them. Bucket, Prefix and Uri may be in lower case. Session fields are the line's or those of
+    its stamp. Columns that aren't there count as null, and empty text as missing.
+    """
+    have = {f.name: f.dataType for f in lines.schema}
+    meta = have.get("meta") if isinstance(have.get("meta"), T.StructType) else T.StructType()
+    stamp = meta["stamp"].dataType if "stamp" in meta.names and isinstance(meta["stamp"].dataType, T.StructType) else T.StructType()
+    text = lambda *names: F.coalesce(*(F.nullif(F.col(n).cast("string"), F.lit("")) for n in names if n in have or n.partition(".")[0] == "meta"), F.lit(None).cast("string"))
+    uri = text("Uri", "uri", *(["meta.uri"] if "uri" in meta.names else []))
+    named = text("Bucket", "bucket")
+    usable = F.when(uri.rlike(r"(?s)\As3://[^/]"), uri)
     none = F.array().cast("array<string>")
-    delimiters = F.when(F.coalesce("EndAt", F.lit("")) != "", none).otherwise(F.coalesce("Delimiters", F.when(F.coalesce("Delimiter", F.lit("")) != "", F.array("Delimiter")), none))
-    return lines.select(bucket.alias("Bucket"), prefix.alias("Prefix"), delimiters.alias("Delimiters"), F.coalesce("StartAfter", F.lit("")).alias("StartAfter"), F.coalesce("EndAt", F.lit("")).alias("EndAt"))
+    own = F.col("Delimiters") if isinstance(have.get("Delimiters"), T.ArrayType) else F.lit(None).cast("array<string>")
+    own = F.when(F.size(own) > 0, own)
+    general = F.lit(None).cast("array<string>") if not delimiters else F.array(*map(F.lit, delimiters))
+    single = F.when(text("Delimiter").isNotNull(), F.array(text("Delimiter")))
+    end = F.coalesce(text("EndAt"), F.lit(""))
+    session = lambda c: text(c, *([f"meta.stamp.{c}"] if c in stamp.names else []))
+    versions = F.coalesce(F.col("Versions").cast("boolean"), F.lit(False)) if "Versions" in have else F.lit(False)
+    rows = lines.withColumn("__bucket", F.coalesce(named, F.regexp_extract(usable, r"\As3://([^/]+)", 1)))
+    good = rows.where("__bucket is not null").select(
+        F.col("__bucket").alias("Bucket"), F.coalesce(F.when(named.isNotNull(), F.coalesce(text("Prefix", "prefix"), F.lit(""))), key_of(uri)).alias("Prefix"),
+        F.when(end != "", none).otherwise(F.coalesce(own, general, single, none)).alias("Delimiters"), F.coalesce(text("StartAfter"), F.lit("")).alias("StartAfter"), end.alias("EndAt"),
+        session("profile").alias("profile"), session("region").alias("region"), versions.alias("Versions"), F.coalesce(text("VersionAfter"), F.lit("")).alias("VersionAfter"),
+    )
+    return good, rows.where("__bucket is null").drop("__bucket")

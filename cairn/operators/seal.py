@@ -21,14 +21,14 @@ def opened(c: Column, key: Column) -> Column:
 
 def seal(df: DataFrame, column: str, key: str | bytes, where: Column | None = None) -> DataFrame:
     """``column`` sealed where the condition holds; sealed values and nulls stay. A key of 16, 24 or 32 bytes is needed."""
-    k = _key(key)
+    k = key_column(key)
     value = sealed(F.col(column), k)
     return df.withColumn(column, value if where is None else F.when(where, value).otherwise(F.col(column)))
 
 
 def unseal(df: DataFrame, column: str, key: str | bytes) -> tuple[DataFrame, DataFrame]:
     """The rows with ``column`` opened, and the rows, as they were, that the key doesn't open."""
-    k = _key(key)
+    k = key_column(key)
     bad = F.col(column).startswith(PREFIX) & opened(F.col(column), k).isNull()
     bad = F.coalesce(bad, F.lit(False))
     return df.where(~bad).withColumn(column, opened(F.col(column), k)), df.where(bad)
@@ -36,7 +36,7 @@ def unseal(df: DataFrame, column: str, key: str | bytes) -> tuple[DataFrame, Dat
 
 def unseal_all(df: DataFrame, key: str | bytes) -> DataFrame:
     """All text, however nested, opened; what the key doesn't open is null."""
-    k = _key(key)
+    k = key_column(key)
     return df.select(*(_walk(F.col(f"`{f.name}`"), f.dataType, k).alias(f.name) for f in df.schema))
 
 
@@ -54,7 +54,7 @@ def _walk(c: Column, kind: T.DataType, key: Column) -> Column:
             return c
 
 
-def _key(key: str | bytes) -> Column:
+def key_column(key: str | bytes) -> Column:
     raw = key.encode() if isinstance(key, str) else key
     if len(raw) not in (16, 24, 32):
         raise ValueError("sealing needs a key of 16, 24 or 32 bytes")

@@ -153,8 +153,12 @@ def stamp_params(df: DataFrame, params: dict[str, Column]) -> DataFrame:
 
 
 def route_session(df: DataFrame) -> DataFrame:
-    """Session columns for a piped record: its own fields win over the stamp; empty is null; ``meta`` goes."""
-    own = lambda c: F.nullif(F.coalesce(*([F.col(c)] if c in df.columns else []), F.col(f"meta.stamp.{c}")), F.lit(""))
+    """Session columns for a piped record: its own fields win over the stamp, if it has one; empty is null; ``meta`` goes."""
+    meta = df.schema["meta"].dataType if "meta" in df.columns else None
+    stamp = meta["stamp"].dataType if isinstance(meta, T.StructType) and "stamp" in meta.names else None
+    stamped = stamp.names if isinstance(stamp, T.StructType) else []
+    ways = lambda c: [*([F.col(c)] if c in df.columns else []), *([F.col(f"meta.stamp.{c}")] if c in stamped else [])]
+    own = lambda c: F.coalesce(*(F.nullif(x.cast("string"), F.lit("")) for x in ways(c)), F.lit(None).cast("string"))
     return df.withColumns({"profile": own("profile"), "region": own("region")}).drop("meta")
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.functions import expr
-from cairn.operators import checks, keyspace, logs, seal, snapshots
+from cairn.operators import checks, key_trie, keyspace, logs, seal, snapshots
 from cairn.plans.tables import Tables, query
+from cairn.session import cut
 from cairn.sources import pages
 
 KEYS = ["Type", "Id", "Name", "Arn", "Tags"]
@@ -198,6 +199,15 @@ def o3_list_from_seeds(t: Tables) -> DataFrame:
     return keyspace.list_from_seeds(t("OBJ"), seeds).select("Bucket", "Key", "prefix")
 
 
+@query("""SELECT Bucket, Key, substr(Key, 1, l) AS prefix FROM $OBJ, (VALUES (0), (4), (5), (8), (11), (12), (13)) s(l)
+    WHERE starts_with(Key, '2024/01/02/') OR l <= 8""")
+def o3_nested_seeds(t: Tables) -> DataFrame:
+    """Seeds that lie in one another: every key is below several."""
+    lengths = F.explode(F.array(*map(F.lit, (0, 4, 5, 8, 11, 12, 13)))).alias("l")
+    seeds = t("OBJ").select("Bucket", "Key", lengths).where("startswith(Key, '2024/01/02/') or l <= 8").select("Bucket", F.substring(F.col("Key"), F.lit(1), F.col("l")).alias("prefix"))
+    return keyspace.list_from_seeds(t("OBJ").select("Bucket", "Key"), seeds)
+
+
 @query(f"""WITH p AS (SELECT Bucket, substr(Key, 1, 8) AS prefix, count(*) AS n, count(DISTINCT {DAY}) AS fan, CAST(ceil(count(*) / 100.0) AS BIGINT) AS pages FROM $OBJ GROUP BY 1, 2)
     SELECT *, CASE WHEN pages <= 1 THEN 'one-page' WHEN fan > 28 THEN 'over-shatter' WHEN fan > 0 THEN 'fan' WHEN pages > 10 THEN 'under-shatter' ELSE 'hot leaf' END AS verdict FROM p""")
 def o4_fan_profile(t: Tables) -> DataFrame:
@@ -235,12 +245,34 @@ def o8_fixed_split(t: Tables) -> DataFrame:
     return keyspace.slice_counts(t("OBJ"), slices)
 
 
-@query("SELECT Bucket, count(*) AS n, true AS gapless, true AS small FROM $OBJ GROUP BY Bucket")
+#: The trie of all keys, by the prefixes of every length; nodes with over 80 objects.
+TRIE = """k AS (SELECT Bucket, Key, count(*) AS w FROM $OBJ GROUP BY ALL),
+    heavy AS (SELECT Bucket, substr(Key, 1, l) AS stem, sum(w)::BIGINT AS n FROM k, range(0, 45) g(l) WHERE l <= length(Key) GROUP BY ALL HAVING sum(w) > 80),
+    pairs AS (SELECT Bucket, Key, lead(Key) OVER (PARTITION BY Bucket ORDER BY Key) AS nxt FROM k),
+    met AS (SELECT *, list_max(list_filter(range(0, 45), lambda l: l <= least(length(Key), length(nxt)) AND substr(Key, 1, l) = substr(nxt, 1, l))) AS h FROM pairs WHERE nxt IS NOT NULL),
+    cuts AS (SELECT m.Bucket, m.Key, nxt, h, stem, n FROM met m JOIN heavy x ON x.Bucket = m.Bucket AND x.stem = substr(m.Key, 1, h))"""
+
+
+@query(f"""WITH {TRIE} SELECT c.Bucket, stem, any_value(n) AS n, bool_or(c.Key = stem) AS is_key,
+    (SELECT string_agg(DISTINCT substr(k.Key, length(c.stem) + 1, 1), '' ORDER BY substr(k.Key, length(c.stem) + 1, 1)) FROM k WHERE k.Bucket = c.Bucket AND starts_with(k.Key, c.stem)) AS chars FROM cuts c GROUP BY c.Bucket, stem""")
+def o5_trie(t: Tables) -> DataFrame:
+    return key_trie.trie(t("OBJ"), 80).select("Bucket", "stem", "n", "is_key", F.array_join("chars", "").alias("chars"))
+
+
+@query(f"""WITH {TRIE}, b AS (SELECT DISTINCT Bucket, CASE WHEN substr(nxt, 1, h + 1) = nxt THEN Key ELSE substr(nxt, 1, h + 1) END AS b FROM cuts),
+    s AS (SELECT Bucket, coalesce(lag(b) OVER (PARTITION BY Bucket ORDER BY b), '') AS start_after, b AS end_at FROM b UNION ALL SELECT Bucket, coalesce(max(b), ''), '' FROM (SELECT DISTINCT Bucket FROM k) LEFT JOIN b USING (Bucket) GROUP BY Bucket)
+    SELECT s.Bucket, start_after, end_at, count(o.Key) AS n, count(o.Key) <= 80 AS small FROM s JOIN $OBJ o ON o.Bucket = s.Bucket AND o.Key > start_after AND (end_at = '' OR o.Key <= end_at) GROUP BY ALL""")
 def o9_rebalance(t: Tables) -> DataFrame:
-    slices = keyspace.rebalance(t("OBJ"), max_pages=2, page=40).persist()
-    counted = keyspace.slice_counts(t("OBJ"), slices)
-    gaps = keyspace.check_partition(slices).select("Bucket").distinct().withColumn("gap", F.lit(True))
-    return counted.groupBy("Bucket").agg(F.sum("n").alias("n"), (F.max("n") <= 80).alias("small")).join(gaps, "Bucket", "left").select("Bucket", "n", F.col("gap").isNull().alias("gapless"), "small")
+    slices = cut(keyspace.rebalance(t("OBJ"), max_pages=2, page=40))
+    return keyspace.slice_counts(t("OBJ"), slices).withColumn("small", F.col("n") <= 80)
+
+
+@query(f"""SELECT Bucket, {DAY} AS day, {DAY} AS stem, string_agg(DISTINCT substr(Key, 12, 1), '' ORDER BY substr(Key, 12, 1)) AS chars FROM $OBJ GROUP BY Bucket, {DAY} HAVING count(DISTINCT substr(Key, 12, 1)) > 1""")
+def o6_marker_chains(t: Tables) -> DataFrame:
+    """With folder markers above the keys, the stem is the folder that holds them."""
+    keys = t("OBJ").select("Bucket", "Key", F.substring("Key", 1, 11).alias("day"))
+    markers = keys.select("Bucket", "day").distinct().select("Bucket", F.explode(F.array(F.substring("day", 1, 5), F.substring("day", 1, 8), "day")).alias("Key"), "day")
+    return keyspace.branches(keys.unionByName(markers), ["Bucket", "day"]).where(F.length("stem") == 11).select("Bucket", "day", "stem", F.array_join("chars", "").alias("chars"))
 
 
 def _done(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -369,14 +401,21 @@ def c1_snapshot_key(t: Tables) -> DataFrame:
 @query("SELECT o_orderkey FROM orders WHERE epoch(o_orderdate) + 86400 > epoch(TIMESTAMP '1999-01-01')")
 def c3_sweep(t: Tables) -> DataFrame:
     rows = t("orders").select("o_orderkey", (F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + 86400).alias("expires"))
-    return snapshots.sweep(rows, 915148800.0).select("o_orderkey")
+    kept = snapshots.sweep(rows, 915148800.0)
+    return kept.union(snapshots.sweep(rows, 915148800.0, everything=True)).select("o_orderkey")
+
 
+def _age(x: str) -> str:
+    """Seconds in words, in SQL."""
+    return f"CASE WHEN {x} < 90 THEN printf('%.0fs', {x}) WHEN {x} < 5400 THEN printf('%.0fm', {x} / 60) WHEN {x} < 129600 THEN printf('%.1fh', {x} / 3600) ELSE printf('%.1fd', {x} / 86400) END"
 
-@query("""SELECT event_id AS key, CASE WHEN a < 90 THEN a || 's' WHEN a < 5400 THEN CAST(round(a / 60.0) AS BIGINT) || 'm' WHEN a < 129600 THEN CAST(round(a / 3600.0) AS BIGINT) || 'h' ELSE CAST(round(a / 86400.0) AS BIGINT) || 'd' END AS age, 'expired' AS expires_in
-    FROM (SELECT event_id, event_id * 7 AS a FROM events)""")
+
+@query(f"""SELECT event_id AS key, {_age("a")} AS age, {_age("l")} AS expires_in, 'cairn list --all' AS command, event_id AS lines, 0 AS bytes, false AS encrypted, 0.5::DOUBLE AS duration
+    FROM (SELECT event_id, (event_id * 7.5)::DOUBLE AS a, greatest((event_id - 50) * 90.0, 0)::DOUBLE AS l FROM events)""")
 def c4_list_snapshots(t: Tables) -> DataFrame:
-    rows = t("events").select(F.col("event_id").alias("key"), (F.lit(1e6) - F.col("event_id") * 7).alias("created"), F.lit(0.0).alias("expires"), F.lit(1).alias("lines"), F.lit(0.0).alias("duration"))
-    return snapshots.list_snapshots(rows, 1e6).select("key", "age", "expires_in")
+    e = F.col("event_id")
+    rows = t("events").select(e.alias("key"), (F.lit(1e6) - e * 7.5).alias("created"), (F.lit(1e6) + (e - 50) * 90.0).alias("expires"), F.array(F.lit("list"), F.lit("--all")).alias("argv"), e.alias("lines"), F.lit(0.5).alias("duration"))
+    return snapshots.list_snapshots(rows, 1e6)
 
 
 @query("SELECT CAST(user_id AS STRING) AS key, arg_max(event_type, event_id) AS value, max(event_id)::DOUBLE AS ts FROM events WHERE event_type <> 'error' AND event_id >= 200 GROUP BY user_id")
@@ -401,6 +440,30 @@ def e4_plan_writes(t: Tables) -> DataFrame:
     return _writes(t)
 
 
+#: Four lines a name, the last without a value; one in four of the first lines says what is there, sealed.
+REPLAY = """SELECT p.Name, seq, CASE WHEN p_partkey % 5 = 0 OR seq = 4 THEN NULL WHEN seq = 1 AND p_partkey % 4 = 0 THEN p.Value WHEN seq = 1 THEN 'first' ELSE 'second' END AS "Value",
+    CASE WHEN p_partkey % 5 = 0 OR seq = 4 THEN 'error' WHEN seq = 1 AND p_partkey % 4 = 0 OR seq = 3 THEN 'unchanged' ELSE 'update' END AS action,
+    CASE WHEN p_partkey % 5 = 0 OR seq = 4 THEN NULL ELSE p.Version + CASE WHEN p_partkey % 4 = 0 THEN 0 ELSE 1 END + CASE WHEN seq > 1 THEN 1 ELSE 0 END END AS "Version" FROM $PAR p, range(1, 5) g(seq)"""
+
+
+def _replay(t: Tables) -> tuple[DataFrame, DataFrame]:
+    par, key = t("PAR"), "0123456789abcdef"
+    first = seal.seal(par.where("p_partkey % 4 = 0"), "Value", key).unionByName(par.where("p_partkey % 4 <> 0").withColumn("Value", F.lit("first"))).select("Name", "Value", F.lit(1).alias("seq"))
+    more = par.select("Name", F.explode(F.array(*(F.struct(F.lit(v).cast("string").alias("Value"), F.lit(n).alias("seq")) for n, v in ((2, "second"), (3, "second"), (4, None))))).alias("l")).select("Name", "l.*")
+    current = par.where("p_partkey % 5 <> 0")
+    return current, snapshots.plan_writes(first.union(more), current, "update", order="seq", key=key)
+
+
+@query(REPLAY)
+def e4_replay_writes(t: Tables) -> DataFrame:
+    return _replay(t)[1].select("Name", "seq", "Value", "action", "Version")
+
+
+@query("""SELECT Name, 'second' AS "Value", Type, Version + CASE WHEN p_partkey % 4 = 0 THEN 1 ELSE 2 END AS "Version" FROM $PAR WHERE p_partkey % 5 <> 0""")
+def e4_apply_writes(t: Tables) -> DataFrame:
+    return snapshots.apply_writes(*_replay(t))
+
+
 @query(f"SELECT action, count(*) AS n FROM ({PLAN}) GROUP BY 1")
 def a17_outcome_counts(t: Tables) -> DataFrame:
     return snapshots.outcome_counts(_writes(t))
@@ -421,11 +484,13 @@ def e3_unseal_all(t: Tables) -> DataFrame:
     return seal.unseal_all(nested, key).select("conv_id", "turn", F.get("n", F.lit(0))["role"].alias("role"), F.get("n", F.lit(0))["m"]["t"].alias("text"))
 
 
-@query("""SELECT event_id, CASE event_id % 4 WHEN 0 THEN event_id WHEN 1 THEN event_id * 60 WHEN 2 THEN event_id * 3600 ELSE event_id * 86400 END AS secs, event_id % 3 = 0 AS yes FROM events""")
+@query(f"""SELECT event_id, (event_id + 0.5 * (event_id % 2)) * CASE event_id % 4 WHEN 0 THEN 1 WHEN 1 THEN 60 WHEN 2 THEN 3600 ELSE 86400 END::DOUBLE AS secs, event_id % 3 = 0 AS yes, {_age("a")} AS age
+    FROM (SELECT event_id, (event_id * 11.25)::DOUBLE AS a FROM events)""")
 def f9_durations(t: Tables) -> DataFrame:
-    unit = F.get(F.array(*map(F.lit, ("", "m", "h", "d"))), (F.col("event_id") % 4).cast("int"))
+    unit = F.get(F.array(*map(F.lit, ("", "m", "H", "d"))), (F.col("event_id") % 4).cast("int"))
     word = F.when(F.col("event_id") % 3 == 0, "Yes").otherwise("no")
-    return t("events").select("event_id", expr.seconds(F.concat(F.col("event_id").cast("string"), unit)).alias("secs"), expr.is_true(word).alias("yes"))
+    number = F.concat(F.col("event_id").cast("string"), F.when(F.col("event_id") % 2 == 1, ".5").otherwise(""))
+    return t("events").select("event_id", expr.seconds(F.concat(number, unit)).alias("secs"), expr.is_true(word).alias("yes"), expr.age_text(F.col("event_id") * 11.25).alias("age"))
 
 
 @query("SELECT Bucket, Key, true AS below FROM $OBJ")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.functions import expr
-from cairn.operators import enrich, filters, shape
+from cairn.operators import enrich, filters, keyspace, shape
 from cairn.operators.shape import Shape
 from cairn.plans.tables import Tables, query
 from cairn.sources import lines
@@ -22,11 +22,18 @@ def p2_fit_to_schema(t: Tables) -> DataFrame:
     return filters.fit_to_schema(t("customer"), ["C_CustKey", "C_Name", "Missing"])
 
 
-@query("""SELECT event_id, CAST(json_extract(props, '$$.k') AS BIGINT) AS k, event_id % 2 = 1 AS odd, CASE WHEN event_id % 3 > 0 THEN event_id END AS n FROM events""")
+@query("""SELECT event_id, CAST(json_extract(props, '$$.k') AS BIGINT) AS k, event_id % 2 = 1 AS odd, CASE WHEN event_id % 3 > 0 THEN event_id END AS n,
+    CASE event_id % 4 WHEN 0 THEN 2 ELSE 1 END AS items, CASE event_id % 4 WHEN 0 THEN 'BIGINT' WHEN 1 THEN 'STRING' WHEN 2 THEN 'STRING' ELSE 'BIGINT' END AS kind,
+    CASE event_id % 4 WHEN 0 THEN CAST(event_id AS STRING) WHEN 1 THEN '[bad' WHEN 2 THEN 'plain' ELSE CAST(event_id AS STRING) END AS first,
+    CASE event_id % 4 WHEN 0 THEN 'ARRAY<BIGINT>' ELSE 'STRING' END AS untyped FROM events""")
 def p3_coerce(t: Tables) -> DataFrame:
-    text = t("events").select("event_id", "props", (F.col("event_id") % 2).cast("string").alias("odd"), F.when(F.col("event_id") % 3 == 0, "x").otherwise(F.col("event_id").cast("string")).alias("n"))
-    out = filters.coerce(text, {"props": "map", "odd": "boolean", "n": "long"})
-    return out.select("event_id", F.col("props")["k"].cast("long").alias("k"), "odd", "n")
+    """Lists keep the types of their items, and what isn't one is its only item; untyped text is read if it looks like JSON."""
+    e = F.col("event_id").cast("string")
+    text = t("events").select("event_id", "props", (F.col("event_id") % 2).cast("string").alias("odd"), F.when(F.col("event_id") % 3 == 0, "x").otherwise(e).alias("n"),
+                              F.when(F.col("event_id") % 4 == 0, F.concat(F.lit("["), e, F.lit(", 2]"))).when(F.col("event_id") % 4 == 1, "[bad").when(F.col("event_id") % 4 == 2, "plain").otherwise(e).alias("list")).withColumn("any", F.col("list"))
+    out = filters.coerce(text, {"props": "map", "odd": "boolean", "n": "long", "list": "list", "any": ""})
+    first = F.get("list", F.lit(0))
+    return out.select("event_id", F.variant_get("props", "$.k", "long").alias("k"), "odd", "n", F.size("list").alias("items"), F.schema_of_variant(first).alias("kind"), F.variant_get(first, "$", "string").alias("first"), F.schema_of_variant("any").alias("untyped"))
 
 
 @query("SELECT Name FROM $PAR WHERE starts_with(Name, '/Brand3/')")
@@ -185,6 +192,13 @@ def n22_route_session(t: Tables) -> DataFrame:
     return shape.route_session(m.withColumn("profile", F.when(F.col("Id") % 2 == 0, "flat"))).select("Id", "profile", "region")
 
 
+@query("SELECT Id, CASE WHEN Id % 2 = 0 THEN 'flat' END AS profile, NULL AS region FROM $RES")
+def n22_route_flat(t: Tables) -> DataFrame:
+    """Records without an envelope."""
+    flat = t("RES").select("Id", F.when(F.col("Id") % 2 == 0, "flat").otherwise("").alias("profile"))
+    return shape.route_session(flat).select("Id", "profile", "region")
+
+
 @query("SELECT event_id, CASE WHEN event_id % 2 = 1 THEN 3 END AS n FROM events")
 def n24_page_items(t: Tables) -> DataFrame:
     page = F.when(F.col("event_id") % 2 == 1, F.lit('{"A":[1,2],"B":[{"x":1}],"C":"[1,2,3]"}')).otherwise(F.lit('{"C":"[1,2,3]"}'))
@@ -196,13 +210,24 @@ def n26_shape_parameters(t: Tables) -> DataFrame:
     return shape.shape_parameters(t("PAR")).select("meta.id", F.col("Type").alias("kind"), F.col("Version").alias("version"))
 
 
-@query("SELECT Bucket, '2024/01/' AS prefix, count(*) AS n FROM $OBJ GROUP BY Bucket")
+@query("""SELECT event_id, event_id % 6 < 4 AS good, CASE event_id % 6 WHEN 0 THEN Bucket WHEN 1 THEN Bucket WHEN 2 THEN 'other' WHEN 3 THEN 'low' END AS bucket,
+    CASE event_id % 6 WHEN 0 THEN '' WHEN 1 THEN substr(Key, 1, 8) WHEN 2 THEN 'y/' WHEN 3 THEN 'z' END AS prefix,
+    CASE event_id % 6 WHEN 0 THEN '/' WHEN 1 THEN '' WHEN 2 THEN '//' WHEN 3 THEN '' END AS delimiters, CASE WHEN event_id % 6 < 4 THEN coalesce(CASE WHEN event_id % 6 = 2 THEN 'own' END, 'stamped') END AS profile FROM $OBJ""")
 def n27_to_seeds(t: Tables) -> DataFrame:
-    from cairn.operators.keyspace import to_seeds
-
-    uri = t("OBJ").groupBy("Bucket").agg(F.count("*").alias("n")).select(F.lit(None).cast("string").alias("Bucket"), F.lit("").alias("Prefix"), F.concat(F.lit("s3://"), "Bucket", F.lit("/2024/01/")).alias("Uri"), F.lit("/").alias("Delimiter"), F.lit(None).cast("array<string>").alias("Delimiters"), F.lit(None).cast("string").alias("StartAfter"), F.lit(None).cast("string").alias("EndAt"), "n")
-    seeds = to_seeds(uri)
-    return seeds.join(uri.select(F.regexp_extract("Uri", "//([^/]*)", 1).alias("Bucket"), "n"), "Bucket").select("Bucket", F.col("Prefix").alias("prefix"), "n")
+    """A Bucket with a Uri that doesn't count; an end that clears the delimiters; a Uri alone, with a Prefix that doesn't count; an
+    envelope's uri; and two without a bucket."""
+    way, text, arr = F.col("event_id") % 6, F.lit(None).cast("string"), F.lit(None).cast("array<string>")
+    pick = lambda *cs: F.element_at(F.array(*cs, text, text, text, text, text, text), (way + 1).cast("int"))
+    lines = t("OBJ").select(
+        F.col("event_id").cast("string").alias("VersionAfter"), pick("Bucket", "Bucket", F.lit(""), text).alias("Bucket"), pick(F.lit(""), F.substring("Key", 1, 8), F.lit("p/"), text).alias("Prefix"),
+        pick(F.lit("s3://b/x/"), text, F.lit("s3://other/y/"), text, F.lit("s3://"), F.lit("http://b/x")).alias("Uri"),
+        pick(F.lit("/"), F.lit("/")).alias("Delimiter"), F.when(way == 2, F.array(F.lit("/"), F.lit("/"))).otherwise(arr).alias("Delimiters"), pick(text, F.lit("~")).alias("EndAt"), pick(text, text, F.lit("own")).alias("profile"),
+        F.struct(F.when(way == 3, "s3://low/z").alias("uri"), F.struct(F.lit("stamped").alias("profile")).alias("stamp")).alias("meta"),
+    )
+    good, bad = keyspace.to_seeds(lines)
+    event = F.col("VersionAfter").cast("long").alias("event_id")
+    good = good.select(event, F.lit(True).alias("good"), F.col("Bucket").alias("bucket"), F.col("Prefix").alias("prefix"), F.array_join("Delimiters", "").alias("delimiters"), "profile")
+    return good.union(bad.select(event, F.lit(False), text, text, text, text))
 
 
 @query("SELECT event_id, coalesce(json_extract_string(props, '$$.k'), '') <> '' AS good FROM events WHERE event_id % 5 > 0")

@@ -11,7 +11,7 @@ from cairn.operators import keyspace, logs, shape, snapshots
 from cairn.operators.shape import Registry, Shape
 from cairn.plans.tables import Tables, query
 from cairn.session import shared_folder
-from cairn.sources import lines, pages, sinks
+from cairn.sources import lines, pages, sinks, store
 from cairn.streaming import flows
 
 
@@ -52,7 +52,7 @@ def s3_save_snapshot(t: Tables) -> DataFrame:
     path, rows = _folder(t), t("orders").select("o_orderkey", "o_orderstatus")
     for df in (rows.where("o_orderstatus = 'F'"), rows, rows):
         sinks.save_snapshot(df, path)
-    return t.spark.read.parquet(path)
+    return store.read(t.spark, path)
 
 
 @query("SELECT Ts, Service, Operation, Profile, Region, DurationS, HttpStatus, Attempts, Items, Outcome, ErrorCode, Message FROM $LOG")
@@ -118,11 +118,22 @@ def c7_commit_if_clean(t: Tables) -> DataFrame:
     for name, log in (("clean", t("LOG").where("Outcome = 'success'")), ("partial", t("LOG"))):
         path = _folder(t)
         stored = snapshots.commit_if_clean(log, logs.is_clean(log), path)
-        n = (t.spark.read.parquet(path) if stored else log.limit(0)).agg(F.count("*").alias("calls")).select(F.lit(name).alias("run"), "calls")
+        n = (store.read(t.spark, path) if stored else log.limit(0)).agg(F.count("*").alias("calls")).select(F.lit(name).alias("run"), "calls")
         out = n if out is None else out.union(n)
     return out
 
 
+@query("""SELECT 'calls' AS key, 'cairn logs --all' AS command, '30m' AS age, '2.0h' AS expires_in, count(*) AS lines, true AS has_bytes FROM $LOG WHERE Outcome = 'success'""")
+def c4_recorded_run(t: Tables) -> DataFrame:
+    """The catalogue of a clean and a partial run, with the lines and bytes counted while they were written."""
+    path, entries = _folder(t), None
+    for name, log in (("calls", t("LOG").where("Outcome = 'success'")), ("partial", t("LOG"))):
+        entry = snapshots.record_run(log, logs.is_clean(log), f"{path}/{name}", name, ["logs", "--all"], 1e6, 9000.0)
+        entries = entry if entries is None else entries.union(entry)
+    found = snapshots.list_snapshots(entries, 1e6 + 1800)
+    return found.select("key", "command", "age", "expires_in", "lines", (F.col("bytes") > 0).alias("has_bytes"))
+
+
 @query("SELECT concat(CAST(l_orderkey AS STRING), '/', CAST(l_linenumber AS STRING)) AS id FROM lineitem")
 def n9_root_template(t: Tables) -> DataFrame:
     page = t("lineitem").groupBy(F.col("l_orderkey").alias("OrderId")).agg(F.collect_list(F.struct(F.col("l_linenumber").alias("Line"))).alias("Lines"))
@@ -151,12 +162,16 @@ def _finished(stream) -> None:
     stream.awaitTermination()
 
 
-@query("SELECT Service, Operation, count(*) AS n FROM $LOG WHERE Outcome = 'error' GROUP BY 1, 2")
+@query("SELECT Service, Operation, Profile AS profile, Region AS region, 'own' AS account, count(*) AS n FROM $LOG WHERE Outcome = 'error' GROUP BY ALL")
 def t1_shape_stream(t: Tables) -> DataFrame:
+    """Stamped, then filtered, then shaped."""
     path, stream = _folder(t), flows.read_json_stream(t.spark, _log(t), lines.CALL_LOG)
-    shaped = flows.shape_stream(stream, lambda d: d.where("Outcome = 'error'"), lambda d: d.select("Service", "Operation"))
+    stamp = lambda d: shape.stamp_session(d, F.col("Profile"), F.col("Region"), F.lit("own"))
+    keep = lambda d: d.where("Outcome = 'error' and meta.stamp.account = 'own'")
+    shaped = flows.shape_stream(stream, stamp, keep, lambda d: d.select("Service", "Operation", F.struct("meta.stamp").alias("meta")))
     _finished(flows.write_stream(shaped, f"{path}/out", f"{path}/state"))
-    return t.spark.read.schema("Service string, Operation string").json(f"{path}/out").groupBy("Service", "Operation").agg(F.count("*").alias("n"))
+    read = t.spark.read.schema(f"Service string, Operation string, meta struct<stamp:{shape.STAMP}>").json(f"{path}/out")
+    return read.groupBy("Service", "Operation", "meta.stamp.profile", "meta.stamp.region", "meta.stamp.account").agg(F.count("*").alias("n"))
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'own' ELSE c_mktsegment END AS segment FROM customer")

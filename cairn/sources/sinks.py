@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from cairn.sources import store
+
 #: Times keep their microseconds, with and without a zone.
 TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
@@ -20,9 +22,10 @@ def write_values(df: DataFrame, column: str, path: str, mode: str = "error") ->
     df.select(df[column].cast("string").alias("value")).where("value is not null").write.mode(mode).text(path)
 
 
-def save_snapshot(df: DataFrame, path: str) -> None:
-    """The whole table replaced; saving it again changes nothing."""
-    df.write.mode("overwrite").parquet(path)
+def save_snapshot(df: DataFrame, path: str) -> store.Stored:
+    """The whole table replaced, for ``store.read``; saving it again changes nothing, and a write that fails
+    leaves the old table."""
+    return store.replace(df, path)
 
 
 def tee(df: DataFrame, sinks: dict[str, Callable[[DataFrame], None]]) -> None:

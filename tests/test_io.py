@@ -1,11 +1,12 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from cairn.operators import logs, seal, snapshots
 from cairn.plans.tables import Tables
-from cairn.sources import lines, pages, sinks
+from cairn.sources import lines, pages, sinks, store
 from cairn.streaming import flows
 
 
@@ -31,8 +32,8 @@ def test_jsonl_round_trip_and_sinks(spark, sf_dir, tmp_path):
     sinks.write_partitioned(nation, "n_regionkey", f"{tmp_path}/p")
     assert spark.read.json(f"{tmp_path}/p").where("n_regionkey = 1").count() == nation.where("n_regionkey = 1").count()
     sinks.save_snapshot(nation, f"{tmp_path}/s")
-    sinks.save_snapshot(nation, f"{tmp_path}/s")
-    assert spark.read.parquet(f"{tmp_path}/s").count() == nation.count()
+    assert sinks.save_snapshot(nation, f"{tmp_path}/s").lines == nation.count()
+    assert store.read(spark, f"{tmp_path}/s").count() == nation.count()
     sinks.tee(nation, {"a": lambda d: sinks.write_jsonl(d, f"{tmp_path}/a"), "b": lambda d: sinks.write_values(d, "n_name", f"{tmp_path}/b")})
     assert spark.read.json(f"{tmp_path}/a").count() == spark.read.text(f"{tmp_path}/b").count() == nation.count()
 
@@ -73,6 +74,73 @@ def test_sealing(spark):
         seal.seal(df, "v", "short")
 
 
+def test_a_failing_write_keeps_what_is_stored(spark, tmp_path):
+    path = f"{tmp_path}/s"
+    with pytest.raises(FileNotFoundError):
+        store.read(spark, path)
+    assert store.read(spark, path, "x long").count() == 0
+    old = spark.range(100).selectExpr("id AS x")
+    first = store.replace(old, path)
+    assert first.lines == 100 and first.bytes > 0
+    reader = store.read(spark, path)
+    bad = spark.range(0, 1000, 1, 4).selectExpr("CASE WHEN id = 900 THEN raise_error('half-way') ELSE id END AS x")
+    for _ in range(2):
+        with pytest.raises(Exception, match="half-way"):
+            snapshots.commit_if_clean(bad, True, path)
+    assert sorted(r.x for r in store.read(spark, path).collect()) == list(range(100))
+    assert sorted(p.name for p in tmp_path.joinpath("s").iterdir() if not p.name.startswith(".")) == sorted(["_current", first.run.rsplit("/", 1)[-1]])
+    store.replace(spark.range(5).selectExpr("id AS x"), path)
+    assert reader.count() == 100 and store.read(spark, path).count() == 5  # who began with the run before can end
+    assert store.replace(store.read(spark, path).where("x > 1"), path).lines == 3  # a table may be made of itself
+    assert store.replace(old.where("x < 0"), path).lines == 0 and store.read(spark, path).count() == 0
+
+
+def test_recorded_runs(spark, tmp_path):
+    df = spark.range(7)
+    entries = snapshots.record_run(df, True, f"{tmp_path}/a", "a", ["x", "--y"], 1000.0, 500, 1.23456).union(snapshots.record_run(df, False, f"{tmp_path}/b", "b", [], 1000.0, 500))
+    r = snapshots.list_snapshots(entries, 1100.0, "tool").first()
+    assert entries.count() == 1 and (r.key, r.command, r.age, r.expires_in, r.lines, r.duration, r.encrypted) == ("a", "tool x --y", "2m", "7m", 7, 1.235, False)
+    assert r.bytes == sum(p.stat().st_size for p in (tmp_path / "a").rglob("*") if p.is_file() and p.parent.name.startswith("run-") and not p.name.endswith(".crc"))
+    late = snapshots.list_snapshots(entries.select("key", "expires"), 5000.0).first()
+    assert (late.age, late.expires_in, late.command, late.bytes, late.lines) == ("0s", "0s", "cairn", 0, None)
+    assert snapshots.sweep(entries, 1400.0).count() == 1 and snapshots.sweep(entries, 1500.0).count() == 0 and snapshots.sweep(entries, 0.0, everything=True).count() == 0
+
+
+def replayed(lines, current, mode, force, overwrite):
+    """One write after the other."""
+    table, out = {n: [v, t, k] for n, v, t, k in current}, []
+    for name, value, kind, over in lines:
+        have = table.get(name)
+        over = overwrite if over is None else over
+        if not name or value is None or (mode == "update" and have is None):
+            out.append((name, None if not name or value is None else None, "error", None))
+        elif mode == "update" and have[0] == value and not force:
+            out.append((name, value, "unchanged", have[2]))
+        elif mode == "put" and have and not over:
+            out.append((name, have[0], "conflict", have[2]))
+        else:
+            action = "update" if have else "create"
+            table[name] = [value, have[1] if mode == "update" else kind or "String", (have[2] if have else 0) + 1]
+            out.append((name, value, action, table[name][2]))
+    return out, sorted((n, *v) for n, v in table.items())
+
+
+@pytest.mark.parametrize("mode, force, overwrite", [("update", False, False), ("update", True, False), ("put", False, False), ("put", False, True)])
+def test_writes_replay_in_order(spark, mode, force, overwrite):
+    g = random.Random(4)
+    current = [(f"n{i}", g.choice("ab"), g.choice(["String", "SecureString"]), i) for i in range(6)]
+    lines = [(g.choice([*(f"n{i}" for i in range(10)), "", None]), g.choice(["a", "b", "c", None]), g.choice(["StringList", None]), g.choice([None, True, False])) for _ in range(200)]
+    have = spark.createDataFrame(current, "Name string, Value string, Type string, Version int")
+    df = spark.createDataFrame([(*x, i) for i, x in enumerate(lines)], "Name string, Value string, Type string, Overwrite boolean, seq int").repartition(3)
+    sealed = seal.seal(df, "Value", "0123456789abcdef", F.col("seq") % 2 == 0)
+    plan = snapshots.plan_writes(sealed, have, mode, force, overwrite, order="seq", key="0123456789abcdef")
+    want, table = replayed(lines, current, mode, force, overwrite)
+    assert [(r.Name, r.Value, r.action, r.Version) for r in plan.orderBy("seq").collect()] == want
+    assert sorted((r.Name, r.Value, r.Type, r.Version) for r in snapshots.apply_writes(have, plan).collect()) == table
+    lost = snapshots.plan_writes(seal.seal(df, "Value", "another key here"), have, mode, order="seq", key="0123456789abcdef")
+    assert {r.action for r in lost.collect()} == {"error"}
+
+
 def test_puts(spark):
     have = spark.createDataFrame([("a", "1", "String", 4)], "Name string, Value string, Type string, Version int")
     new = spark.createDataFrame([("a", "2", "String"), ("b", "3", "String")], "Name string, Value string, Type string")

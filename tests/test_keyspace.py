@@ -72,5 +72,18 @@ def test_not_in_has_sql_null_semantics(spark):
 
 
 def test_seeds(spark):
-    df = spark.createDataFrame([(None, None, "s3://b/p/q", "/", None, None, None), ("c", "", None, None, None, "k", "z")], "Bucket string, Prefix string, Uri string, Delimiter string, Delimiters array<string>, StartAfter string, EndAt string")
-    assert [tuple(r) for r in keyspace.to_seeds(df).collect()] == [("b", "p/q", ["/"], "", ""), ("c", "", [], "k", "z")]
+    kind = "Bucket string, Prefix string, Uri string, Delimiter string, Delimiters array<string>, StartAfter string, EndAt string, bucket string, meta struct<uri:string,stamp:struct<profile:string,region:string>>, region string"
+    rows = [
+        (None, None, "s3://b/p/q", "/", None, None, None, None, None, None), ("c", "", None, "/", None, "k", "z", None, None, None),
+        ("b", "", "s3://b/x/", None, None, None, None, None, None, None), (None, "p/", "s3://c/y/", None, ["/", "/"], None, None, None, None, None),
+        ("", None, None, None, [], None, None, "low", ("s3://no/no", ("ops", "eu")), "us"), (None, None, None, None, None, None, None, None, ("s3://m/k", None), None),
+        (None, "p", None, None, None, None, None, None, None, None), (None, None, "http://x/y", None, None, None, None, None, None, None), (None, None, "s3:///y", None, None, None, None, None, None, None),
+    ]
+    df = spark.createDataFrame(rows, kind)
+    good, bad = keyspace.to_seeds(df)
+    plain = [("b", "p/q", ["/"], "", "", None, None, False, ""), ("c", "", [], "k", "z", None, None, False, ""), ("b", "", [], "", "", None, None, False, ""), ("c", "y/", ["/", "/"], "", "", None, None, False, ""), ("low", "", [], "", "", "ops", "us", False, ""), ("m", "k", [], "", "", None, None, False, "")]
+    assert [tuple(r) for r in good.collect()] == plain
+    assert [r.Uri for r in bad.collect()] == [None, "http://x/y", "s3:///y"] and bad.columns == df.columns
+    assert [r.Delimiters for r in keyspace.to_seeds(df, ("|",))[0].collect()] == [["|"], [], ["|"], ["/", "/"], ["|"], ["|"]]
+    more = spark.createDataFrame([("b", "true", "v")], "Bucket string, Versions string, VersionAfter string")
+    assert tuple(keyspace.to_seeds(more)[0].first())[-2:] == (True, "v")

@@ -15,8 +15,13 @@ def test_id_from_arn(spark):
 
 
 def test_durations_and_ages(spark):
-    assert [one(spark, expr.seconds(F.lit(x))) for x in ("90", "15m", "2h", "7d", "x", "")] == [90, 900, 7200, 604800, None, None]
-    assert [one(spark, expr.age_text(F.lit(x))) for x in (89, 90, 5399, 5400, 129599, 129600)] == ["89s", "2m", "90m", "2h", "36h", "2d"]
+    assert [one(spark, expr.seconds(F.lit(x))) for x in ("90", "15m", "2h", "7d", "1.5h", "2H", " .5 m ", "1e2", "-3s", "x", "", "h", "1.5.2")] == [90, 900, 7200, 604800, 5400, 7200, 30, 100, -3, None, None, None, None]
+    ages = (0, 2.5, 3.5, 89, 89.5, 90, 150, 5399, 5400, 5580, 5940, 6300, 6660, 129599, 129600, 1e9 + 4321)
+    human = lambda s: f"{s:.0f}s" if s < 90 else f"{s / 60:.0f}m" if s < 5400 else f"{s / 3600:.1f}h" if s < 129600 else f"{s / 86400:.1f}d"
+    assert [one(spark, expr.age_text(F.lit(x))) for x in ages] == [human(x) for x in ages]
+    tenths = [i * 0.05 for i in range(400)] + [i / 3 for i in range(100)]
+    got = spark.createDataFrame([(x,) for x in tenths], "x double").select(expr.one_decimal(F.col("x")).alias("t")).collect()
+    assert [r.t for r in got] == [f"{x:.1f}" for x in tenths]
 
 
 def test_signature_cuts_the_first_line(spark):
@@ -66,9 +71,26 @@ def test_post_explodes_and_drops(spark):
 
 
 def test_coerce(spark):
-    df = spark.createDataFrame([("1.5", "x", "YES", "a", '["a","b"]')], "d string, l string, b string, one string, many string")
-    r = filters.coerce(df, {"d": "double", "l": "long", "b": "boolean", "one": "list", "many": "list"}).first()
-    assert (r.d, r.l, r.b, r.one, r.many) == (1.5, None, True, ["a"], ["a", "b"])
+    df = spark.createDataFrame([("1.5", "x", "YES")], "d string, l string, b string")
+    r = filters.coerce(df, {"d": "double", "l": "long", "b": "boolean"}).first()
+    assert (r.d, r.l, r.b) == (1.5, None, True)
+    texts = ["a", '["a","b"]', "[1, 2.5, null]", "[bad", "5", "{\"a\": 1}", "", None]
+    df = spark.createDataFrame([(t, t, t, ["1", t]) for t in texts], "l string, s string, u string, many array<string>")
+    rows = filters.coerce(df, {"l": "list", "s": "structure", "u": "", "many": "list"}).collect()
+    value = lambda v: None if v is None else v.toPython()
+    assert [None if r.l is None else [value(x) for x in r.l] for r in rows] == [["a"], ["a", "b"], [1, 2.5, None], ["[bad"], [5], [{"a": 1}], [""], None]
+    assert [value(r.s) for r in rows] == ["a", ["a", "b"], [1, 2.5, None], "[bad", 5, {"a": 1}, "", None]
+    assert [value(r.u) for r in rows] == ["a", ["a", "b"], [1, 2.5, None], "[bad", "5", {"a": 1}, "", None]
+    assert [[value(x) for x in r.many] for r in rows][2:4] == [[1, [1, 2.5, None]], [1, "[bad"]]
+
+
+def test_route_session(spark):
+    flat = spark.createDataFrame([(1, "p", "")], "id int, profile string, region string")
+    assert [tuple(r) for r in shape.route_session(flat).collect()] == [(1, "p", None)]
+    assert [tuple(r) for r in shape.route_session(flat.select("id")).collect()] == [(1, None, None)]
+    stamped = spark.createDataFrame([(1, None, (("s", "r"),)), (2, "own", (None,)), (3, "", None)], "id int, profile string, meta struct<stamp:struct<profile:string,region:string>>")
+    assert [(r.id, r.profile, r.region) for r in shape.route_session(stamped).collect()] == [(1, "s", "r"), (2, "own", None), (3, None, None)]
+    assert shape.route_session(flat.withColumn("meta", F.lit("text"))).columns == ["id", "profile", "region"]
 
 
 def test_describe_fills_missing_identifiers(spark):
