@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cairn.functions import expr
-from cairn.operators import enrich, filters, keyspace, shape
+from cairn.operators import enrich, filters, keyspace, ragged, shape
 from cairn.operators.shape import Shape
 from cairn.plans.tables import Tables, query
 from cairn.sources import lines
@@ -80,6 +80,39 @@ def n1_explode_path(t: Tables) -> DataFrame:
     return ranges.select("root_group", F.col("root_line").alias("line"), "Cidr")
 
 
+def _ragged(t: Tables) -> DataFrame:
+    """A page an order, in one of five shapes."""
+    k, c = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    page = lambda text: F.replace(F.replace(F.lit(text), F.lit("@k"), k), F.lit("@c"), c)
+    way = F.col("o_orderkey") % 5
+    text = (
+        F.when(way == 0, page('{"Owner":"u@c","Groups":[{"Items":[{"Id":"@k-1","Tags":[{"Key":"a","Value":"1"},{"Key":"a","Value":"2"}]},{"Id":"@k-2","Tags":{"b":"x"}}]}]}'))
+        .when(way == 1, page('{"Owner":"u@c","Groups":{"Items":{"Id":@k,"Tags":[{"Key":null,"TagKey":"t","Value":"no"},{"TagKey":"t","TagValue":"yes"},"junk"]}}}'))
+        .when(way == 2, page('{"Owner":"u@c","Groups":[{"Items":null},{"Other":1},7]}'))
+        .when(way == 3, page('{"Owner":null,"Groups":[{"Items":["s@k",null]}]}')).otherwise(page('{"Owner":"u@c","Groups":[{"Items":[{"Id":null,"Tags":"none","Size":@c}]},{"Items":[]}]}'))
+    )
+    return t("orders").select("o_orderkey", F.parse_json(text).alias("page"))
+
+
+@query("""SELECT o_orderkey, n AS node FROM (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN [o_orderkey || '-1', o_orderkey || '-2'] WHEN 1 THEN [o_orderkey || ''] WHEN 3 THEN [] ELSE [NULL] END AS ids FROM orders WHERE o_orderkey % 5 <> 2), unnest(ids) u(n) WHERE n IS NOT NULL""")
+def n1_walk_ragged(t: Tables) -> DataFrame:
+    found = ragged.walk(ragged.walk(_ragged(t), "page", ("Groups", "Items")), "item", ("Id",), "id")
+    return found.select("o_orderkey", ragged.scalar(F.col("id")).alias("node"))
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_orderkey % 5 AS w, o_orderkey || '' AS k, 'u' || o_custkey AS u, o_custkey AS c FROM orders)
+    SELECT o_orderkey, k || '-1' AS id, 'arn:c:s:r:' || u || ':item/' || k || '-1' AS arn, 'a=2' AS tags, '{"Id":"' || k || '-1"}' AS raw FROM o WHERE w = 0
+    UNION ALL SELECT o_orderkey, k || '-2', 'arn:c:s:r:' || u || ':item/' || k || '-2', 'b=x', '{"Id":"' || k || '-2"}' FROM o WHERE w = 0
+    UNION ALL SELECT o_orderkey, k, 'arn:c:s:r:' || u || ':item/' || k, 't=yes', '{"Id":' || k || '}' FROM o WHERE w = 1
+    UNION ALL SELECT o_orderkey, '', '', '', '{"Value":"s' || k || '"}' FROM o WHERE w = 3 UNION ALL SELECT o_orderkey, '', '', '', '{"Value":null}' FROM o WHERE w = 3
+    UNION ALL SELECT o_orderkey, '', '', '', '{"Id":null,"Size":' || c || ',"Tags":"none"}' FROM o WHERE w = 4""")
+def n3_ragged_records(t: Tables) -> DataFrame:
+    """Envelopes over pages of many shapes: present nulls, single objects for lists, tags as lists and objects."""
+    made = ragged.normalize(_ragged(t), "page", [Shape("item", ("Groups", "Items"), id="Id", arn="arn:c:s:r:{root_Owner}:item/{Id}")])
+    tags = F.array_join(F.transform(F.map_entries("meta.tags"), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",")
+    return made.select("o_orderkey", "meta.id", "meta.arn", tags.alias("tags"), F.to_json("item").alias("raw"))
+
+
 @query('SELECT o_custkey AS "root_customer", o_orderkey AS "Value" FROM orders')
 def n2_scalar_items(t: Tables) -> DataFrame:
     page = t("orders").groupBy(F.col("o_custkey").alias("customer")).agg(F.collect_list("o_orderkey").alias("ids"))

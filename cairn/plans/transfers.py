@@ -34,17 +34,21 @@ def s1_read_jsonl(t: Tables) -> DataFrame:
     return lines.read_jsonl(t.spark, path, "c_custkey long, c_name string, c_acctbal double")
 
 
-@query("""SELECT 'my_region' AS "table", 'loaded' AS status, count(*) AS n FROM region UNION ALL SELECT 'customer', 'loaded', count(*) FROM customer UNION ALL SELECT 'nothing', 'empty', NULL""")
+@query("""SELECT 'my_region' AS "table", 'loaded' AS status, count(*) AS rows, 0 AS skipped, count(*) AS n FROM region
+    UNION ALL SELECT 'customer', 'loaded', count(*), 0, count(*) FROM customer UNION ALL SELECT 'nothing', 'empty', 0, 0, NULL
+    UNION ALL SELECT 'bad', 'failed', 0, count(*), NULL FROM nation UNION ALL SELECT 'mixed', 'loaded', count(*), count(*), count(*) FROM nation""")
 def s2_load_inventory(t: Tables) -> DataFrame:
     path = _folder(t)
-    for name, df in (("my-region", t("region")), ("customer", t("customer")), ("nothing", t("region").limit(0))):
+    for name, df in (("my-region", t("region")), ("customer", t("customer")), ("nothing", t("region").limit(0)), ("mixed", t("nation"))):
         sinks.write_jsonl(df, f"{path}/{name}.jsonl")
+    for name in ("bad", "mixed"):
+        sinks.write_values(t("nation"), "n_name", f"{path}/{name}.jsonl", mode="append")
     views, report = lines.load_inventory(t.spark, path)
     counts = None
     for name, df in views.items():
         n = df.agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n")
         counts = n if counts is None else counts.union(n)
-    return report.join(counts, "table", "left").select("table", "status", "n")
+    return report.join(counts, "table", "left")
 
 
 @query("SELECT o_orderkey, o_orderstatus FROM orders")

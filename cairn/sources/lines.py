@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
 import warnings
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CALL_LOG = "Ts timestamp, Service string, Operation string, Profile string, Region string, DurationS decimal(12,2), HttpStatus int, Attempts int, Items int, Outcome string, ErrorCode string, Message string"
 AUDIT_LOG = "Ts timestamp, Command string, Service string, Operation string, Profile string, Region string, Cache string, ExitCode int, DurationS decimal(12,2), SavedS decimal(12,2)"
@@ -21,33 +23,64 @@ def table_name(file: str) -> str:
     return file.rsplit("/", 1)[-1].removesuffix(".jsonl").removesuffix(".json").replace("-", "_")
 
 
+def schema_of_json(found: str) -> T.StructType:
+    """What ``schema_of_variant_agg`` says of objects, as the schema to read them by: numbers with a fraction are doubles, fields that hold
+    nothing or unlike things are text."""
+    out, at = _kind(found, 0)
+    if at != len(found) or not isinstance(out, T.StructType):
+        raise ValueError(f"not the schema of objects: {found}")
+    return out
+
+
+def _kind(found: str, at: int) -> tuple[T.DataType, int]:
+    if found.startswith("OBJECT<", at):
+        fields, at = [], at + len("OBJECT<")
+        while found[at] != ">":
+            name = re.compile(r"(?s)`((?:[^`]|``)*)`: |(\w+): ").match(found, at)
+            kind, at = _kind(found, name.end())
+            fields.append(T.StructField(name[2] or (name[1] or "").replace("``", "`"), kind))
+            at += 2 if found.startswith(", ", at) else 0
+        return T.StructType(fields), at + 1
+    if found.startswith("ARRAY<", at):
+        kind, at = _kind(found, at + len("ARRAY<"))
+        return T.ArrayType(kind), at + 1
+    name = re.compile(r"\w+(?:\(\d+,\s*\d+\))?").match(found, at)
+    known = {"BIGINT": T.LongType(), "BOOLEAN": T.BooleanType(), "DOUBLE": T.DoubleType(), "FLOAT": T.DoubleType()}
+    return T.DoubleType() if name[0].startswith("DECIMAL") else known.get(name[0], T.StringType()), name.end()
+
+
 def load_inventory(spark: SparkSession, path: str) -> tuple[dict[str, DataFrame], DataFrame]:
-    """A temp view for each non-empty file of a directory, and a report (table, status): loaded, empty or failed.
+    """A temp view for each entry of a directory, a file of JSON lines or a folder of such, and a report (table, status, rows, skipped): loaded,
+    empty, or failed if it has lines but no JSON object.
 
-    Files are listed, with their sizes, through the path's own file system.
+    Entries are listed through the path's own file system. One job reads all their lines and finds each entry's
+    schema and counts; a view is then read by its schema, malformed lines skipped.
     """
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    found = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    base = fs.makeQualified(where).toString().rstrip("/") + "/"
+    entries = {f.getPath().getName(): f.getPath().toString() for f in fs.listStatus(where) if not f.getPath().getName().startswith(("_", "."))}
+    found = {}
+    if entries:
+        # file paths come percent-encoded
+        file = F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+        below = F.regexp_replace(file, r"\A[a-zA-Z0-9]+:/*", "")  # schemes are written with one slash or three
+        name = F.get(F.split(below, "/"), F.lit(re.sub(r"\A[a-zA-Z0-9]+:/*", "", base).count("/")))
+        lines = spark.read.option("recursiveFileLookup", "true").text(path).select(name.alias("name"), "value").where(F.trim("value") != "")
+        v = F.try_parse_json("value")
+        lines = lines.select("name", F.when(F.try_variant_get(v, "$", "map<string,variant>").isNotNull(), v).alias("v"))
+        kinds = lines.groupBy("name").agg(F.schema_of_variant_agg("v").alias("kind"), F.count("v").alias("rows"), F.count("*").alias("lines"))
+        found = {r.name: r for r in kinds.collect()}  # a row an entry
     views, report = {}, []
-    for f in sorted(found, key=lambda f: f.getPath().getName()):
-        name = f.getPath().getName()
-        if name.startswith(("_", ".")):
-            continue
-        if f.isFile() and f.getLen() == 0:
-            report.append((table_name(name), "empty"))
-            continue
-        try:
-            df = read_jsonl(spark, f.getPath().toString())
-            if set(df.columns) <= {"_corrupt_record"}:
-                report.append((table_name(name), "empty"))
-                continue
-            df.createOrReplaceTempView(table_name(name))
-        except Exception as e:  # one bad file doesn't keep the others from loading
-            report.append((table_name(name), f"failed: {type(e).__name__}"))
+    for name, at in sorted(entries.items()):
+        table, r = table_name(name), found.get(name)
+        if r is None or not r.rows:
+            report.append((table, "empty" if r is None else "failed", 0, r.lines if r else 0))
             continue
-        views[table_name(name)] = df
-        report.append((table_name(name), "loaded"))
-    return views, spark.createDataFrame(report, "table string, status string")
+        views[table] = spark.read.schema(schema_of_json(r.kind)).option("mode", "DROPMALFORMED").json(at)
+        views[table].createOrReplaceTempView(table)
+        report.append((table, "loaded", r.rows, r.lines - r.rows))
+    return views, spark.createDataFrame(report, "table string, status string, rows long, skipped long")
 
 
 def read_call_log(spark: SparkSession, path: str, schema: str = CALL_LOG) -> DataFrame:

@@ -14,8 +14,8 @@ def test_inventory_directory(spark, tmp_path):
     (tmp_path / "s3-buckets.jsonl").write_text('{"Arn":"a","ARN":"b"}\n{bad\n{"Other":1}\n')
     (tmp_path / "empty.jsonl").write_text("")
     views, report = lines.load_inventory(spark, str(tmp_path))
-    assert sorted(map(tuple, report.collect())) == [("empty", "empty"), ("s3_buckets", "loaded")]
-    assert views["s3_buckets"].where("Arn = 'a' or Other = 1").count() == 2 and spark.table("s3_buckets").columns == ["ARN", "Arn", "Other"]
+    assert sorted(map(tuple, report.collect())) == [("empty", "empty", 0, 0), ("s3_buckets", "loaded", 2, 1)]
+    assert views["s3_buckets"].where("Arn = 'a' or Other = 1").count() == 2 and sorted(spark.table("s3_buckets").columns) == ["ARN", "Arn", "Other"]
 
 
 def test_missing_log_is_empty(spark, tmp_path):
