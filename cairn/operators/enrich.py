@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cairn.functions.expr import id_from_arn, or_else
 from cairn.operators.keyspace import with_rank
+from cairn.session import cut
 
 #: Regions at most of a plan.
 REGIONS = 1000
@@ -163,6 +164,32 @@ def findings_diff(before: DataFrame, after: DataFrame, keys: list[str]) -> DataF
     return old.join(new, keys, "full_outer").select(*keys, state.alias("state"))
 
 
+def digests(rows: DataFrame, keys: list[str], groups: int) -> DataFrame:
+    """(group, n, one, two): keys are dealt into groups by hash; of each the number of rows and the sums of two hashes of the keys. Sums
+    are made in the tasks that read the rows; only they are shuffled."""
+    wide = lambda salt: F.sum(F.xxhash64(F.lit(salt), *keys).cast("decimal(38,0)"))
+    return rows.groupBy(F.pmod(F.xxhash64(*keys), F.lit(groups)).alias("group")).agg(F.count("*").alias("n"), wide(1).alias("one"), wide(2).alias("two"))
+
+
+def differing_groups(before: DataFrame, after: DataFrame, keys: list[str], groups: int) -> DataFrame:
+    """The groups of keys whose digests differ."""
+    a, b = (digests(df, keys, groups).select("group", F.struct("n", "one", "two").alias(c)) for df, c in ((before, "a"), (after, "b")))
+    return a.join(b, "group", "full_outer").where(~F.col("a").eqNullSafe(F.col("b"))).select("group")
+
+
+def findings_diff_by_digest(before: DataFrame, after: DataFrame, keys: list[str], groups: int = 10_000) -> DataFrame:
+    """As ``findings_diff``, for snapshots that differ little: rows are joined only in groups of keys whose digests differ, the others
+    are open as they are. ``before`` and ``after`` are read twice; keys should be unique in each, as repeated ones make a group differ.
+
+    Two different groups pass for equal if their counts and both sums of 64-bit hashes agree.
+    """
+    group = F.pmod(F.xxhash64(*keys), F.lit(groups))
+    differ = cut(differing_groups(before, after, keys, groups))  # ``groups`` rows at most
+    some = lambda df, how: df.select(*keys, group.alias("group")).join(F.broadcast(differ), "group", how).drop("group")
+    same = some(after, "left_anti").withColumn("state", F.lit("open"))
+    return findings_diff(some(before, "left_semi"), some(after, "left_semi"), keys).union(same)
+
+
 def exactly_once(emitted: DataFrame, expected: DataFrame, key: str) -> DataFrame:
     """Keys that aren't emitted just once: (key, problem) with missing, surplus or repeated."""
     e, x = emitted.groupBy(key).agg(F.count("*").alias("__n")), expected.select(key).distinct().withColumn("__x", F.lit(True))

@@ -228,6 +228,27 @@ def even_bounds(objects: DataFrame, n: int) -> DataFrame:
     return parts.groupBy("Bucket", F.spark_partition_id().alias("p")).agg(F.max("Key").alias("bound")).select("Bucket", "bound")
 
 
+def sampled_bounds(objects: DataFrame, parts: int, per_part: int = 256) -> DataFrame:
+    """Bounds (Bucket, bound) that cut the keys of each bucket into ``parts`` about equal parts: quantiles of a sample.
+
+    The sample is a bucket's ``parts * per_part`` keys of least hash, so it doesn't depend on how keys are dealt over tasks. A filter by an
+    estimate of their number comes first and lets about twice as many through, so that no task sorts more. With 256 keys a part,
+    the size of a part is within 25 % of the even one, but for one part in 10,000.
+    """
+    k = parts * per_part
+    digest = F.md5("Key")
+    place = F.conv(F.substring(digest, 1, 8), 16, 10).cast("long")
+    counts = objects.groupBy("Bucket").agg(F.approx_count_distinct("Key").alias("__n"))
+    share = F.least(F.lit(1.0), (2.0 * k + 100) / F.col("__n")) * float(1 << 32)
+    some = objects.join(counts, "Bucket").where(place < share).select("Bucket", "Key").distinct()
+    least = Window.partitionBy("Bucket").orderBy(digest, "Key")
+    some = some.withColumn("__r", F.row_number().over(least)).where(F.col("__r") <= k)
+    r = F.row_number().over(Window.partitionBy("Bucket").orderBy("Key"))
+    some = some.select("Bucket", "Key", r.alias("r"), F.count("*").over(Window.partitionBy("Bucket")).alias("m"))
+    part = lambda x: F.floor(x * parts / F.col("m"))
+    return some.where((part(F.col("r")) > part(F.col("r") - 1)) & (F.col("r") < F.col("m"))).select("Bucket", F.col("Key").alias("bound"))
+
+
 def resume_points(slices: DataFrame, handled: DataFrame) -> DataFrame:
     """For each unfinished slice the greatest handled key; a handled prefix counts as all that is below it.
 

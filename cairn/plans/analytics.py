@@ -317,6 +317,16 @@ def o12_split_with(t: Tables) -> DataFrame:
     return keyspace.slice_counts(t("OBJ"), slices).groupBy("Bucket").agg(F.sum("n").alias("n")).join(gaps, "Bucket", "left").select("Bucket", "n", F.col("gap").isNull().alias("gapless"))
 
 
+@query("""WITH k AS (SELECT Bucket, Key, row_number() OVER (PARTITION BY Bucket ORDER BY md5(Key), Key) AS h FROM (SELECT DISTINCT Bucket, Key FROM $OBJ)),
+    s AS (SELECT Bucket, Key, row_number() OVER (PARTITION BY Bucket ORDER BY Key) AS r, count(*) OVER (PARTITION BY Bucket) AS m FROM k WHERE h <= 4 * 64),
+    b AS (SELECT Bucket, Key AS b FROM s WHERE floor(r * 4 / m) > floor((r - 1) * 4 / m) AND r < m),
+    x AS (SELECT Bucket, coalesce(lag(b) OVER (PARTITION BY Bucket ORDER BY b), '') AS start_after, b AS end_at FROM b UNION ALL SELECT Bucket, max(b), '' FROM b GROUP BY 1)
+    SELECT x.Bucket, start_after, end_at, count(*) AS n FROM x JOIN $OBJ o ON o.Bucket = x.Bucket AND o.Key > start_after AND (end_at = '' OR o.Key <= end_at) GROUP BY ALL""")
+def o12_sampled_split(t: Tables) -> DataFrame:
+    """Four parts of each bucket by a sample of 64 keys a part."""
+    return keyspace.slice_counts(t("OBJ"), cut(keyspace.split_with(t("OBJ"), lambda o: keyspace.sampled_bounds(o, 4, 64))))
+
+
 @query("SELECT VersionId, CASE WHEN Key <= 'u/5' THEN '' ELSE 'u/5' END AS start_after FROM $VER")
 def o13_scan_versions(t: Tables) -> DataFrame:
     slices = t.spark.sql("SELECT 'vb' AS Bucket, '' AS start_after, 'u/5' AS end_at UNION ALL SELECT 'vb', 'u/5', ''")

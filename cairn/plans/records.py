@@ -406,6 +406,16 @@ def u3_findings_diff(t: Tables) -> DataFrame:
     return enrich.findings_diff(t("orders").where("o_orderdate < '1996-01-01'"), t("orders").where("o_orderdate >= '2000-06-01'"), ["o_custkey"])
 
 
+_CHANGED = "o_orderkey % 1000 = 7"
+
+
+@query(f"""SELECT o_orderkey, CASE WHEN o_orderkey % 2000 = 7 THEN 'resolved' WHEN {_CHANGED} THEN 'opened' ELSE 'open' END AS state FROM (SELECT DISTINCT o_orderkey FROM orders)""")
+def u3_diff_by_digest(t: Tables) -> DataFrame:
+    """Two snapshots that differ in one key of a thousand."""
+    keys = t("orders").select("o_orderkey").distinct()
+    return enrich.findings_diff_by_digest(keys.where(f"not ({_CHANGED}) or o_orderkey % 2000 = 7"), keys.where(f"not ({_CHANGED}) or o_orderkey % 2000 <> 7"), ["o_orderkey"])
+
+
 @query("SELECT o_orderkey AS key, 'missing' AS problem FROM orders WHERE o_orderkey % 10 = 0 UNION ALL SELECT o_orderkey, 'repeated' FROM orders WHERE o_orderkey % 10 = 1")
 def u4_exactly_once(t: Tables) -> DataFrame:
     keys = t("orders").select(F.col("o_orderkey").alias("key"))

@@ -216,6 +216,19 @@ def t5_tail_call_log(t: Tables) -> DataFrame:
     return _totals(t, flows.tail_call_log(t.spark, _log(t)))
 
 
+@query("""SELECT CAST(user_id AS STRING) AS key, arg_max(event_type, event_id) AS value, max(event_id)::DOUBLE AS ts FROM events
+    WHERE event_type <> 'error' AND event_id >= (SELECT max(event_id) - 700 FROM events WHERE event_type <> 'error') GROUP BY user_id""")
+def c8_latest_stream(t: Tables) -> DataFrame:
+    """The log in several micro-batches, in no order of time; values expire as newer ones come."""
+    path = _folder(t)
+    value = F.when(F.col("event_type") != "error", F.col("event_type")).otherwise("")
+    log = t("events").select(F.col("user_id").cast("string").alias("key"), value.alias("value"), F.col("event_id").cast("double").alias("ts"))
+    sinks.write_jsonl(log.repartition(4, "ts"), f"{path}/in")
+    stream = t.spark.readStream.schema("key string, value string, ts double").option("maxFilesPerTrigger", 1).json(f"{path}/in")
+    _finished(flows.keep_changes(flows.latest_values_stream(stream, 700.0), f"{path}/out", f"{path}/state"))
+    return flows.kept_values(t.spark, f"{path}/out", 700.0)
+
+
 @query("SELECT event_id % 3 > 0 AS good, count(*) AS n FROM events GROUP BY 1")
 def t6_contain(t: Tables) -> DataFrame:
     path, events = _folder(t), t("events")

@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from cairn.operators import logs, seal, snapshots
+from cairn.operators import enrich, keyspace, logs, seal, snapshots
 from cairn.plans.tables import Tables
 from cairn.sources import lines, pages, sinks, store
 from cairn.streaming import flows
@@ -183,3 +183,44 @@ def test_stream_enrichment_and_containment(spark, tmp_path):
     q = flows.enrich_stream(stream, tags, ["arn"]).where("arn is not null").writeStream.format("memory").queryName("tagged").trigger(availableNow=True).start()
     q.awaitTermination()
     assert {r.arn: r.tags for r in spark.table("tagged").collect()} == {"1": {"a": "b"}, "2": {}}
+
+
+def test_latest_values_expire_in_the_stream(spark, tmp_path):
+    g = random.Random(9)
+    times = list(range(0, 400))
+    steps = [times[:100], times[200:300], times[100:200], times[300:400]]  # the third comes late, partly too late
+    log, runs = [], []
+    for i, step in enumerate(steps):
+        rows = [(g.choice(["a", "b", "c", "d", ""]) if t < 150 else g.choice(["a", "b", ""]), g.choice(["x", "y", "", None]), float(t)) for t in step]
+        (tmp_path / "in").mkdir(exist_ok=True)
+        (tmp_path / "in" / f"{i}.json").write_text("".join(json.dumps({"key": k, "value": v, "ts": t}) + "\n" for k, v, t in rows))
+        log += rows
+        stream = spark.readStream.schema("key string, value string, ts double").json(f"{tmp_path}/in")
+        flows.keep_changes(flows.latest_values_stream(stream, 250), f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
+        good = [r for r in log if r[0] and r[1]]
+        now = max(t for _, _, t in good)
+        want = sorted({k: (k, v, t) for k, v, t in sorted(good, key=lambda r: (r[2], r[1])) if now - t <= 250}.values())
+        assert sorted((r.key, r.value, r.ts) for r in flows.kept_values(spark, f"{tmp_path}/out", 250).collect()) == want
+        batch = snapshots.latest_values(spark.createDataFrame(log, "key string, value string, ts double"), 250, now)
+        assert sorted((r.key, r.value, r.ts) for r in batch.collect()) == want
+        runs.append(spark.read.parquet(f"{tmp_path}/out").where("gone").count())
+    assert runs[-1] > 0  # state of keys that no longer come is given up
+
+
+def test_sampled_bounds_and_digests(spark):
+    g = random.Random(3)
+    keys = [f"{g.choice('abcd')}/{g.getrandbits(40):x}" for _ in range(6000)]
+    df = spark.createDataFrame([("b", k) for k in keys] + [("b", keys[0])] * 500 + [("s", k) for k in keys[:5]], "Bucket string, Key string").repartition(7)
+    bounds = keyspace.sampled_bounds(df, 6).collect()
+    cuts = sorted(r.bound for r in bounds if r.Bucket == "b")
+    order = sorted(set(keys))
+    sizes = [sum(a < k <= e for k in order) for a, e in zip(["", *cuts], [*cuts, "~"], strict=True)]
+    assert len(cuts) == 5 and sum(sizes) == len(order) and all(abs(n - 1000) < 250 for n in sizes)
+    assert {r.bound for r in keyspace.sampled_bounds(df.repartition(2), 6).collect() if r.Bucket == "b"} == set(cuts)
+    assert 0 < sum(r.Bucket == "s" for r in bounds) < 6
+    old, new = spark.range(5000).selectExpr("id AS k", "id % 7 AS v"), spark.range(10, 5003).selectExpr("id AS k", "id % 7 AS v")
+    twice = new.union(new.limit(3))
+    assert enrich.differing_groups(old, new, ["k", "v"], 1000).count() <= 13
+    for a, b in ((old, new), (old, twice), (old, old), (old.limit(0), new), (old, new.limit(0))):
+        got = sorted(map(tuple, enrich.findings_diff_by_digest(a, b, ["k", "v"], 1000).collect()))
+        assert got == sorted(map(tuple, enrich.findings_diff(a, b, ["k", "v"]).collect()))
