@@ -7,6 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,6 +16,8 @@ from cairn.llm.common import Words, components, cut, mark, mix, partitions, part
 #: Width of the table of hashed document frequencies. A bucket's count is at most (shingles in all) / WIDTH over the
 #: true one on average, 0.2 % of the documents at 500 shingles each, at every size of the corpus.
 WIDTH = 1 << 18
+#: Tasks' counts are added in so many groups first.
+GROUPS = 256
 #: This share of the documents is added to every document frequency, so that copies stay alike when thousands share
 #: their shingles: what all documents hold weighs half of what one holds.
 SMOOTH = 0.1
@@ -79,15 +82,21 @@ def document_frequencies(docs: DataFrame, size: int = 5, width: int = WIDTH) ->
             own = np.repeat(np.arange(len(count)), count)
             total += np.bincount(np.unique(own * width + (hashes & np.uint64(width - 1)).astype(np.int64)) % width, minlength=width)
         if n:
+            own = TaskContext.get().partitionId() % GROUPS
             rows = [*total.astype(np.int32).reshape(-1, piece), np.pad(np.array([n], np.int32), (0, piece - 1))]
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows), dtype=np.int32)), pa.array([r.tobytes() for r in rows], pa.binary())], ["k", "counts"])
+            rows = [r.astype(np.int64).tobytes() for r in rows]
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows), dtype=np.int32)), pa.array([own] * len(rows), pa.int32()), pa.array(rows, pa.binary())], ["k", "g", "counts"])
 
     def added(key: tuple, table: pa.Table) -> pa.Table:
-        total = sum((np.frombuffer(x.as_py(), np.int32).astype(np.int64) for x in table.column("counts")), np.zeros(piece, np.int64))
-        return pa.table({"k": pa.array([key[0].as_py()], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
+        total = np.zeros(piece, np.int64)
+        for x in table.column("counts"):
+            total += np.frombuffer(x.as_buffer(), np.int64)
+        return pa.table({"k": pa.array([key[0].as_py()], pa.int32()), "g": pa.array([key[1].as_py() if len(key) > 1 else 0], pa.int32()), "counts": pa.array([total.tobytes()], pa.binary())})
 
     out = np.zeros((width // piece + 1, piece), np.int64)
-    for r in docs.select("text").mapInArrow(tidy(counted), "k int, counts binary").groupBy("k").applyInArrow(added, "k int, counts binary").collect():
+    kind = "k int, g int, counts binary"
+    some = docs.select("text").mapInArrow(tidy(counted), kind).groupBy("k", "g").applyInArrow(added, kind)  # a GROUPS-th of the tasks
+    for r in some.groupBy("k").applyInArrow(added, kind).collect():
         out[r.k] = np.frombuffer(bytes(r.counts), np.int64)
     return out[:-1].ravel(), int(out[-1, 0])
 
