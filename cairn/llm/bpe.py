@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cairn.llm.common import parts
+
 NONE = np.int64(-1)
 
 
@@ -145,18 +147,16 @@ def encode(df: DataFrame, text_col: str, ranks: dict[bytes, int], pattern: str,
         m = Merger(shared.value)
         find = regex.compile(pattern).findall
         known: dict[str, np.ndarray] = {}
-        for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                texts = [find(t) if t else [] for t in part.column(text_col).to_pylist()]
-                if len(known) > known_words:
-                    known.clear()
-                fresh = list(set().union(*texts).difference(known))
-                known.update(zip(fresh, m.encode([w.encode("utf-8", "surrogatepass") for w in fresh]), strict=True))
-                rows = [np.concatenate([known[w] for w in words]) if words else np.zeros(0, np.int32) for words in texts]
-                starts = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-                ids = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate(rows).astype(np.int32)))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, out])
+        for part in parts(batches, 500, column=text_col):
+            texts = [find(t) if t else [] for t in part.column(text_col).to_pylist()]
+            if len(known) > known_words:
+                known.clear()
+            fresh = list(set().union(*texts).difference(known))
+            known.update(zip(fresh, m.encode([w.encode("utf-8", "surrogatepass") for w in fresh]), strict=True))
+            rows = [np.concatenate([known[w] for w in words]) if words else np.zeros(0, np.int32) for words in texts]
+            starts = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+            ids = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate(rows).astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, out])
 
     return df.mapInArrow(coded, T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))]))
 
@@ -169,13 +169,14 @@ def decode(df: DataFrame, ids_col: str, ranks: dict[bytes, int], out: str = "byt
     def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         piece = {r: b for b, r in shared.value.items()}
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                part = batch.slice(lo, 500)
-                made = []
-                for ids in part.column(ids_col):
-                    found = None if not ids.is_valid else [piece.get(i) for i in ids.values.to_numpy(zero_copy_only=False).tolist()]
-                    made.append(None if found is None or None in found else b"".join(found))
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.binary())], [*part.schema.names, out])
+            lo, held, made = 0, 0, []
+            for hi, ids in enumerate(batch.column(ids_col), 1):
+                found = None if not ids.is_valid else [piece.get(i) for i in ids.values.to_numpy(zero_copy_only=False).tolist()]
+                made.append(None if found is None or None in found else b"".join(found))
+                held += len(made[-1] or b"")
+                if hi == batch.num_rows or hi - lo == 500 or held > 1 << 20:  # a longer text stands alone
+                    yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, pa.array(made, pa.binary())], [*batch.schema.names, out])
+                    lo, held, made = hi, 0, []
 
     return df.mapInArrow(joined, T.StructType([*df.schema.fields, T.StructField(out, T.BinaryType())]))
 
