@@ -114,7 +114,7 @@ blocks AS (SELECT doc_id, unnest([text] || list_transform(string_split_regex(tex
 '), lambda b: regexp_replace(b, '[ 	
 ]+', ' ', 'g'))) AS b FROM docs),
 named AS (SELECT DISTINCT doc_id, unnest(string_split(regexp_replace(b, '([.!?])[ 	
-]+', '' || chr(10), 'g'), chr(10))) AS statement FROM blocks),
+]+', '\1' || chr(10), 'g'), chr(10))) AS statement FROM blocks),
 said AS (SELECT DISTINCT statement FROM named),
 ours AS (SELECT statement, token, count(*) AS tf FROM (SELECT statement, unnest(regexp_extract_all(lower(statement), '[a-z0-9]+')) AS token FROM said) GROUP BY ALL),
 theirs AS (SELECT template_id, token, count(*) AS tf FROM (SELECT template_id, unnest(regexp_extract_all(lower(statement), '[a-z0-9]+')) AS token FROM known) GROUP BY ALL),

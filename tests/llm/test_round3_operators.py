@@ -1,5 +1,6 @@
 """Filter audit, vector codes and sharding against brute force."""
 
+import base64
 import hashlib
 import itertools
 import math
@@ -11,7 +12,7 @@ import pytest
 from compare import duck_rows, spark_rows
 from pyspark.sql import functions as F
 
-from cairn.llm import filter_audit, sharding, vector_codes
+from cairn.llm import bpe, filter_audit, minhash_dedup, quality_rules, secret_scan, sharding, vector_codes
 from cairn.llm.queries import ORACLE, QUERIES
 
 
@@ -217,3 +218,59 @@ def test_audit_of_an_empty_table_and_other_columns(spark, tmp_path):
     assert report_rows(filter_audit.audit(spark, str(tmp_path / "more"), labels)) == audited(rows, [])
     spark.createDataFrame(rows, "k long, body string, kind string").write.parquet(str(tmp_path / "named"))
     assert report_rows(filter_audit.audit(spark, str(tmp_path / "named"), labels, id_="k", text="body", part="kind")) == audited(rows, [])
+
+
+# secrets beyond the base patterns
+
+
+def test_network_finds_planted_secrets(spark, docs):
+    g = random.Random(1)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    some = lambda n, of=letters: "".join(g.choices(of, k=n))
+    raw = lambda n: g.randbytes(n)
+    plain = lambda n: base64.urlsafe_b64encode(raw(n)).decode().rstrip("=")
+    known = [w for r in docs.limit(150).collect() for w in (r.text or "").split() if w.isalpha()]
+    words = lambda n: [g.choice(known) for _ in range(n)]
+    base = [f"{' '.join(words(20))} {s} {' '.join(words(20))} {'-'.join(words(4))} {'/'.join(words(5))} {'.'.join(words(4))}" for s in
+            [*(f"password = {some(12)}" for _ in range(120)), *(f"api_key: {some(30)}" for _ in range(120)), *(raw(16).hex() for _ in range(120)), *("AKIA" + some(16, letters[:26]) for _ in range(60))]]
+    net = secret_scan.train(spark.createDataFrame([(i, t) for i, t in enumerate(base)], "doc_id long, text string").union(docs.select("doc_id", "text")))
+    secrets = {"base64": lambda: base64.b64encode(raw(30)).decode(), "prefixed": lambda: "ghp_" + some(36), "signed": lambda: ".".join((plain(27), plain(40), plain(32))), "mixed": lambda: some(28)}
+    harmless = {"address": lambda: "www." + ".".join(words(1)).lower() + ".example.com/" + "/".join(words(3)), "joined": lambda: "".join(words(5)), "hyphens": lambda: "-".join(words(5)), "path": lambda: "/usr/share/" + "/".join(words(3)) + ".txt"}
+    rows = [(k, f"{' '.join(words(8))} {f()} {' '.join(words(8))}") for k, f in (secrets | harmless).items() for _ in range(50)]
+    found = secret_scan.scan(spark.createDataFrame(rows, "kind string, text string"), net)
+    share = {r.kind: r.n / 50 for r in found.groupBy("kind").agg(F.sum((F.size("secrets") > 0).cast("int")).alias("n")).collect()}
+    assert all(share[k] >= 0.9 for k in secrets) and sum(share[k] for k in harmless) / len(harmless) <= 0.05, share
+    clean = secret_scan.scan(docs.select("doc_id", "text"), net).select(F.explode("secrets.kind").alias("k")).where("k = 'network'").count()
+    assert clean <= 2
+
+
+def test_recoded_values_are_candidates():
+    for i in range(200):
+        value = secret_scan.recoded(f"value{i}")
+        assert value == secret_scan.recoded(f"value{i}") and secret_scan.RUN.fullmatch(value)
+    assert secret_scan.restless("aB3dE5gH7jK9mN1p") and not secret_scan.restless("just-some-long-words/and/a/path")
+
+
+# texts of several MB
+
+
+def test_very_long_texts(spark, ranks):
+    import public_tokenizers
+
+    long = "ordinary words of a long line " * 150_000  # 4.5 MB
+    df = spark.createDataFrame([(1, long), (2, "short"), (3, None), (4, long + "end"), (5, "")], "doc_id long, text string")
+    coded = bpe.encode(df, "text", ranks, public_tokenizers.PATTERN)
+    back = {r.doc_id: bytes(r.bytes).decode() for r in bpe.decode(coded, "ids", ranks).select("doc_id", "bytes").collect()}
+    assert back == {1: long, 2: "short", 3: "", 4: long + "end", 5: ""}
+    net = secret_scan.scan(df.withColumn("text", F.concat("text", F.lit(" password=abcdef12"))), None)
+    assert {r.doc_id: len(r.secrets) for r in net.collect()} == {1: 1, 2: 1, 3: 0, 4: 1, 5: 1}
+    judged = quality_rules.judge(df, quality_rules.Field(np.zeros(quality_rules.FEATURES), np.zeros((2, 2)), 0.0))
+    assert {r.doc_id: r.n_words for r in judged.collect()} == {1: 900_000, 2: 1, 3: 0, 4: 900_001, 5: 0}
+    classes = {r.doc_id: r.component_id for r in minhash_dedup.near_documents(df).collect()}
+    assert classes[1] == classes[4] == 1 and classes[2] == 2
+
+
+def test_document_frequencies_of_many_tasks(spark, docs):
+    one = minhash_dedup.document_frequencies(docs.coalesce(1))
+    many = minhash_dedup.document_frequencies(docs.repartition(37))
+    assert one[1] == many[1] == docs.count() and (one[0] == many[0]).all() and one[0].sum() > 0
