@@ -17,10 +17,10 @@ from cairn.llm.common import parts
 NONE = np.int64(-1)
 
 
-def read_ranks(spark, path: str) -> dict[bytes, int]:
-    """Ranks of a vocabulary file with lines ``<base64 of the bytes> <rank>``."""
-    lines = (r.value for r in spark.read.text(path).collect() if r.value.strip())
-    return {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines)}
+def read_ranks(path: str) -> dict[bytes, int]:
+    """Ranks of a vocabulary file on the driver with lines ``<base64 of the bytes> <rank>``."""
+    with open(path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
 
 
 class Merger:

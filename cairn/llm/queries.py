@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +20,7 @@ def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranks = bpe.read_ranks(spark, "file://" + public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     coded = bpe.encode(docs, "text", ranks, public_tokenizers.PATTERN).select("doc_id", "ids")
     return bpe.decode(coded, "ids", ranks).select(
@@ -79,12 +81,8 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(docs, field).drop("text")
 
 
-def tokenizer_json(spark: SparkSession) -> str:
-    return "\n".join(r.value for r in spark.read.text("file://" + public_tokenizers.path("word_bpe_49k.json"), wholetext=True).collect())
-
-
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), tokenizer_json(spark)))
+    return packing.pack(packing.pieces(table(spark, sf_dir, "documents"), Path(public_tokenizers.path("word_bpe_49k.json")).read_text()))
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,4 +24,4 @@ def odd(spark):
 def ranks(spark):
     from cairn.llm import bpe
 
-    return bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
