@@ -7,6 +7,7 @@ Rows without a doc_id pass the stages that compare documents unchanged; null and
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -48,8 +49,7 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' token pieces, each with its place in a sequence."""
-    file = spark.read.text("file://" + public_tokenizers.path("word_bpe_49k.json"), wholetext=True)
-    return packing.pack(packing.pieces(docs, "\n".join(r.value for r in file.collect())))
+    return packing.pack(packing.pieces(docs, Path(public_tokenizers.path("word_bpe_49k.json")).read_text()))
 
 
 def _counted(docs: DataFrame) -> DataFrame:
