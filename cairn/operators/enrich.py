@@ -157,6 +157,15 @@ def choose_listing(seeds: DataFrame, versioning: DataFrame, key: str, force: boo
     return seeds.join(status, key, "left").withColumn("versions", test).drop("status")
 
 
+def union_ids(columns: dict[str, DataFrame], out: str = "id") -> DataFrame:
+    """The different values of columns (by name, each of its table) that aren't null, by one shuffle of what differs in each task."""
+    made = None
+    for name, df in columns.items():
+        one = df.select(F.col(name).alias(out)).where(F.col(out).isNotNull())
+        made = one if made is None else made.union(one)
+    return made.distinct()
+
+
 def findings_diff(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct findings of two snapshots with ``state``: opened, resolved or open."""
     old, new = before.select(*keys).distinct().withColumn("__old", F.lit(True)), after.select(*keys).distinct().withColumn("__new", F.lit(True))

@@ -135,12 +135,20 @@ def a9_run_stats(t: Tables) -> DataFrame:
     return logs.run_stats(t("events").select(F.get(kinds, (F.col("event_id") % 6).cast("int")).alias("kind"), (F.col("event_type") == "error").alias("failed")))
 
 
-@query("SELECT 'customer' AS type, count(*) AS n FROM customer UNION ALL SELECT 'parameter', count(*) FROM part")
+@query("""SELECT 'customer' AS type, count(*) AS n FROM customer UNION ALL SELECT 'parameter', count(*) FROM part UNION ALL SELECT 'object', count(*) FROM events
+    UNION ALL SELECT kind, count(*) FROM $VER GROUP BY 1 UNION ALL SELECT CASE WHEN o_orderstatus = 'F' THEN 'closed' ELSE 'order' END, count(*) FROM orders GROUP BY 1
+    UNION ALL SELECT 'profile', count(*) FROM supplier""")
 def a10_count_by_type(t: Tables) -> DataFrame:
+    """Over all inventories: full and lean envelopes, versions and markers, two types in one table."""
     from cairn.operators import shape
     from cairn.plans.records import RESOURCE
 
-    return logs.count_by_type([shape.with_envelope(t("RES"), RESOURCE).select("meta"), shape.shape_parameters(t("PAR")).select("meta")])
+    kinds = lambda df, kind: df.select(F.struct(kind.alias("type")).alias("meta"))
+    orders = [shape.with_envelope(t("orders").where(f"(o_orderstatus = 'F') = {closed}"), shape.Shape(kind, id="o_orderkey")).select("meta") for kind, closed in (("closed", "true"), ("order", "false"))]
+    return logs.count_by_type([
+        shape.with_envelope(t("RES"), RESOURCE).select("meta"), shape.shape_parameters(t("PAR")).select("meta"), keyspace.lean_objects(t("OBJ")).select("meta"),
+        kinds(t("VER"), F.col("kind")), *orders, shape.with_envelope(t("SESS"), shape.Shape("profile", id="profile")).select("meta"),
+    ])
 
 
 @query(f"SELECT upper(substr(member, 1, 1)) || lower(substr(member, 2)) AS key, count(*) FILTER (member IN {IN_KEYS}) AS exact, count(*) FILTER (member NOT IN {IN_KEYS}) AS near, count(DISTINCT service) AS services FROM $MODEL WHERE member <> 'Other' GROUP BY 1")
@@ -402,10 +410,10 @@ def j15_c2_reuse_snapshot(t: Tables) -> DataFrame:
     return snapshots.reuse_snapshot(requests, t("orders").select(F.col("o_custkey").alias("key"), secs(F.col("o_orderdate")).alias("created")), 8640000)
 
 
-@query("SELECT count(DISTINCT (o_custkey, o_orderstatus, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END)) AS keys, 32 AS width FROM orders")
+@query("""SELECT o_orderkey, substr(sha256(concat('{"o_custkey":', o_custkey, ',"o_orderstatus":"', o_orderstatus, '","p":', CASE WHEN o_orderkey % 2 = 0 THEN concat('"', o_orderpriority, '"') ELSE 'null' END, '}')), 1, 32) AS key FROM orders""")
 def c1_snapshot_key(t: Tables) -> DataFrame:
     key = snapshots.snapshot_key(F.col("o_custkey"), F.col("o_orderstatus"), F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")).alias("p"))
-    return t("orders").select(key.alias("k")).agg(F.countDistinct("k").alias("keys"), F.max(F.length("k")).alias("width"))
+    return t("orders").select("o_orderkey", key.alias("key"))
 
 
 @query("SELECT o_orderkey FROM orders WHERE epoch(o_orderdate) + 86400 > epoch(TIMESTAMP '1999-01-01')")

@@ -170,11 +170,17 @@ def n8_id_from_arn(t: Tables) -> DataFrame:
     return t("customer").select("c_custkey", expr.id_from_arn(arn).alias("id"), expr.id_from_arn(F.col("c_name")).alias("none"))
 
 
-@query("SELECT event_id, (event_id % 2)::INT + 1 AS n FROM events")
+_PAGE = """CASE event_id % 4 WHEN 0 THEN '{"Things":[' || event_id || ',{"k":2}],"Next":"[9]"}' WHEN 1 THEN '{"A":[' || event_id || '],"B":[2]}' WHEN 2 THEN '{"Only":' || props || '}' ELSE '{"None":[],"Size":' || user_id || '}' END"""
+
+
+def _listed(t: Tables) -> DataFrame:
+    """Pages with one list, two, none, and an empty one."""
+    return t("events").select("event_id", F.parse_json(F.expr(_PAGE)).alias("page"))
+
+
+@query(f"""SELECT event_id, item FROM (SELECT event_id, CASE event_id % 4 WHEN 0 THEN [event_id || '', '{{"k":2}}'] WHEN 1 THEN ['{{"A":[' || event_id || '],"B":[2]}}'] WHEN 2 THEN ['{{"Only":' || replace(props, ' ', '') || '}}'] ELSE [] END AS items FROM events), unnest(items) u(item)""")
 def n12_unwrap_variant(t: Tables) -> DataFrame:
-    page = F.when(F.col("event_id") % 2 == 1, F.lit('{"Things":[1,2],"Next":"[9]"}')).otherwise(F.lit('{"A":[1],"B":[2]}'))
-    df = t("events").select("event_id", F.parse_json(page).alias("page"))
-    return shape.unwrap_variant(df, "page", "event_id").groupBy("event_id").agg(F.count("*").cast("int").alias("n"))
+    return shape.unwrap_variant(_listed(t), "page", "event_id").select("event_id", F.to_json("item").alias("item"))
 
 
 @query("SELECT o_custkey AS customer, l_orderkey AS \"order\", l_linenumber AS line FROM lineitem JOIN orders ON l_orderkey = o_orderkey")
@@ -232,10 +238,9 @@ def n22_route_flat(t: Tables) -> DataFrame:
     return shape.route_session(flat).select("Id", "profile", "region")
 
 
-@query("SELECT event_id, CASE WHEN event_id % 2 = 1 THEN 3 END AS n FROM events")
+@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN 2 WHEN 1 THEN 2 WHEN 3 THEN 0 END AS n FROM events")
 def n24_page_items(t: Tables) -> DataFrame:
-    page = F.when(F.col("event_id") % 2 == 1, F.lit('{"A":[1,2],"B":[{"x":1}],"C":"[1,2,3]"}')).otherwise(F.lit('{"C":"[1,2,3]"}'))
-    return t("events").select("event_id", shape.page_items(F.parse_json(page)).alias("n"))
+    return _listed(t).select("event_id", shape.page_items(F.col("page")).alias("n"))
 
 
 @query("SELECT Name AS id, Type AS kind, Version AS version FROM $PAR")
@@ -371,10 +376,16 @@ def j18_lint_configs(t: Tables) -> DataFrame:
     return enrich.lint_configs(m.select("service", "operation", F.col("member").alias("root")), pairings, m)
 
 
-@query("""WITH n AS (SELECT DISTINCT member FROM $MODEL) SELECT event_id, CASE WHEN event_id % 2 = 0 THEN 'Name' ELSE 'ARN' END AS matched FROM events""")
+_SAID = "CASE event_id % 4 WHEN 0 THEN member WHEN 1 THEN upper(member) WHEN 2 THEN lower(member) ELSE concat(member, '?') END"
+
+
+@query(f"""WITH n AS (SELECT DISTINCT member FROM $MODEL), s AS (SELECT event_id, {_SAID} AS name FROM (SELECT event_id, ['Type','type','Id','ID','Name','name','Arn','ARN','Tags','Other'][event_id % 10 + 1] AS member FROM events))
+    SELECT event_id, name, coalesce((SELECT any_value(member) FROM n WHERE member = name), (SELECT min(member) FROM n WHERE lower(member) = lower(name))) AS matched FROM s""")
 def j19_match_ci(t: Tables) -> DataFrame:
-    rows = t("events").select("event_id", F.when(F.col("event_id") % 2 == 0, "Name").otherwise("aRN").alias("name"))
-    return enrich.match_ci(rows, t("MODEL").select("member").distinct(), "name", "member").select("event_id", "matched")
+    """Names as they are in the model, in capitals, in small letters, and unknown ones."""
+    member = F.get(F.array(*map(F.lit, ("Type", "type", "Id", "ID", "Name", "name", "Arn", "ARN", "Tags", "Other"))), (F.col("event_id") % 10).cast("int"))
+    rows = t("events").withColumn("member", member).select("event_id", F.expr(_SAID).alias("name"))
+    return enrich.match_ci(rows, t("MODEL").select("member").distinct(), "name", "member")
 
 
 @query("SELECT doc_id, coalesce(quality = 1, false) AS versions FROM documents LEFT JOIN labels USING (doc_id)")
@@ -395,9 +406,9 @@ def w5_batches(t: Tables) -> DataFrame:
     return b.select("c_nationkey", "batch", F.size("ids").cast("long").alias("n"), F.array_min("ids").alias("low"), F.array_max("ids").alias("high"))
 
 
-@query("SELECT o_custkey AS id FROM orders UNION SELECT c_custkey FROM customer")
+@query("SELECT o_custkey AS id FROM orders UNION SELECT c_custkey FROM customer UNION SELECT s_suppkey FROM supplier")
 def u1_union_ids(t: Tables) -> DataFrame:
-    return t("orders").select(F.col("o_custkey").alias("id")).union(t("customer").select("c_custkey")).distinct()
+    return enrich.union_ids({"o_custkey": t("orders"), "c_custkey": t("customer"), "s_suppkey": t("supplier")})
 
 
 @query("""WITH a AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderdate < TIMESTAMP '1996-01-01'), b AS (SELECT DISTINCT o_custkey AS k FROM orders WHERE o_orderdate >= TIMESTAMP '2000-06-01')
