@@ -66,12 +66,17 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents, the result of each written to the shared folder as Parquet and read again."""
+    """All stages over the documents, the result of each written to the shared folder as Parquet and read again; it goes when
+    the next one is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    where = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}"
+    where, before = f"{shared_folder(spark)}/corpus-{uuid.uuid4().hex}", None
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{where}/{name}")
         docs = spark.read.parquet(f"{where}/{name}")
+        if before:
+            at = spark._jvm.org.apache.hadoop.fs.Path(f"{where}/{before}")
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        before = name
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
