@@ -198,14 +198,16 @@ def fold_words(words: DataFrame, word_col: str, ranks: dict[bytes, int], buckets
     def rank(piece: Column) -> Column:
         return F.coalesce(F.try_element_at(F.get(literal, (F.crc32(piece) % buckets).cast("int")), F.lower(F.hex(piece))), none)
 
-    def merge(p: Column) -> Column:
-        n = F.size(p)
+    def merge(s: Column) -> Column:
+        p, n = s["p"], F.size(s["p"])
         pairs = F.transform(F.slice(p, 1, F.greatest(n - 1, F.lit(0))), lambda x, i: F.struct(rank(F.concat(x, F.get(p, i + 1))).alias("r"), i.alias("i")))
-        best = F.transform(F.array(F.array_min(pairs)), lambda b: F.when(b.isNull() | (b.r >= none), p).otherwise(
-            F.concat(F.slice(p, 1, b.i), F.array(F.concat(F.get(p, b.i), F.get(p, b.i + 1))), F.slice(p, b.i + 3, n))))
-        return F.get(best, 0)
+        best = F.transform(F.array(F.array_min(pairs)), lambda b: F.when(b.isNull() | (b.r >= none), F.struct(p.alias("p"), F.lit(False).alias("more"))).otherwise(
+            F.struct(F.concat(F.slice(p, 1, b.i), F.array(F.concat(F.get(p, b.i), F.get(p, b.i + 1))), F.slice(p, b.i + 3, n)).alias("p"), F.lit(True).alias("more"))))
+        return F.when(s["more"], F.get(best, 0)).otherwise(s)  # once nothing merges, nothing is looked up any more
 
     raw = F.encode(F.col(word_col), "utf-8")
     start = F.when(F.octet_length(raw) > 0, F.transform(F.sequence(F.lit(1), F.greatest(F.octet_length(raw), F.lit(1))), lambda i: F.substring(raw, i, F.lit(1)))).otherwise(F.array().cast("array<binary>"))
-    pieces = F.aggregate(F.sequence(F.lit(1), F.greatest(F.octet_length(raw), F.lit(1))), start, lambda p, _: merge(p))
-    return words.withColumn("ids", F.transform(pieces, rank))
+    first = F.struct(start.alias("p"), F.lit(True).alias("more"))
+    pieces = F.aggregate(F.sequence(F.lit(1), F.greatest(F.octet_length(raw), F.lit(1))), first, lambda s, _: merge(s), lambda s: s["p"])
+    whole = rank(raw)
+    return words.withColumn("ids", F.when(whole < none, F.array(whole)).otherwise(F.transform(pieces, rank)))
