@@ -274,3 +274,41 @@ def test_document_frequencies_of_many_tasks(spark, docs):
     one = minhash_dedup.document_frequencies(docs.coalesce(1))
     many = minhash_dedup.document_frequencies(docs.repartition(37))
     assert one[1] == many[1] == docs.count() and (one[0] == many[0]).all() and one[0].sum() > 0
+
+
+# recall of near copies by weighted similarity, toxicity from end to end
+
+
+def test_weighted_near_copies_are_found(spark):
+    g = random.Random(11)
+    word = lambda: "".join(g.choices("abcdefghijklmnopqrstuvwxyz", k=7))
+    rows, pairs = [], []
+    for k in range(260):
+        words = [word() for _ in range(g.choice([60, 150, 400]))]
+        other = list(words)
+        for _ in range(g.randint(0, max(1, len(words) // 30))):
+            other[g.randrange(len(other))] = word()
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(other))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    weights = minhash_dedup.idf(*minhash_dedup.document_frequencies(df))
+    bags = []
+    for _, t in rows:
+        hashes, _ = minhash_dedup.Words([t]).shingles(5)
+        keys, counts = np.unique(hashes, return_counts=True)
+        bags.append(dict(zip(keys.tolist(), (counts * weights[(keys & np.uint64(minhash_dedup.WIDTH - 1)).astype(np.intp)]).tolist(), strict=True)))
+    for k in range(260):
+        a, b = bags[2 * k], bags[2 * k + 1]
+        pairs.append(sum(min(a[x], b[x]) for x in a.keys() & b.keys()) / sum(max(a.get(x, 0), b.get(x, 0)) for x in a.keys() | b.keys()))
+    component = {r.doc_id: r.component_id for r in minhash_dedup.near_documents(df).collect()}
+    linked = [component[2 * k + 1] == 2 * k for k in range(260)]
+    near = [y for x, y in zip(pairs, linked, strict=True) if x >= 0.801]
+    assert len(near) > 80 and sum(near) >= 0.97 * len(near)
+    assert not any(y for x, y in zip(pairs, linked, strict=True) if x < 0.799) and sum(x < 0.799 for x in pairs) > 40
+
+
+def test_toxicity_of_held_out_documents(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic")
+    rows = QUERIES["op3_toxicity"](spark, sf_dir).where("held_out").join(labels, "doc_id").collect()
+    toxic, clean = [r.predicted for r in rows if r.toxic == 1], [r.predicted for r in rows if r.toxic == 0]
+    assert len(toxic) > 5 and sum(toxic) >= 0.5 * len(toxic) and sum(clean) <= 0.06 * len(clean)
