@@ -115,6 +115,16 @@ def k1_write_jsonl(t: Tables) -> DataFrame:
     return lines.read_jsonl(t.spark, path, "event_id long, ts string").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
+@query("""SELECT k AS kind, CASE k WHEN 'lines' THEN count(*) WHEN 'failed' THEN count(*) FILTER (Outcome = 'error') ELSE count(*) FILTER (Attempts > 1) END AS n, count(*) AS written
+    FROM $LOG, (VALUES ('lines'), ('failed'), ('retried')) v(k) GROUP BY k""")
+def a9_counted_write(t: Tables) -> DataFrame:
+    """Run counters taken while the run is written, beside what is read back."""
+    path, log = _folder(t), t("LOG").drop("event_id")
+    counts = sinks.write_counted(log, path, {"failed": F.col("Outcome") == "error", "retried": F.col("Attempts") > 1})
+    kinds = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), F.lit(n).cast("long").alias("n")) for k, n in counts.items())))
+    return lines.read_call_log(t.spark, path).agg(F.count("*").alias("written")).select(kinds.alias("k"), "written").select("k.*", "written")
+
+
 @query("SELECT p_name AS name, count(*) AS n FROM part GROUP BY p_name")
 def k2_write_values(t: Tables) -> DataFrame:
     path = _folder(t)

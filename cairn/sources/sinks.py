@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import functions as F
 
 from cairn.sources import store
 
@@ -17,6 +18,14 @@ def write_jsonl(df: DataFrame, path: str, compression: str = "none", mode: str =
     df.write.mode(mode).options(**TIMES).option("compression", compression).json(path)
 
 
+def write_counted(df: DataFrame, path: str, kinds: dict[str, Column], mode: str = "error") -> dict[str, int]:
+    """As ``write_jsonl``; gives the rows for which each condition holds, and ``lines``, counted by the job that writes them."""
+    seen = Observation()
+    counts = (F.count(F.when(test, 1)).alias(name) for name, test in kinds.items())
+    write_jsonl(df.observe(seen, F.count(F.lit(1)).alias("lines"), *counts), path, mode=mode)
+    return seen.get
+
+
 def write_values(df: DataFrame, column: str, path: str, mode: str = "error") -> None:
     """One column's values, a line each."""
     df.select(df[column].cast("string").alias("value")).where("value is not null").write.mode(mode).text(path)
