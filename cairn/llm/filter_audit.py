@@ -144,8 +144,8 @@ def update(spark: SparkSession, path: str, labels: DataFrame, folder: str, id_:
         spark.range(1).select(F.lit(max(1, -(-docs.count() // TOGETHER))).alias("buckets")).write.json(f"{folder}/settings")
         spark.createDataFrame([], COUNTERS).write.parquet(f"{folder}/counters/batch=-1")
     buckets = spark.read.schema("buckets int").json(f"{folder}/settings").collect()[0].buckets
-    per_batch = max(1, -(-len(docs.inputFiles()) // BATCHES))
     fs, where = _path(spark, path)
+    per_batch = max(1, -(-fs.getContentSummary(where).getFileCount() // BATCHES))
     # a stream's path must be a folder or a pattern
     source = f"{path[:-1]}[{path[-1]}]" if fs.getFileStatus(where).isFile() else path
     rows = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", per_batch).parquet(source)
