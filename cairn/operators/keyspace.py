@@ -171,13 +171,25 @@ def alphabet(scheme: str) -> list[str]:
     return out
 
 
+def fixed_bounds(scheme: str, prefix: str = "", start_after: str = "", end_at: str = "") -> list[str]:
+    """The scheme's bounds below ``prefix`` that lie inside the slice."""
+    return [b for b in (prefix + a for a in alphabet(scheme)) if b > start_after and (not end_at or b < end_at)]
+
+
 def fixed_split(spark: SparkSession, bucket: str, scheme: str, prefix: str = "", start_after: str = "", end_at: str = "") -> DataFrame:
     """One slice cut at the scheme's bounds below ``prefix``."""
-    inside = [b for b in (prefix + a for a in alphabet(scheme)) if b > start_after and (not end_at or b < end_at)]
+    inside = fixed_bounds(scheme, prefix, start_after, end_at)
     ends = [*inside, end_at]
     return spark.createDataFrame([(bucket, a, b) for a, b in zip([start_after, *inside], ends, strict=True)], "Bucket string, start_after string, end_at string")
 
 
+def fixed_split_all(buckets: DataFrame, scheme: str, prefix: str = "", start_after: str = "", end_at: str = "") -> DataFrame:
+    """The same slice of every row's Bucket cut at the scheme's bounds: a literal list of them, 4,096 at most."""
+    inside = fixed_bounds(scheme, prefix, start_after, end_at)
+    starts, ends = (F.split(F.lit("\n".join(x)), "\n", -1) for x in ([start_after, *inside], [*inside, end_at]))
+    return buckets.select("Bucket", F.inline(F.arrays_zip(starts.alias("start_after"), ends.alias("end_at"))))
+
+
 def assign_slices(objects: DataFrame, slices: DataFrame, few: int = FEW_BOUNDS) -> DataFrame:
     """``objects`` with the start_after and end_at of the slice that holds them; keys in none are left out.
 

@@ -248,8 +248,7 @@ def o7_radix_split(t: Tables) -> DataFrame:
     s AS (SELECT coalesce(lag(b) OVER (ORDER BY b), '') AS start_after, b AS end_at FROM b UNION ALL SELECT max(b), '' FROM b)
     SELECT Bucket, start_after, end_at, count(*) AS n FROM $OBJ JOIN s ON Key > start_after AND (end_at = '' OR Key <= end_at) GROUP BY ALL""")
 def o8_fixed_split(t: Tables) -> DataFrame:
-    buckets = t("OBJ").select("Bucket").distinct()
-    slices = keyspace.fixed_split(t.spark, "any", "hex2", "2024/01/05/").drop("Bucket").withColumn("k", F.lit(1)).join(buckets.withColumn("k", F.lit(1)), "k").select("Bucket", "start_after", "end_at")
+    slices = keyspace.fixed_split_all(t("OBJ").select("Bucket").distinct(), "hex2", "2024/01/05/")
     return keyspace.slice_counts(t("OBJ"), slices)
 
 
@@ -320,7 +319,7 @@ def o11_listing_cost(t: Tables) -> DataFrame:
 
 @query("SELECT Bucket, count(*) AS n, true AS gapless FROM $OBJ GROUP BY 1")
 def o12_split_with(t: Tables) -> DataFrame:
-    slices = keyspace.split_with(t("OBJ"), lambda o: keyspace.even_bounds(o, 16)).persist()
+    slices = cut(keyspace.split_with(t("OBJ"), lambda o: keyspace.even_bounds(o, 16)))
     gaps = keyspace.check_partition(slices).select("Bucket").distinct().withColumn("gap", F.lit(True))
     return keyspace.slice_counts(t("OBJ"), slices).groupBy("Bucket").agg(F.sum("n").alias("n")).join(gaps, "Bucket", "left").select("Bucket", "n", F.col("gap").isNull().alias("gapless"))
 

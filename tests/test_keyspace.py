@@ -87,3 +87,12 @@ def test_seeds(spark):
     assert [r.Delimiters for r in keyspace.to_seeds(df, ("|",))[0].collect()] == [["|"], [], ["|"], ["/", "/"], ["|"], ["|"]]
     more = spark.createDataFrame([("b", "true", "v")], "Bucket string, Versions string, VersionAfter string")
     assert tuple(keyspace.to_seeds(more)[0].first())[-2:] == (True, "v")
+
+
+def test_fixed_splits_of_all_buckets(spark):
+    buckets = spark.createDataFrame([("a",), ("b",)], "Bucket string")
+    for scheme, n in (("hex2", 257), ("hex3", 4097), ("none", 1)):
+        every = keyspace.fixed_split_all(buckets, scheme, "p/", "p/1", "")
+        for name in ("a", "b"):
+            assert sorted(map(tuple, every.where(f"Bucket = '{name}'").collect())) == sorted(map(tuple, keyspace.fixed_split(spark, name, scheme, "p/", "p/1").collect()))
+        assert scheme != "none" or every.count() == 2 * n
