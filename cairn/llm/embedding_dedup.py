@@ -25,6 +25,13 @@ def planes(dim: int, bits: int, tables: int, seed: int) -> np.ndarray:
     return np.random.default_rng([seed, dim]).standard_normal((dim, tables * bits))
 
 
+def unit(v: np.ndarray) -> np.ndarray:
+    """Rows as doubles of length 1."""
+    v = v.astype(np.float64)
+    v = v / np.abs(v).max(1)[:, None]
+    return v / np.linalg.norm(v, axis=1)[:, None]
+
+
 def codes(unit: np.ndarray, normals: np.ndarray, bits: int) -> np.ndarray:
     """Hash of each vector in each table, the bits of a table packed in one integer."""
     signs = (unit @ normals >= 0).reshape(len(unit), -1, bits)
@@ -42,7 +49,8 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
     over ``chunk`` classes are compared by pairs of chunks, each in a task of its own.
     """
     spark = df.sparkSession
-    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v")).where("vec_id is not null")
+    kind = df.schema[vector_col].dataType.simpleString()  # floats stay floats while they are moved
+    rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast(kind if kind == "array<float>" else "array<double>").alias("v")).where("vec_id is not null")
     rows = rows.groupBy("vec_id").agg(F.min("v").alias("v"))
     fit = F.coalesce(F.size("v") > 0, F.lit(False)) & F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))) & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("v", F.when(F.coalesce(fit, F.lit(False)), F.col("v"))).withColumns({"k1": F.xxhash64("v"), "k2": F.xxhash64(F.lit(seed), F.col("v"))})
@@ -59,16 +67,11 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
             starts = starts - starts[0]
             for dim in np.unique(sizes):
                 at = np.flatnonzero(sizes == dim)
-                v = flat[starts[at][:, None] + np.arange(dim)]
-                v = v / np.abs(v).max(1)[:, None]
-                v /= np.linalg.norm(v, axis=1)[:, None]
-                c = codes(v, planes(dim, bits, tables, seed), bits)
-                raw = v.tobytes()
-                blobs = pa.array([raw[i * 8 * dim : (i + 1) * 8 * dim] for i in range(len(at))], pa.binary())
+                c = codes(unit(flat[starts[at][:, None] + np.arange(dim)]), planes(dim, bits, tables, seed), bits)
                 for t in range(tables):
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t, np.int32)), pa.array(np.full(len(at), dim, np.int32)), pa.array(c[:, t]), pa.array(rep[at]), pa.array(n[at]), blobs], ["t", "dim", "code", "rep", "n", "v"])
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t, np.int32)), pa.array(np.full(len(at), dim, np.int32)), pa.array(c[:, t]), pa.array(rep[at]), pa.array(n[at])], ["t", "dim", "code", "rep", "n"])
 
-    hashes = classes.select("rep", "n", "v").mapInArrow(hashed, "t int, dim int, code long, rep long, n long, v binary")
+    hashes = classes.select("rep", "n", "v").mapInArrow(hashed, "t int, dim int, code long, rep long, n long")
     sizes = hashes.groupBy("t", "dim", "code").agg(F.count("*").alias("size")).where("size > 1")
     pieces = F.ceil(F.col("size") / chunk).cast("int")
     dealt = (
@@ -78,7 +81,8 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
         .withColumns({"lo": F.least("mine", "other"), "hi": F.greatest("mine", "other")})
     )
     keys = ["t", "dim", "code", "lo", "hi"]
-    dealt = dealt.select(*keys, "mine", "rep", "n", "v").repartition(partitions(spark), *keys).sortWithinPartitions(*keys)
+    # vectors come to the rows that are left, and then move once
+    dealt = dealt.select(*keys, "mine", "rep", "n").join(classes.select("rep", "v"), "rep").repartition(partitions(spark), *keys).sortWithinPartitions(*keys)
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, keys):
@@ -86,12 +90,13 @@ def near_vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embed
             ends = [*changes(table, keys), table.num_rows]
             out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
             col = {k: table.column(k).to_numpy() for k in (*keys, "mine", "rep", "n")}
-            blobs = table.column("v").to_pylist()
+            lists = table.column("v").combine_chunks()
+            flat, starts = lists.values.to_numpy(), lists.offsets.to_numpy()
             for x, y in zip(ends[:-1], ends[1:], strict=True):
                 if y - x < 2:
                     continue
                 t, dim = int(col["t"][x]), int(col["dim"][x])
-                v = np.frombuffer(b"".join(blobs[x:y]), np.float64).reshape(-1, dim)
+                v = unit(flat[starts[x] : starts[y]].reshape(-1, dim))
                 rep, n, mine = col["rep"][x:y], col["n"][x:y], col["mine"][x:y]
                 linked = v @ v.T >= threshold
                 np.fill_diagonal(linked, False)
