@@ -296,7 +296,11 @@ def test_network_learns_from_the_findings_of_all_documents(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     seen = []
     monkeypatch.setattr(secret_scan, "fit", lambda shown, y: seen.append((shown, y)) or "net")
-    assert secret_scan.train(df) == "net" and seen[0][1].sum() == 20 and len(seen[0][1]) == 20 + secret_scan.SAMPLE
+    assert secret_scan.train(df) == "net" and (seen[0][1] == 0).sum() == secret_scan.SAMPLE
+    taught = [w[1] for w, y in zip(*seen[0], strict=True) if y]
+    values = {t.split()[2] for i, t in rows if i % 1500 == 7}
+    recoded = {w[1] for v in values for x in [secret_scan.recoded(v)] for w in secret_scan.windows(x, 0, len(x))}
+    assert len(values) == 20 and set(taught) == values | recoded and len(taught) == len(set(taught))
     secret_scan.train(df.repartition(3, "text"))
     assert seen[0][0] == seen[1][0]  # the sample doesn't depend on the partitions
     monkeypatch.undo()
