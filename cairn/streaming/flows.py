@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -78,7 +79,8 @@ def latest_values_stream(log: DataFrame, ttl: float) -> DataFrame:
     old by then; empty keys and values don't count, and of equal times the greater value does. State is one value a key, and goes when it expires.
     """
     rows = log.where("key <> '' and value <> '' and ts is not null").select("key", "value", "ts", F.timestamp_millis(F.floor(F.col("ts") * 1000).cast("long")).alias("at"))
-    rows = rows.withWatermark("at", f"{int(ttl * 1000)} milliseconds")  # older ones are left out before they come here
+    # older ones are left out before they come here; Spark leaves out those at the watermark too, so it stands behind the oldest that counts
+    rows = rows.withWatermark("at", f"{math.ceil(ttl * 1000) + 1} milliseconds")
     return rows.groupBy("key").applyInPandasWithState(_newest, "key string, value string, ts double, gone boolean", "value string, ts double", "update", GroupStateTimeout.EventTimeTimeout)
 
 
@@ -94,7 +96,7 @@ def _newest(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> It
         top = max(zip(f["ts"].tolist(), f["value"].tolist(), strict=True), default=best)
         best = top if best is None or (top is not None and top > best) else best
     state.update((best[1], best[0]))
-    state.setTimeoutTimestamp(max(int(best[0] * 1000), state.getCurrentWatermarkMs() + 1))
+    state.setTimeoutTimestamp(max(math.floor(best[0] * 1000) - 1, state.getCurrentWatermarkMs() + 1))
     if best != had:
         yield pd.DataFrame([(key[0], best[1], best[0], False)], columns=["key", "value", "ts", "gone"])
 

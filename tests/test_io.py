@@ -207,6 +207,17 @@ def test_latest_values_expire_in_the_stream(spark, tmp_path):
     assert runs[-1] > 0  # state of keys that no longer come is given up
 
 
+def test_a_late_value_as_old_as_the_ttl_counts(spark, tmp_path):
+    steps = ([("a", "new", 1000.0)], [("b", "edge", 750.0), ("c", "old", 749.999), ("a", "late", 750.0)], [("d", "next", 1000.002)])
+    for i, step in enumerate(steps):
+        spark.createDataFrame(step, "key string, value string, ts double").coalesce(1).write.mode("append").json(f"{tmp_path}/in")
+        stream = spark.readStream.schema("key string, value string, ts double").json(f"{tmp_path}/in")
+        flows.keep_changes(flows.latest_values_stream(stream, 250), f"{tmp_path}/out", f"{tmp_path}/state").awaitTermination()
+        kept = {r.key: r.value for r in flows.kept_values(spark, f"{tmp_path}/out", 250).collect()}
+        assert kept == ({"a": "new"}, {"a": "new", "b": "edge"}, {"a": "new", "d": "next"})[i]
+    assert spark.read.parquet(f"{tmp_path}/out").where("gone").select("key").first().key == "b"
+
+
 def test_sampled_bounds_and_digests(spark):
     g = random.Random(3)
     keys = [f"{g.choice('abcd')}/{g.getrandbits(40):x}" for _ in range(6000)]
