@@ -51,18 +51,30 @@ def s2_load_inventory(t: Tables) -> DataFrame:
     return report.join(counts, "table", "left")
 
 
+#: Objects that a listing page holds at most.
+PAGE = 1000
+
+
 def _page_store(objects: DataFrame) -> DataFrame:
-    """Listing pages in XML, one a bucket and day, with their least and greatest keys."""
+    """Listing pages in XML, each of at most PAGE objects of a bucket that follow one another, with their least and greatest keys; in key
+    order, as scanners write them."""
     one = F.struct("Key", F.concat(F.lit("<Contents><Key>"), F.replace("Key", F.lit("/"), F.lit("%2F")), F.lit("</Key><Size>"), F.col("Size").cast("string"), F.lit("</Size></Contents>")).alias("xml"))
     body = F.concat(F.lit('<ListBucketResult xmlns="http://example.com/doc/"><Name>b</Name>'), F.array_join(F.sort_array(F.collect_list(one))["xml"], ""), F.lit("</ListBucketResult>"))
-    return objects.groupBy("Bucket", F.substring("Key", 1, 10).alias("day")).agg(F.min("Key").alias("first"), F.max("Key").alias("last"), body.alias("body")).drop("day")
+    ranked = keyspace.with_rank(objects, "Bucket", "Key").withColumn("page", F.floor((F.col("rank") - 1) / PAGE))
+    pages = ranked.groupBy("Bucket", "page").agg(F.min("Key").alias("first"), F.max("Key").alias("last"), body.alias("body")).drop("page")
+    return pages.repartitionByRange("Bucket", "first").sortWithinPartitions("Bucket", "first")
+
+
+def _write_pages(objects: DataFrame, path: str) -> None:
+    """Row groups of some 8 MB, so that a reader of a few pages passes the others over."""
+    _page_store(objects).write.mode("append").option("parquet.block.size", 8 << 20).parquet(path)
 
 
 @query("SELECT Bucket, Key, Size FROM $OBJ WHERE Key >= '2024/01/05' AND Key < '2024/01/20/8' AND Bucket <> 'b-view'")
 def s5_listing_source(t: Tables) -> DataFrame:
     """Pages outside the key range are passed over; three seeds cut a bucket."""
     path = _folder(t)
-    _page_store(t("OBJ")).write.parquet(path)
+    _write_pages(t("OBJ"), path)
     cuts = F.explode(F.array(*(F.struct(F.lit(a).alias("StartAfter"), F.lit(b).alias("EndAt")) for a, b in (("", "2024/01/07/7"), ("2024/01/07/7", "2024/01/18"), ("2024/01/18", "")))))
     seeds = t("OBJ").where("Bucket <> 'b-view'").select("Bucket").distinct().select("Bucket", cuts.alias("s")).select("Bucket", "s.*")
     return listing_source.read_listing(t.spark, path, seeds).where("Key >= '2024/01/05' and Key < '2024/01/20/8'").select("Bucket", "Key", "Size")
@@ -73,7 +85,7 @@ def s5_listing_stream(t: Tables) -> DataFrame:
     """A scan that is stopped and goes on: each object comes once."""
     path = _folder(t)
     for part in ("Key < '2024/01/11'", "Key >= '2024/01/11'"):
-        _page_store(t("OBJ").where(part)).write.mode("append").parquet(f"{path}/pages")
+        _write_pages(t("OBJ").where(part), f"{path}/pages")
         stream = listing_source.read_listing_stream(t.spark, f"{path}/pages")
         _finished(flows.write_stream(stream, f"{path}/out", f"{path}/state"))
     return t.spark.read.schema("Bucket string, Key string, Size long").json(f"{path}/out").groupBy("Bucket", "Key", "Size").agg(F.count("*").alias("times"))

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 from urllib.parse import unquote
 from xml.etree import ElementTree
 
+import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.dataset as ds
 from pyarrow import fs
@@ -37,6 +38,8 @@ from pyspark.sql.datasource import (
 SCHEMA = "Bucket string, Key string, LastModified string, ETag string, Size long, StorageClass string"
 PAGES = "Bucket string, first string, last string, body string"
 HIGHEST = "\U0010ffff"
+#: Pages whose bodies a task holds at once. A page lists 1,000 objects at most, as the stores' interfaces do.
+RUN = 64
 
 
 @dataclass
@@ -78,14 +81,23 @@ def wanted(seed: Seed) -> pc.Expression:
     return test
 
 
+def _read(store: ds.Dataset, columns: list[str], test: pc.Expression | None = None) -> Iterator[pa.RecordBatch]:
+    """The rows of one file after the other, a few at a time: nothing is read ahead and no row group is held whole."""
+    options = ds.ParquetFragmentScanOptions(use_buffered_stream=True, buffer_size=1 << 16, pre_buffer=False)
+    rows = RUN if "body" in columns else 1 << 12
+    yield from store.to_batches(columns=columns, filter=test, batch_size=rows, batch_readahead=0, fragment_readahead=0, fragment_scan_options=options, use_threads=False)
+
+
 def pages_of(path: str, seed: Seed) -> Iterator[str]:
-    """The bodies of the seed's pages in key order. The order is found from the keys alone; bodies are read one after the other."""
+    """The bodies of the seed's pages in key order. The order is found from the keys alone, two a page; bodies are read RUN pages
+    after one another."""
     store, test = opened(path), wanted(seed)
-    found = [(r["first"], r["last"]) for b in store.to_batches(columns=["first", "last"], filter=test) for r in b.to_pylist()]
-    for first, last in sorted(found):
-        own = test & (ds.field("first") == first) & (ds.field("last") == last)
-        for b in store.to_batches(columns=["body"], filter=own):
-            yield from b.column("body").to_pylist()
+    found = sorted({(r["first"], r["last"]) for b in _read(store, ["first", "last"], test) for r in b.to_pylist()})
+    for lo in range(0, len(found), RUN):
+        some = set(found[lo : lo + RUN])
+        own = test & (ds.field("first") >= found[lo][0]) & (ds.field("first") <= found[min(lo + RUN, len(found)) - 1][0])
+        bodies = [x for b in _read(store, ["first", "last", "body"], own) for r in b.to_pylist() if (x := (r["first"], r["last"], r["body"]))[:2] in some]
+        yield from (x[2] for x in sorted(bodies))
 
 
 def contents(body: str) -> Iterator[tuple]:
@@ -107,7 +119,7 @@ def seeds_of(options: dict) -> list[Seed]:
     """The seeds that the option names, a JSON list of (Bucket, StartAfter, EndAt) objects; else the whole of each bucket in the store."""
     if "seeds" in options:
         return [Seed(s["Bucket"], s.get("StartAfter") or "", s.get("EndAt") or "") for s in json.loads(options["seeds"])]
-    buckets = {x for b in opened(options["path"]).to_batches(columns=["Bucket"]) for x in pc.unique(b.column("Bucket")).to_pylist()}
+    buckets = {x for b in _read(opened(options["path"]), ["Bucket"]) for x in pc.unique(b.column("Bucket")).to_pylist()}
     return [Seed(b) for b in sorted(buckets)]
 
 
@@ -144,8 +156,7 @@ class ListingStreamReader(DataSourceStreamReader):
     def latestOffset(self) -> dict:
         out = {}
         for s in seeds_of(self.options):
-            lasts = [x for b in opened(self.options["path"]).to_batches(columns=["last"], filter=wanted(s)) for x in b.column("last").to_pylist()]
-            reached = max(lasts, default=s.start)
+            reached = max((x for b in _read(opened(self.options["path"]), ["last"], wanted(s)) for x in b.column("last").to_pylist()), default=s.start)
             out[json.dumps([s.bucket, s.start, s.end])] = min(reached, s.end) if s.end else reached
         return out
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql.datasource import EqualTo, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual, StringContains, StringStartsWith
 
 from cairn.operators import enrich
+from cairn.plans import transfers
 from cairn.sources import listing_source
 from cairn.streaming import flows
 
@@ -78,3 +79,18 @@ def test_a_stopped_stream_goes_on(spark, tmp_path, spaces):
         out = spark.read.schema("Bucket string, Key string").json(str(tmp_path / "out")).selectExpr("concat(Bucket, ':', Key) AS key")
         want = spark.createDataFrame([(f"{b}:{k}",) for b, k in expected], "key string")
         assert enrich.exactly_once(out, want, "key").count() == 0
+
+
+def test_pages_and_what_a_task_holds_of_them_are_bounded(spark, tmp_path, spaces, monkeypatch):
+    objects = spark.range(2500).selectExpr("'b' AS Bucket", "concat('2024/01/01/', lpad(id, 6, '0')) AS Key", "id AS Size")  # one bucket and day
+    transfers._write_pages(objects, str(tmp_path / "large"))
+    pages = spark.read.parquet(str(tmp_path / "large")).selectExpr("first", "last", "size(split(body, '<Contents>')) - 1 AS n").orderBy("first").collect()
+    assert sum(r.n for r in pages) == 2500 and max(r.n for r in pages) <= transfers.PAGE and all(a.last < b.first for a, b in zip(pages, pages[1:]))
+    assert [r.Key for r in listing_source.read_listing(spark, str(tmp_path / "large")).orderBy("Size").collect()] == [f"2024/01/01/{i:06}" for i in range(2500)]
+    path, read = str(tmp_path / "pages"), listing_source._read
+    store(spark, path, spaces)
+    held = []
+    monkeypatch.setattr(listing_source, "RUN", 3)
+    monkeypatch.setattr(listing_source, "_read", lambda s, columns, test=None: (held.append((b.num_rows, columns)) or b for b in read(s, columns, test)))
+    assert [o[1] for o in listing_source.objects_of(path, listing_source.Seed("b0"))] == spaces["b0"]
+    assert max(n for n, columns in held if "body" in columns) <= 3 and len(held) > 3
