@@ -43,7 +43,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with every secret replaced by a mark; n_chars follows the text."""
-    found = secret_scan.scan(docs, secret_scan.train(docs), out="__secrets")
+    found = secret_scan.scan(docs, secret_scan.learn(docs), out="__secrets")
     return _counted(secret_scan.redact(found, spans_col="__secrets").select(*docs.columns))
 
 
