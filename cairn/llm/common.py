@@ -31,6 +31,18 @@ def small(df: DataFrame, most: int = 100_000) -> DataFrame:
     return F.broadcast(df) if df.count() <= most else df
 
 
+#: Rows that go to a Python worker at once, at most; a row holds a document's text or its shingles.
+BATCH = 500
+
+
+def short_batches(spark: SparkSession) -> None:
+    """From now on at most BATCH rows of a task are in transit to its Python worker: with Spark's 10,000, some 40 MB of shingles lie in the
+    JVM's direct memory, in Arrow's and as Python's objects, each. A smaller number that is set stays."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= BATCH:
+        spark.conf.set(name, BATCH)
+
+
 def tidy(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``work`` for mapInArrow, after which the task's free memory goes back to the system: workers outlive their tasks,
     and an executor has several at once."""
@@ -228,7 +240,7 @@ def run_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix(h)
 
 
-def parts(batches: Iterator[pa.RecordBatch], size: int = 300, most: int = 1 << 20, column: str = "text") -> Iterator[pa.RecordBatch]:
+def parts(batches: Iterator[pa.RecordBatch], size: int = 300, most: int = 1 << 18, column: str = "text") -> Iterator[pa.RecordBatch]:
     """Batches of at most ``size`` rows and about ``most`` bytes of text: a longer text stands alone."""
     for b in batches:
         bytes_ = pc.fill_null(pc.binary_length(b.column(column)), 0).to_numpy()

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import Words, components, cut, mark, mix, partitions, parts, runs, tidy
+from cairn.llm.common import Words, components, cut, mark, mix, partitions, parts, short_batches, tidy
 
 #: Width of the table of hashed document frequencies. A bucket's count is at most (shingles in all) / WIDTH over the
 #: true one on average, 0.2 % of the documents at 500 shingles each, at every size of the corpus.
@@ -113,6 +113,7 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
     similar if any of the texts is. Other columns are not read.
     """
     spark = docs.sparkSession
+    short_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text")).where("doc_id is not null")
     frequency, n_docs = document_frequencies(texts, size)
     weigh = spark.sparkContext.broadcast(idf(frequency, n_docs).astype(np.float32))
