@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.session import cut, shared_folder
@@ -25,10 +25,28 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small(df: DataFrame, most: int = 100_000) -> DataFrame:
+def small(df: DataFrame, most: int = 100_000, rows: int | None = None) -> DataFrame:
     """``df``, a materialised table of short rows, for the side of a join: broadcast if it has at most ``most`` rows, else
-    left to the planner, which shuffles and splits skewed keys at run time."""
-    return F.broadcast(df) if df.count() <= most else df
+    left to the planner, which shuffles and splits skewed keys at run time. ``rows``: as many at most, if that is known."""
+    return F.broadcast(df) if (df.count() if rows is None else rows) <= most else df
+
+
+#: Rows of a task, where a table of short rows is read again.
+ROWS = 20_000
+
+
+def tasks(rows: int) -> int:
+    """Tasks for so many short rows. The driver keeps some KB for each task, of however few rows."""
+    return max(1, -(-rows // ROWS))
+
+
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df``, a table of short rows, materialised by ``cut``, and its rows, counted by the job that writes them. Its tasks
+    follow its rows from then on, also where Spark doesn't coalesce partitions."""
+    seen = Observation()
+    df = cut(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    n = int(seen.get["n"])
+    return df.coalesce(tasks(n)), n
 
 
 #: Rows that go to a Python worker at once, at most; a row holds a document's text or its shingles.
@@ -63,6 +81,8 @@ def partitions(spark: SparkSession) -> int:
 
 #: Edges that a task of ``components`` holds at most, on average.
 EDGES = 200_000
+#: Tables of so many short rows are broadcast to joins.
+FEW = 20_000
 
 
 def components(edges: DataFrame, first: str = "a", second: str = "b") -> DataFrame:
@@ -71,36 +91,37 @@ def components(edges: DataFrame, first: str = "a", second: str = "b") -> DataFra
     Nodes without an edge are absent. Each round maps every node to the least of its closed neighbourhood (by id
     at first, by a fresh hash later, so that paths shrink by a constant share) and contracts the edges; all rounds
     are joins and map-side combined aggregates, so a node with very many links is never gathered in one task. The
-    number of tasks follows the number of edges that are left.
+    number of tasks follows the number of edges that are left; hops of up to FEW nodes are broadcast.
     Loops, repeated and reversed edges and null ends are harmless.
     """
     # the round is a column, so that all rounds but the first run the same generated code
-    e = cut(
+    e, left = counted(
         edges.select(F.col(first).cast("long").alias("a"), F.col(second).cast("long").alias("b"))
         .where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.lit(1).alias("turn"))
     )
-    hops: list[DataFrame] = []
-    while left := e.count():
-        tasks = -(-left // EDGES)
+    hops: list[tuple[DataFrame, int]] = []
+    while left:
+        most = -(-left // EDGES)
         rank = (lambda c: F.col(c)) if not hops else (lambda c: F.xxhash64("turn", c))
         ends = F.inline(F.array(F.struct(F.col("a").alias("node"), F.col("b").alias("other")), F.struct(F.col("b").alias("node"), F.col("a").alias("other"))))
-        near = e.coalesce(tasks).select("turn", ends).select("node", "other", rank("node").alias("own"), rank("other").alias("rank"))
+        near = e.coalesce(most).select("turn", ends).select("node", "other", rank("node").alias("own"), rank("other").alias("rank"))
         near = near.groupBy("node").agg(F.min("own").alias("own"), F.min("rank").alias("rank"), F.min_by("other", "rank").alias("other"))
-        hop = cut(near.coalesce(tasks).select("node", F.when(F.col("rank") < F.col("own"), F.col("other")).otherwise(F.col("node")).alias("to")))
-        hops.append(hop)
-        x, y = (hop.select(F.col("node").alias(c), F.col("to").alias(t)) for c, t in (("a", "x"), ("b", "y")))
-        e = e.join(x, "a").coalesce(tasks).join(y, "b").coalesce(tasks).where("x <> y")
-        e = cut(e.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), (F.col("turn") + 1).alias("turn")))
+        hop, n = counted(near.coalesce(most).select("node", F.when(F.col("rank") < F.col("own"), F.col("other")).otherwise(F.col("node")).alias("to")))
+        hops.append((hop, n))
+        x, y = (small(hop.select(F.col("node").alias(c), F.col("to").alias(t)), FEW, n) for c, t in (("a", "x"), ("b", "y")))
+        e = e.join(x, "a").coalesce(most).join(y, "b").coalesce(most).where("x <> y")
+        e, left = counted(e.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), (F.col("turn") + 1).alias("turn")))
     if not hops:
         return e.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    found = hops[-1]
-    for hop in reversed(hops[:-1]):  # from the few nodes of the last round to all
-        found = hop.join(found.select(F.col("node").alias("to"), F.col("to").alias("next")), "to", "left").select("node", F.coalesce("next", "to").alias("to"))
+    found, n = hops[-1]
+    for hop, more in reversed(hops[:-1]):  # from the few nodes of the last round to all
+        later = small(found.select(F.col("node").alias("to"), F.col("to").alias("next")), FEW, n)
+        found, n = hop.join(later, "to", "left").select("node", F.coalesce("next", "to").alias("to")), more
     if len(hops) == 1:  # the first round's targets are the smallest nodes already
         return found.select("node", F.col("to").alias("component"))
-    found = cut(found)
-    least = found.groupBy("to").agg(F.min("node").alias("low"))
-    return found.join(least, "to").select("node", F.least("low", "to").alias("component"))
+    found, n = counted(found.coalesce(tasks(n)))
+    least = found.groupBy("to").agg(F.min("node").alias("low")).coalesce(tasks(n))
+    return found.join(small(least, FEW, n), "to").select("node", F.least("low", "to").alias("component"))
 
 
 BITS = 1 << 22
@@ -115,7 +136,7 @@ def mark(df: DataFrame, column: str, ids: DataFrame, out: str = "__hit", bits: i
     """
     spot = lambda c: F.pmod(F.xxhash64(c.cast("long")), F.lit(bits)) + 1
     own = spot(F.col(ids.columns[0]))
-    maps = ids.select(own.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("__map"))
+    maps = ids.select(own.alias("s")).groupBy(F.bitmap_bucket_number("s").alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("s")).alias("__map")).coalesce(8)
     at = F.bitmap_bit_position(spot(F.col(column)))
     byte = F.conv(F.hex(F.substring("__map", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     bit = F.call_function("getbit", byte, (at % 8).cast("int")) == 1

@@ -11,7 +11,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import Words, components, cut, mark, mix, partitions, parts, short_batches, tidy
+from cairn.llm.common import FEW, Words, components, counted, mark, mix, partitions, parts, short_batches, small, tasks, tidy
 
 #: Width of the table of hashed document frequencies. A bucket's count is at most (shingles in all) / WIDTH over the
 #: true one on average, 0.2 % of the documents at 500 shingles each, at every size of the corpus.
@@ -96,7 +96,7 @@ def document_frequencies(docs: DataFrame, size: int = 5, width: int = WIDTH) ->
     out = np.zeros((width // piece + 1, piece), np.int64)
     kind = "k int, g int, counts binary"
     some = docs.select("text").mapInArrow(tidy(counted), kind).groupBy("k", "g").applyInArrow(added, kind)  # a GROUPS-th of the tasks
-    for r in some.groupBy("k").applyInArrow(added, kind).collect():
+    for r in some.groupBy("k").applyInArrow(added, kind).coalesce(16).collect():
         out[r.k] = np.frombuffer(bytes(r.counts), np.int64)
     return out[:-1].ravel(), int(out[-1, 0])
 
@@ -153,16 +153,16 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), as_long(k1), as_long(k2), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "k1", "k2", "keys"])
 
     sketch = texts.mapInArrow(tidy(sketched), "doc_id long, k1 long, k2 long, keys array<long>")
-    sketch = cut(sketch.groupBy("doc_id").agg(F.min(F.struct("k1", "k2", "keys")).alias("m")).select("doc_id", "m.*"))
+    sketch, n_docs = counted(sketch.groupBy("doc_id").agg(F.min(F.struct("k1", "k2", "keys")).alias("m")).select("doc_id", "m.*").coalesce(tasks(n_docs)))
     blank = F.size("keys") == 0
-    classes = cut(sketch.where(~blank).groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.min("keys").alias("keys")))
+    classes, n_classes = counted(sketch.where(~blank).groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n"), F.min("keys").alias("keys")).coalesce(tasks(n_docs)))
     bucketed = classes.select("rep", F.explode("keys").alias("key"))
     shared = bucketed.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
-    places = cut(bucketed.join(shared, "key").select("key", "rep", F.col("rep").alias("component")))
+    places, n_places = counted(bucketed.join(shared, "key").select("key", "rep", F.col("rep").alias("component")).coalesce(tasks(n_classes * bands)))
 
-    def bags_of(ids: DataFrame) -> DataFrame:
-        """(doc_id, bag) of the given ids: sorted shingle hashes, made anew from the texts."""
-        ids = cut(ids.select("doc_id").distinct())
+    def bags_of(ids: DataFrame, most: int) -> DataFrame:
+        """(doc_id, bag) of the given ids, at most ``most``: sorted shingle hashes, made anew from the texts."""
+        ids, n = counted(ids.select("doc_id").distinct().coalesce(tasks(most)))
 
         def bagged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in parts(batches):
@@ -171,7 +171,7 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(bags, pa.binary())], ["doc_id", "bag"])
 
         some = mark(texts, "doc_id", ids).where("__hit").select("doc_id", "text")
-        return some.join(ids, "doc_id", "left_semi").mapInArrow(tidy(bagged), "doc_id long, bag binary")
+        return some.join(small(ids, FEW, n), "doc_id", "left_semi").mapInArrow(tidy(bagged), "doc_id long, bag binary")
 
     def alike(one: tuple, two: tuple) -> bool:
         (k, w, total), (k2, w2, total2) = one, two
@@ -187,11 +187,13 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
 
     def with_head(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that are similar. The many partners of one ``a`` are dealt to parts of 256."""
-        salted = pairs.select("a", "b").distinct().withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(16)).cast("int"))
-        dealt = cut(salted.withColumn("part", F.floor(F.row_number().over(Window.partitionBy("a", "salt").orderBy("b")) / 256)))
+        salted = pairs.select("a", "b").distinct().coalesce(tasks(n_places)).withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(16)).cast("int"))
+        part = F.floor(F.row_number().over(Window.partitionBy("a", "salt").orderBy("b")) / 256)
+        dealt, n = counted(salted.withColumn("part", part).coalesce(tasks(n_places)))
         keys = ["a", "salt", "part"]
         ends = dealt.select(F.col("b").alias("doc_id"), *keys, F.lit(1).alias("side")).union(dealt.select(F.col("a").alias("doc_id"), *keys, F.lit(0).alias("side")).distinct())
-        sides = ends.join(bags_of(ends), "doc_id").repartition(partitions(spark), *keys).sortWithinPartitions(*keys, "side", "doc_id")
+        ends, n = counted(ends.coalesce(tasks(2 * n)))
+        sides = small(ends, FEW, n).join(bags_of(ends, n), "doc_id").repartition(partitions(spark), *keys).sortWithinPartitions(*keys, "side", "doc_id")
 
         def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             head, key = None, None
@@ -215,15 +217,15 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
         """
         of = places.groupBy("key", "component").agg(F.count("*").alias("n"))
         main = of.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("all")).select("key", F.col("m.component").alias("main"), F.ceil(F.col("m.n") / chunk).cast("int").alias("pm"), F.ceil((F.col("all") - F.col("m.n")) / chunk).cast("int").alias("po"))
-        rows = places.join(main, "key").withColumn("h", F.xxhash64("rep"))
+        rows, _ = counted(places.join(main, "key").withColumn("h", F.xxhash64("rep")).coalesce(tasks(n_places)))
         inner = rows.where("component = main").select("key", F.lit(-1).alias("lo"), F.pmod("h", "pm").cast("int").alias("hi"), F.lit(-1).alias("mine"), F.col("rep").alias("doc_id"), "component")
         others = rows.where("component <> main")
         outer = others.select("key", F.lit(-1).alias("lo"), F.explode(F.sequence(F.lit(0), F.col("pm") - 1)).alias("hi"), F.lit(0).alias("mine"), F.col("rep").alias("doc_id"), "component")
         own = F.pmod("h", "po").cast("int")
         apart = others.select("key", own.alias("mine"), F.explode(F.sequence(F.lit(0), F.col("po") - 1)).alias("other"), "rep", "component").select("key", F.least("mine", "other").alias("lo"), F.greatest("mine", "other").alias("hi"), "mine", F.col("rep").alias("doc_id"), "component")
-        dealt = cut(inner.union(outer).union(apart))
+        dealt, n = counted(inner.union(outer).union(apart))
         keys = ["key", "lo", "hi"]
-        sides = dealt.join(bags_of(dealt), "doc_id").repartition(partitions(spark), *keys).sortWithinPartitions(*keys, "mine")
+        sides = small(dealt, FEW, n).join(bags_of(dealt, n), "doc_id").repartition(partitions(spark), *keys).sortWithinPartitions(*keys, "mine")
 
         def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held, key, root = [], None, {}
@@ -259,25 +261,28 @@ def near_documents(docs: DataFrame, threshold: float = 0.8, recall: float = 0.99
             new = in_full(places)
         else:
             heads = places.groupBy("key").agg(F.min(F.struct((F.col("rep") if n == 0 else F.xxhash64(F.lit(n), "rep")).alias("r"), F.struct("*").alias("head"))).alias("m"))
-            heads = heads.select("key", F.col("m.head.rep").alias("a"), F.col("m.head.component").alias("ca"))
+            heads, n_heads = counted(heads.select("key", F.col("m.head.rep").alias("a"), F.col("m.head.component").alias("ca")).coalesce(tasks(n_places)))
+            heads = small(heads, FEW, n_heads)
             pairs = places.join(heads, "key").where("component <> ca")
             new = with_head(pairs.select(F.least("a", "rep").alias("a"), F.greatest("a", "rep").alias("b")))
-        links = cut(new if links is None else links.union(new))
-        group = cut(components(links))
+        links, n_links = counted(new if links is None else links.union(new))
+        group, n_group = counted(components(links).coalesce(tasks(2 * n_links)))
+        group = small(group, FEW, n_group)
         if n == rounds:
             break
-        places = _open(places.join(heads.select("key", F.col("a").alias("rep")), ["key", "rep"], "left_anti"), group)
-        if places.isEmpty():
+        places, n_places = _open(places.join(heads.select("key", F.col("a").alias("rep")), ["key", "rep"], "left_anti"), group, n_places)
+        if not n_places:
             break
     judged = classes.select("k1", "k2", "rep", F.col("n").alias("n_copies")).join(group.withColumnRenamed("node", "rep"), "rep", "left")
     judged = judged.select("k1", "k2", F.col("rep").alias("class_id"), F.coalesce("component", "rep").alias("component_id"), "n_copies")
-    out = sketch.where(~blank).join(judged, ["k1", "k2"]).select("doc_id", "class_id", "component_id", "n_copies")
+    out = sketch.where(~blank).join(judged, ["k1", "k2"]).select("doc_id", "class_id", "component_id", "n_copies").coalesce(tasks(n_docs))
     alone = sketch.where(blank).select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"), F.lit(1).cast("long").alias("n_copies"))
     return out.union(alone).withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
-def _open(places: DataFrame, group: DataFrame) -> DataFrame:
-    """The buckets that still hold members of more than one component, each member with its component."""
+def _open(places: DataFrame, group: DataFrame, most: int) -> tuple[DataFrame, int]:
+    """The buckets that still hold members of more than one component, each member (of at most ``most``) with its component;
+    and their rows."""
     places = places.drop("component").join(group.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     mixed = places.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high").select("key")
-    return cut(places.join(mixed, "key").select("key", "rep", "component"))
+    return counted(places.join(mixed, "key").select("key", "rep", "component").coalesce(tasks(most)))

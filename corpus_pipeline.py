@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cairn.llm import minhash_dedup, packing, secret_scan, substring_dedup, toxicity
-from cairn.llm.common import cut, mark, shared_folder
+from cairn.llm.common import FEW, counted, mark, shared_folder, small
 
 #: Documents that score as much or more are toxic.
 TOXIC = 0.3
@@ -30,9 +30,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of copies and near copies, that of the smallest id. Rows of one id go or stay
     together."""
-    gone = cut(minhash_dedup.near_documents(docs).where("not kept").select("doc_id"))  # it is read twice
+    gone, n = counted(minhash_dedup.near_documents(docs).where("not kept").select("doc_id"))  # it is read twice
     marked = mark(docs, "doc_id", gone)
-    some = marked.where("__hit").join(gone, "doc_id", "left_anti").select(*docs.columns)
+    some = marked.where("__hit").join(small(gone, FEW, n), "doc_id", "left_anti").select(*docs.columns)
     return marked.where("not __hit").select(*docs.columns).union(some)
 
 

@@ -352,3 +352,53 @@ def test_toxicity_of_held_out_documents(spark):
     rows = QUERIES["op3_toxicity"](spark, sf_dir).where("held_out").join(labels, "doc_id").collect()
     toxic, clean = [r.predicted for r in rows if r.toxic == 1], [r.predicted for r in rows if r.toxic == 0]
     assert len(toxic) > 5 and sum(toxic) >= 0.5 * len(toxic) and sum(clean) <= 0.06 * len(clean)
+
+
+# tasks follow rows
+
+
+def _unmerged(spark, n):
+    """Sets n shuffle partitions that nothing coalesces; returns what was set before."""
+    new = {"spark.sql.shuffle.partitions": str(n), "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in new}
+    for k, v in new.items():
+        spark.conf.set(k, v)
+    return before
+
+
+def _restore(spark, before):
+    for k, v in before.items():
+        spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_counted_tables(spark):
+    before = _unmerged(spark, 30)
+    try:
+        some = spark.range(100).groupBy((F.col("id") % 50).alias("k")).count()
+        nothing = spark.range(100).where("id < 0")
+        for df, n in ((some, 50), (nothing, 0), (nothing.groupBy("id").count(), 0), (some.join(nothing.withColumnRenamed("id", "k"), "k"), 0), (spark.createDataFrame([], "k long"), 0), (spark.range(common.ROWS + 1), common.ROWS + 1)):
+            table, rows = common.counted(df)
+            assert rows == n == table.count()
+            assert table.rdd.getNumPartitions() <= common.tasks(n)
+    finally:
+        _restore(spark, before)
+
+
+def test_near_copies_tasks_follow_rows(spark):
+    words = [f"w{i}" for i in range(200)]
+    docs = [(i, " ".join(words[:40] + [f"x{i % 7}"] + words[40:])) for i in range(1, 30)] + [(100 + i, " ".join(f"{w}y{i}" for w in words)) for i in range(30)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)
+    expected = {(r.doc_id, r.component_id) for r in minhash_dedup.near_documents(df).collect()}
+    assert sum(a != b for a, b in expected) == 28
+    before, sc = _unmerged(spark, 40), spark.sparkContext
+    try:
+        sc.setJobGroup("tasks follow rows", "")
+        found = {(r.doc_id, r.component_id) for r in minhash_dedup.near_documents(df).collect()}
+        status = sc.statusTracker()
+        stages = {s for j in status.getJobIdsForGroup("tasks follow rows") for s in status.getJobInfo(j).stageIds}
+        tasks = sum(i.numCompletedTasks for s in stages if (i := status.getStageInfo(s)))
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        _restore(spark, before)
+    assert found == expected
+    assert tasks < 700
