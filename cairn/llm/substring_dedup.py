@@ -13,7 +13,7 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cairn.llm.common import Words, components, cut, mark, mix, partitions, parts, run_hashes, small, stored, tidy
+from cairn.llm.common import Words, components, counted, mark, mix, partitions, parts, run_hashes, small, stored, tidy
 
 #: A fragment ends at a line end, and before a pair of words whose hash is the least of REACH pairs on either side.
 #: So a passage is cut alike wherever it stands in a line, but for some REACH words at its ends.
@@ -175,21 +175,21 @@ def linked_pairs(places: DataFrame, threshold: float, chunk: int) -> DataFrame:
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     # keys of several parts: at most a row for every ``chunk`` places
     size = places.groupBy("key").agg(F.count("*").alias("n"), F.min("exact").alias("head")).where(F.col("n") > chunk)
-    hot = cut(size.select("key", F.ceil(F.col("n") / chunk).cast("int").alias("parts"), "head"))
+    hot, n_hot = counted(size.select("key", F.ceil(F.col("n") / chunk).cast("int").alias("parts"), "head"))
     one, zero = F.lit(1), F.lit(0)
-    dealt = places.join(small(hot), "key", "left").withColumn("parts", F.coalesce("parts", one)).withColumn("own", number("parts"))
+    dealt = places.join(small(hot, rows=n_hot), "key", "left").withColumn("parts", F.coalesce("parts", one)).withColumn("own", number("parts"))
     heads = F.when(F.col("exact") == F.col("head"), F.sequence(zero, F.col("parts") - 1)).otherwise(F.array("own"))
     dealt = dealt.select("key", "exact", "shingles", F.explode(heads).alias("lo"))
-    links = cut(in_groups(dealt.select("*", F.col("lo").alias("hi"), zero.alias("mine"), F.col("exact").alias("component"))))
-    if hot.isEmpty():
+    links, _ = counted(in_groups(dealt.select("*", F.col("lo").alias("hi"), zero.alias("mine"), F.col("exact").alias("component"))))
+    if not n_hot:
         return links
-    group = cut(components(links))
-    left = places.join(small(hot.select("key")), "key", "left_semi").join(group.withColumnRenamed("node", "exact"), "exact", "left")
+    group, _ = counted(components(links))
+    left = places.join(small(hot.select("key"), rows=n_hot), "key", "left_semi").join(group.withColumnRenamed("node", "exact"), "exact", "left")
     left = stored(left.withColumn("component", F.coalesce("component", "exact")))
     of = left.groupBy("key", "component").agg(F.count("*").alias("n"))
     of = of.groupBy("key").agg(F.max(F.struct("n", "component")).alias("m"), F.sum("n").alias("all")).where(F.col("all") > F.col("m.n"))
-    main = cut(of.select("key", F.col("m.component").alias("main"), F.ceil(F.col("m.n") / chunk).cast("int").alias("pm"), F.ceil((F.col("all") - F.col("m.n")) / chunk).cast("int").alias("po")))
-    rows = left.join(small(main), "key")
+    main, n_main = counted(of.select("key", F.col("m.component").alias("main"), F.ceil(F.col("m.n") / chunk).cast("int").alias("pm"), F.ceil((F.col("all") - F.col("m.n")) / chunk).cast("int").alias("po")))
+    rows = left.join(small(main, rows=n_main), "key")
     inner, others = rows.where("component = main"), rows.where("component <> main").withColumn("mine", number("po"))
     kept = ["key", "exact", "component", "shingles"]
     # a chunk of the main component has the number -1 - i
@@ -218,8 +218,8 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("doc_id is not null and text <> ''")
-    again = cut(texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
-    repeats = not again.isEmpty()
+    again, n_again = counted(texts.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select("doc_id"))
+    repeats = n_again > 0
     if repeats:
         marked = mark(texts, "doc_id", again)
         greatest = stored(marked.where("__hit").groupBy("doc_id").agg(F.max("text").alias("text")))
@@ -258,7 +258,7 @@ def repeated_passages(docs: DataFrame, threshold: float = 0.8, recall: float = 0
     source = near.join(near.groupBy("component").agg(F.min("place").alias("source")), "component").select("exact", "source")
     source = source.unionByName(linked.where("component is null and n > 1").select("exact", F.col("place").alias("source")))
     source_id, source_seq = unpacked(F.col("source"))
-    source = cut(source.select("exact", source_id.alias("source"), source_seq.alias("source_seq")))
+    source, _ = counted(source.select("exact", source_id.alias("source"), source_seq.alias("source_seq")))
     found = mark(places.drop("keys"), "exact", source.select("exact"), bits=MAP_BITS).where("__hit").drop("__hit")
     later = found.join(source, "exact").where("doc_id > source or doc_id = source and seq >= source_seq + pieces")
     later = later.select("doc_id", "seq", "pieces", "start", "end", "first", "words", "source").repartition(partitions(spark), "doc_id")  # all that follows stays within these partitions
@@ -284,11 +284,11 @@ def _groups(texts: DataFrame, places: DataFrame, threshold: float, chunk: int) -
     able = places.where(F.size("keys") > 0)
     banded = able.select(F.explode("keys").alias("key"), "exact")
     # bands in which different paragraphs collide, their members, and one text that holds each member
-    collide = cut(banded.groupBy("key").agg(F.min("exact").alias("low"), F.max("exact").alias("high")).where("low < high").select("key"))
-    members = cut(mark(banded, "key", collide, bits=MAP_BITS).where("__hit").join(collide, "key").select("key", "exact").distinct())
+    collide, _ = counted(banded.groupBy("key").agg(F.min("exact").alias("low"), F.max("exact").alias("high")).where("low < high").select("key"))
+    members, _ = counted(mark(banded, "key", collide, bits=MAP_BITS).where("__hit").join(collide, "key").select("key", "exact").distinct())
     wanted = texts.sparkSession.sparkContext.broadcast(key_map(members, "exact"))
     holders = mark(able, "exact", members.select("exact"), bits=MAP_BITS).where("__hit").groupBy("exact").agg(F.min("doc_id").alias("doc_id")).select("doc_id").distinct()
-    holders = cut(holders)
+    holders, _ = counted(holders)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in parts(batches):
@@ -298,7 +298,7 @@ def _groups(texts: DataFrame, places: DataFrame, threshold: float, chunk: int) -
 
     some = mark(texts, "doc_id", holders).where("__hit").select("doc_id", "text").join(holders, "doc_id", "left_semi")
     shingled = some.select("text").mapInArrow(tidy(sets), "exact long, shingles array<long>").groupBy("exact").agg(F.min("shingles").alias("shingles"))
-    group = cut(components(linked_pairs(stored(members.join(shingled, "exact").select("key", "exact", "shingles")), threshold, chunk)))
+    group, _ = counted(components(linked_pairs(stored(members.join(shingled, "exact").select("key", "exact", "shingles")), threshold, chunk)))
     wanted.destroy()
     return group
 
@@ -309,7 +309,7 @@ def judge(docs: DataFrame, **options) -> DataFrame:
     ``spans``: start:end of the passages to remove, in order, comma-joined; ``sources``: sorted doc_ids that keep
     them. Of rows that repeat an id those of its greatest text have its passages. Documents without such a passage have 0, 0, an empty string and an empty array.
     """
-    found = cut(repeated_passages(docs, **options))
+    found, _ = counted(repeated_passages(docs, **options))
     per = found.groupBy("doc_id").agg(
         F.max("text_hash").alias("__text_hash"), F.count("*").alias("n_passages"), F.sum("words").alias("n_removed_words"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("start", "end"))), lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",").alias("spans"),
@@ -327,7 +327,7 @@ def remove(docs: DataFrame, passages: DataFrame) -> DataFrame:
 
     Only documents that the passages' ids may hit are joined; the others pass by a fixed-size filter.
     """
-    passages = cut(passages)
+    passages, _ = counted(passages)
     spans = passages.groupBy("doc_id").agg(F.max("text_hash").alias("__text_hash"), F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__spans")).withColumnRenamed("doc_id", "__doc_id")
     marked = mark(docs, "doc_id", passages.select("doc_id"))
     text, empty = F.col("text"), F.struct(F.lit("").alias("done"), F.lit(0).alias("at"))
